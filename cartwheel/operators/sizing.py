@@ -1,0 +1,20 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A calendar of 100 years with a few holidays per day stays far below this.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded job), so it is
+    cheap exactly when broadcasting is right. Beyond the bound the plain
+    DataFrame is returned and the planner / AQE pick a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
