@@ -255,6 +255,85 @@ FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'home_appliances_2' WHEN
                                            WHEN 2 THEN '#N/A' ELSE p_type END AS raw FROM part)"""
 
 
+# ---------------------------------------------------------------- merges
+# Upsert as a full outer join with presence markers: a matched row takes the
+# source's values, an unmatched row keeps its own side's. NULL keys never
+# compare equal, so such rows come through unmatched.
+def _upsert(ctes: str, keys: list[str], cols: list[str]) -> str:
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    sel = ", ".join(f"CASE WHEN s._in_s IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
+    return f"""WITH {ctes},
+TT AS (SELECT *, 1 AS _in_t FROM T), SS AS (SELECT *, 1 AS _in_s FROM S)
+SELECT {sel}
+FROM TT t FULL OUTER JOIN SS s ON {on}"""
+
+
+_CUSTOMER_COLS = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
+_CUST_REGION = """
+cr AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+         lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
+         c_mktsegment AS customer_city, n_name AS customer_state, r_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+T AS (SELECT customer_id, customer_unique_id, customer_zip_code_prefix, lower(customer_city) AS customer_city,
+             customer_state FROM cr WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA')),
+S AS (SELECT customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
+      FROM cr WHERE r_name IN ('ASIA', 'EUROPE', 'MIDDLE EAST'))"""
+MERGE_CUSTOMER = _upsert(_CUST_REGION, ["customer_id", "customer_unique_id"], _CUSTOMER_COLS)
+
+_PRODUCT_SIDES = """
+T AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, lower(p_type) AS product_category, p_brand AS segment
+      FROM part WHERE p_size <= 30),
+S AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category, p_brand AS segment
+      FROM part WHERE p_size >= 20)"""
+MERGE_PRODUCT = _upsert(_PRODUCT_SIDES, ["product_id"], ["product_id", "product_category", "segment"])
+
+_ORDER_COLS = [
+    "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+]
+_ORDER_SIDES = f"""{ROLES},
+T AS (SELECT order_id, customer_id, 'O' AS order_status, order_purchase_timestamp,
+             CAST(NULL AS TIMESTAMP) AS order_approved_at, order_delivered_carrier_date,
+             order_delivered_customer_date, order_estimated_delivery_date
+      FROM ord WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'),
+S AS (SELECT * FROM ord WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01')"""
+MERGE_ORDER = _upsert(_ORDER_SIDES, ["order_id"], _ORDER_COLS)
+
+_ITEM_COLS = [
+    "order_id", "order_item_id", "order_purchase_timestamp", "order_approved_at", "customer_id",
+    "product_id", "price", "freight_value", "order_status",
+]
+_ITEM_SIDES = f"""{ROLES},
+T AS (SELECT order_id, order_item_id, order_purchase_timestamp, order_approved_at, customer_id, product_id,
+             price, CAST(NULL AS DOUBLE) AS freight_value, order_status
+      FROM item WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'),
+S AS (SELECT order_id, order_item_id, order_purchase_timestamp, order_approved_at, customer_id, product_id,
+             price, freight_value, order_status
+      FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id, product_id
+                                         ORDER BY price DESC, freight_value DESC) AS rn
+            FROM item WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01') WHERE rn = 1)"""
+MERGE_ORDER_ITEM = _upsert(_ITEM_SIDES, ["order_id", "order_item_id", "product_id"], _ITEM_COLS)
+
+
+def _holiday_clean(name: str, where: str) -> str:
+    lines = HOLIDAY_LINES.replace("FROM orders))", f"FROM orders WHERE {where}))")
+    lines = lines.replace("L AS (", f"L_{name} AS (", 1).replace("LL AS (SELECT value FROM L UNION ALL SELECT value FROM L)",
+                                                             f"LL_{name} AS (SELECT value FROM L_{name} UNION ALL SELECT value FROM L_{name})")
+    return f"""{lines},
+{name} AS (
+  SELECT {DATE3.format(x="trim(f[1])")} AS date, trim(f[2]) AS name
+  FROM (SELECT string_split(value, ',') AS f FROM (SELECT DISTINCT value FROM LL_{name}))
+  WHERE len(f) >= 2)"""
+
+
+MERGE_HOLIDAY = f"""WITH {_holiday_clean("T", "o_orderdate < TIMESTAMP '1999-01-01'")},
+{_holiday_clean("S", "o_orderdate >= TIMESTAMP '1998-01-01'")}
+SELECT date, name FROM T
+UNION ALL
+SELECT s.date, s.name FROM S s WHERE NOT EXISTS (SELECT 1 FROM T t WHERE t.date = s.date AND t.name = s.name)"""
+
+
 def registry() -> dict[str, str]:
     return {
         "fact_transaction": _fact(False),
@@ -272,4 +351,9 @@ def registry() -> dict[str, str]:
         "rejects_order": REJECTS_ORDER,
         "distinct_lines": DISTINCT_LINES,
         "category_normalize": CATEGORY_NORMALIZE,
+        "merge_customer": MERGE_CUSTOMER,
+        "merge_product": MERGE_PRODUCT,
+        "merge_order": MERGE_ORDER,
+        "merge_order_item": MERGE_ORDER_ITEM,
+        "merge_holiday": MERGE_HOLIDAY,
     }

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel import schemas
 from cartwheel.operators import calendar as cal_ops
+from cartwheel.operators import merge as mrg
 from cartwheel.operators import clean as cln
 from cartwheel.operators.fact import build_fact, fact_rows
 from cartwheel.plans import tpch_roles as roles
@@ -145,6 +147,37 @@ def category_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --------------------------------------------------------------------------
+# Merges
+# --------------------------------------------------------------------------
+
+
+def merge_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG1."""
+    return mrg.merge_entity(*roles.customer_merge_sides(spark, sf_dir), schemas.CUSTOMER)
+
+
+def merge_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG4."""
+    return mrg.merge_entity(*roles.product_merge_sides(spark, sf_dir), schemas.PRODUCT)
+
+
+def merge_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG2."""
+    return mrg.merge_entity(*roles.order_merge_sides(spark, sf_dir), schemas.ORDER)
+
+
+def merge_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG3."""
+    return mrg.merge_entity(*roles.order_item_merge_sides(spark, sf_dir), schemas.ORDER_ITEM)
+
+
+def merge_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG5: both sides through the holiday cleaner (NULL dates included)."""
+    old_lines, new_lines = roles.holiday_merge_lines(spark, sf_dir)
+    return mrg.merge_entity(cln.clean_holiday(old_lines), cln.clean_holiday(new_lines), schemas.HOLIDAY)
+
+
 def registry() -> dict[str, Query]:
     return {
         "fact_transaction": fact_transaction,
@@ -162,4 +195,9 @@ def registry() -> dict[str, Query]:
         "rejects_order": rejects_order,
         "distinct_lines": distinct_lines,
         "category_normalize": category_normalize,
+        "merge_customer": merge_customer,
+        "merge_product": merge_product,
+        "merge_order": merge_order,
+        "merge_order_item": merge_order_item,
+        "merge_holiday": merge_holiday,
     }

@@ -225,12 +225,11 @@ def order_item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _twice(j.select(line.alias("value")))
 
 
-def holiday_lines_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One holiday line per order: the order date in one of four layouts
+def holiday_lines(orders_df: DataFrame) -> DataFrame:
+    """One holiday line per order row: the order date in one of four layouts
     (three day-first ones the cleaner accepts, one year-first it must NULL),
     a name from the order priority (quoted with a comma for some), short
     lines for some."""
-    o = table(spark, sf_dir, "orders")
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
     y, m, dd = F.year(d).cast("string"), F.month(d).cast("string"), F.dayofmonth(d).cast("string")
     r = k % 4
@@ -244,4 +243,114 @@ def holiday_lines_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), F.col("o_orderpriority"))
     )
     line = F.when(k % 50 == 7, date_txt).otherwise(F.concat(date_txt, F.lit(","), name))
-    return _twice(o.select(line.alias("value")))
+    return _twice(orders_df.select(line.alias("value")))
+
+
+def holiday_lines_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return holiday_lines(table(spark, sf_dir, "orders"))
+
+
+# --------------------------------------------------------------------------
+# Merge fixtures: an older load (target) and this week's extract (source)
+# --------------------------------------------------------------------------
+
+# The load windows. The target holds what earlier loads wrote;
+# the source is the newest extract, overlapping the target by one year (or,
+# for customers and parts, by one region / a band of sizes). Together they
+# cover every row of the table.
+TARGET_BEFORE = "1999-01-01"
+SOURCE_FROM = "1998-01-01"
+TARGET_REGIONS = ("AFRICA", "AMERICA", "ASIA")
+SOURCE_REGIONS = ("ASIA", "EUROPE", "MIDDLE EAST")
+TARGET_MAX_SIZE = 30
+SOURCE_MIN_SIZE = 20
+
+
+def _ts_lit(s: str) -> Column:
+    return F.lit(s).cast("timestamp")
+
+
+def _customers_in(spark: SparkSession, sf_dir: str, regions) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region").filter(F.col("r_name").isin(*regions))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return j.select(
+        _s("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"),
+        F.lpad(_s("c_nationkey"), 5, "0").alias("customer_zip_code_prefix"),
+        F.col("c_mktsegment").alias("customer_city"),
+        F.col("n_name").alias("customer_state"),
+    )
+
+
+def customer_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: earlier load (city spelt in lower case); source: newest."""
+    target = _customers_in(spark, sf_dir, TARGET_REGIONS).withColumn("customer_city", F.lower("customer_city"))
+    return target, _customers_in(spark, sf_dir, SOURCE_REGIONS)
+
+
+def product_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: earlier load (category in lower case); source: newest."""
+    p = table(spark, sf_dir, "part")
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(
+            _s("p_partkey").alias("product_id"),
+            F.col("p_type").alias("product_category"),
+            F.col("p_brand").alias("segment"),
+        )
+
+    target = side(p.filter(F.col("p_size") <= TARGET_MAX_SIZE)).withColumn(
+        "product_category", F.lower("product_category")
+    )
+    return target, side(p.filter(F.col("p_size") >= SOURCE_MIN_SIZE))
+
+
+def order_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: orders loaded before, still open and unapproved then."""
+    o = orders(spark, sf_dir)
+    target = (
+        o.filter(F.col("order_purchase_timestamp") < _ts_lit(TARGET_BEFORE))
+        .withColumn("order_status", F.lit("O"))
+        .withColumn("order_approved_at", F.lit(None).cast("timestamp"))
+    )
+    source = o.filter(F.col("order_purchase_timestamp") >= _ts_lit(SOURCE_FROM))
+    return target, source
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """Staging hygiene for a fixture: one row per key, the one with the
+    largest ``order_cols`` (then all other columns, so ties are settled
+    deterministically). A grouped max, so partial aggregation bounds a hot
+    key's cost."""
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    best = F.max(F.struct(*[F.col(c) for c in order_cols + rest])).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order_cols + rest]).select(
+        *df.columns
+    )
+
+
+def order_item_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: items loaded before, freight not yet known then. Source: the
+    newest extract, one row per merge key (latest by price, freight)."""
+    it = order_items(spark, sf_dir)
+    target = it.filter(F.col("order_purchase_timestamp") < _ts_lit(TARGET_BEFORE)).withColumn(
+        "freight_value", F.lit(None).cast("double")
+    )
+    source = latest_per_key(
+        it.filter(F.col("order_purchase_timestamp") >= _ts_lit(SOURCE_FROM)),
+        ["order_id", "order_item_id", "product_id"],
+        ["price", "freight_value"],
+    )
+    return target, source
+
+
+def holiday_merge_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Holiday lines of the earlier load and of the newest extract."""
+    o = table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate").cast("timestamp")
+    return (
+        holiday_lines(o.filter(d < _ts_lit(TARGET_BEFORE))),
+        holiday_lines(o.filter(d >= _ts_lit(SOURCE_FROM))),
+    )
