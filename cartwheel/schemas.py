@@ -158,3 +158,22 @@ FACT_COLUMNS = [
     "avg_price",
     "product_quantity",
 ]
+
+FACT = _schema(
+    ("order_purchase_date", D),
+    ("is_weekday", T.BooleanType()),
+    ("is_holiday", T.BooleanType()),
+    ("order_id", S),
+    ("product_id", S),
+    ("order_item_id", S),
+    ("order_approved_at", TS),
+    ("order_status", S),
+    ("product_segment", S),
+    ("product_category", S),
+    ("customer_id", S),
+    ("customer_unique_id", S),
+    ("customer_state", S),
+    ("freight_value", F64),
+    ("avg_price", F64),
+    ("product_quantity", T.LongType()),
+)

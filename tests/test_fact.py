@@ -1,0 +1,64 @@
+"""Fact: joins, grouping, NULL handling and the Q2/Q3 fan-out."""
+
+import datetime as dt
+
+from cartwheel import schemas
+from cartwheel.operators.calendar import build_dim_date
+from cartwheel.operators.fact import build_fact
+
+TS = dt.datetime(2016, 10, 10, 12, 0, 0)
+
+
+def _inputs(spark, holidays):
+    items = spark.createDataFrame(
+        [
+            ("o1", "1", TS, None, "c1", "p1", 10.0, 1.5, "delivered"),
+            ("o1", "1", TS, None, "c1", "p1", 20.0, 2.5, "delivered"),  # same group twice
+            ("o1", "2", dt.datetime(2016, 10, 11), None, "c1", "p2", 5.0, None, "delivered"),
+            ("o2", "1", None, None, "c1", "p1", 7.0, 1.0, "shipped"),  # NULL date: kept
+            ("o3", "1", TS, None, "c9", "p1", 1.0, 1.0, "x"),  # no customer: dropped
+        ],
+        schemas.D_ORDER_ITEM,
+    )
+    orders = spark.createDataFrame(
+        [("o1", "c1", "delivered", TS, TS, None, None, None), ("o2", "c1", "shipped", None, None, None, None, None),
+         ("o3", "c9", "x", TS, TS, None, None, None)],
+        schemas.D_ORDER,
+    )
+    products = spark.createDataFrame([("p1", "cat", "seg"), ("p2", "cat2", "seg2")], schemas.D_PRODUCT)
+    customers = spark.createDataFrame([("c1", "u1", "z", "city", "SP")], schemas.D_CUSTOMER)
+    hol = spark.createDataFrame(holidays, "date date, name string")
+    return items, orders, products, customers, hol
+
+
+def _by_key(df):
+    return {(r.order_id, r.order_item_id): r for r in df.collect()}
+
+
+def test_fact_groups_and_aggregates(spark):
+    items, orders, products, customers, hol = _inputs(spark, [(dt.date(2016, 10, 10), "Columbus Day")])
+    dates = build_dim_date(spark, hol, "2016-10-01", "2016-10-31")
+    fact = build_fact(items, orders, products, customers, dates)
+    assert fact.columns == [f.name for f in schemas.FACT.fields]
+    rows = _by_key(fact)
+    assert set(rows) == {("o1", "1"), ("o1", "2"), ("o2", "1")}
+    r = rows[("o1", "1")]
+    assert (r.freight_value, r.avg_price, r.product_quantity) == (4.0, 15.0, 2)
+    assert r.is_holiday and r.is_weekday and r.order_purchase_date == dt.date(2016, 10, 10)
+    assert rows[("o1", "2")].freight_value is None and rows[("o1", "2")].product_quantity == 1
+    n = rows[("o2", "1")]
+    assert n.order_purchase_date is None and n.is_holiday is None and n.is_weekday is None
+
+
+def test_double_holiday_doubles_sum_and_count_not_avg(spark):
+    d = dt.date(2016, 10, 10)
+    items, orders, products, customers, hol = _inputs(spark, [(d, "Columbus Day"), (d, "Indigenous Peoples' Day")])
+    fan = _by_key(build_fact(items, orders, products, customers, build_dim_date(spark, hol, "2016-10-01", "2016-10-31")))
+    one = _by_key(
+        build_fact(items, orders, products, customers,
+                   build_dim_date(spark, hol, "2016-10-01", "2016-10-31", dedupe_holidays=True))
+    )
+    assert fan[("o1", "1")].freight_value == 2 * one[("o1", "1")].freight_value
+    assert fan[("o1", "1")].product_quantity == 2 * one[("o1", "1")].product_quantity
+    assert fan[("o1", "1")].avg_price == one[("o1", "1")].avg_price
+    assert fan[("o1", "2")].product_quantity == one[("o1", "2")].product_quantity == 1
