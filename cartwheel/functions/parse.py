@@ -43,20 +43,20 @@ FLOAT_PATTERN = (
 
 def parse_timestamp_year_first(c: Column) -> Column:
     """CLN7: stripped text -> TIMESTAMP (UTC) or NULL (blank / no layout fits /
-    impossible calendar value such as 31 February or second 60)."""
-    canon = F.regexp_replace(c, TIMESTAMP_PATTERN, "$1-$3-$4 $5:$6:$7")
-    canon = F.replace(canon, F.lit("- "), F.lit("-"))
-    return F.when(
-        c.rlike(TIMESTAMP_PATTERN),
-        F.try_to_timestamp(canon, F.lit("yyyy-M-d H:m:s")),
-    ).cast("timestamp")
+    impossible calendar value such as 31 February or second 60).
+
+    ``c`` should be a column reference (it is read twice). The accepted text
+    is rewritten to ``Y-M-D h:m:s`` and converted with Spark's own string
+    cast, which validates the calendar value.
+    """
+    canon = F.replace(F.regexp_replace(c, TIMESTAMP_PATTERN, "$1-$3-$4 $5:$6:$7"), F.lit("- "), F.lit("-"))
+    return F.when(c.rlike(TIMESTAMP_PATTERN), canon.try_cast("timestamp"))
 
 
 def parse_date_day_first(c: Column) -> Column:
     """CLN6: stripped text -> DATE or NULL, day-first layouts only."""
-    canon = F.regexp_replace(c, DATE_PATTERN, "$4-$3-$1")
-    canon = F.replace(canon, F.lit(" "), F.lit(""))
-    return F.when(c.rlike(DATE_PATTERN), F.try_to_date(canon, "yyyy-M-d"))
+    canon = F.replace(F.regexp_replace(c, DATE_PATTERN, "$4-$3-$1"), F.lit(" "), F.lit(""))
+    return F.when(c.rlike(DATE_PATTERN), canon.try_cast("date"))
 
 
 def parse_int_text(c: Column) -> Column:
@@ -65,9 +65,8 @@ def parse_int_text(c: Column) -> Column:
     ``'01'`` -> ``'1'``, ``'+5'`` -> ``'5'``, ``'-0'`` -> ``'0'``,
     ``'1_000'`` -> ``'1000'``; any length (no overflow, it stays text).
     """
-    unsigned = F.regexp_replace(c, r"[_+-]", "")
-    digits = F.regexp_replace(unsigned, r"^0+(?=[0-9])", "")
-    negative = c.startswith("-") & (digits != F.lit("0"))
+    digits = F.regexp_replace(F.regexp_replace(c, r"[_+-]", ""), r"^0+(?=[0-9])", "")
+    negative = c.startswith("-") & c.rlike("[1-9]")
     text = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), digits)
     return F.when(c.rlike(INT_PATTERN), text)
 
@@ -75,15 +74,13 @@ def parse_int_text(c: Column) -> Column:
 def parse_float_round2(c: Column) -> Column:
     """CLN9: ``round(float(x), 2)`` as DOUBLE, or NULL when float() would fail.
 
-    nan / inf / infinity (any case, signed) pass through unrounded.
+    nan / inf / infinity (any case, signed) pass through unrounded: the
+    guard admits exactly Python's float syntax, and Spark's cast reads the
+    special words (a signed ``nan`` is mapped here, the cast does not take
+    it).
     """
-    plain = F.replace(c, F.lit("_"), F.lit(""))
-    low = F.lower(plain)
-    neg = low.startswith("-")
-    special = F.regexp_replace(low, r"^[+-]", "")
-    value = (
-        F.when(special == "nan", F.lit(float("nan")))
-        .when(special.isin("inf", "infinity"), F.when(neg, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-        .otherwise(F.bround(plain.try_cast("double"), 2))
-    )
+    # Past the guard, only nan ends in n/N ("inf"/"infinity" end in f/y).
+    is_nan = c.endswith("n") | c.endswith("N")
+    plain = F.when(c.contains("_"), F.replace(c, F.lit("_"), F.lit(""))).otherwise(c)
+    value = F.when(is_nan, F.lit(float("nan"))).otherwise(F.bround(plain.try_cast("double"), 2))
     return F.when(c.rlike(FLOAT_PATTERN), value)

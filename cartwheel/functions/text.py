@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the whitespace Python's str.strip() removes — Unicode
-# White_Space plus the four information separators U+001C..U+001F.
-_WS = r"[\s\x{1c}-\x{1f}]"
-TRIM_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# Fixed value: the characters Python's str.strip() removes (str.isspace):
+# U+0009-000D, U+001C-001F, U+0020, U+0085, U+00A0, U+1680, U+2000-200A,
+# U+2028, U+2029, U+202F, U+205F, U+3000.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def split_fields(line: Column | str, sep: str = ",") -> Column:
@@ -24,8 +28,10 @@ def field(fields: Column, i: int) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """CLN3: remove leading and trailing whitespace (all kinds, like str.strip)."""
-    return F.regexp_replace(c, TRIM_PATTERN, "")
+    """CLN3: remove leading and trailing whitespace (all kinds, like str.strip).
+
+    A character-set trim, not a regex: Spark's TRIM(BOTH chars FROM c)."""
+    return F.trim(c, F.lit(PY_WHITESPACE))
 
 
 def unquote(c: Column) -> Column:

@@ -41,6 +41,7 @@ BAD_PRICE = "bad_price"
 BAD_FREIGHT_VALUE = "bad_freight_value"
 
 _FIELDS = "_fields"
+_COPIES = "_copies"
 
 
 def dedupe_lines(lines: DataFrame) -> DataFrame:
@@ -53,52 +54,45 @@ def dedupe_lines(lines: DataFrame) -> DataFrame:
     return lines.select("value").distinct()
 
 
-@dataclass(frozen=True)
-class CleanerSpec:
-    entity: schemas.Entity
-    min_fields: int
-    # fields array -> ordered {column: expression} (declared schema order)
-    columns: Callable[[Column], dict[str, Column]]
-    # typed columns -> ordered [(reason, failed?)] checked after the field count
-    checks: Callable[[Mapping[str, Column]], list[tuple[str, Column]]] = lambda cols: []
+def _dedupe_counted(lines: DataFrame) -> DataFrame:
+    """DED1 for the cleaners: the distinct lines plus their copy count."""
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias(_COPIES))
 
 
-def _customer_columns(f: Column) -> dict[str, Column]:
-    names = schemas.CUSTOMER.columns
-    return {n: unquote(strip(field(f, i))) for i, n in enumerate(names)}
+def _keep(parsed: DataFrame, clean: bool) -> DataFrame:
+    """Filter on the parse result *after* the dedupe.
 
+    ``reason`` depends on ``value`` only, so a plain filter on it would be
+    pushed below the DISTINCT into the scan stage: the whole parse then runs
+    inlined in a Filter (no common-subexpression elimination there) on every
+    raw copy, and runs again after the shuffle. Reading the aggregate's copy
+    count in the same predicate keeps the filter above the aggregate, so
+    each distinct line is parsed once, after the shuffle.
+    """
+    ok = F.col("reason").isNull() if clean else F.col("reason").isNotNull()
+    if _COPIES not in parsed.columns:
+        return parsed.filter(ok)
+    return parsed.filter(F.when(F.col(_COPIES) > 0, ok))
 
-def _holiday_columns(f: Column) -> dict[str, Column]:
-    return {
-        "date": parse_date_day_first(strip(field(f, 0))),
-        "name": strip(field(f, 1)),
-    }
 
+@dataclass(frozen=True)
+class Field:
+    """One output column: CSV position, whether it is stripped, and an
+    optional conversion of the (stripped) text."""
 
-def _order_columns(f: Column) -> dict[str, Column]:
-    # Position 5 is the carrier date and 6 the customer delivery date (CLN10).
-    cols = {
-        "order_id": strip(field(f, 0)),
-        "customer_id": strip(field(f, 1)),
-        "order_status": strip(field(f, 2)),
-    }
-    for i, name in enumerate(schemas.D_ORDER.fieldNames()[3:], start=3):
-        cols[name] = parse_timestamp_year_first(strip(field(f, i)))
-    return cols
+    name: str
+    pos: int
+    strip: bool = True
+    convert: Callable[[Column], Column] | None = None
 
 
-def _order_item_columns(f: Column) -> dict[str, Column]:
-    return {
-        "order_id": strip(field(f, 0)),
-        "order_item_id": parse_int_text(strip(field(f, 1))),
-        "order_purchase_timestamp": parse_timestamp_year_first(strip(field(f, 2))),
-        "order_approved_at": parse_timestamp_year_first(strip(field(f, 3))),
-        "customer_id": strip(field(f, 4)),
-        "product_id": strip(field(f, 5)),
-        "price": parse_float_round2(strip(field(f, 6))),
-        "freight_value": parse_float_round2(strip(field(f, 7))),
-        "order_status": strip(field(f, 8)),
-    }
+@dataclass(frozen=True)
+class CleanerSpec:
+    entity: schemas.Entity
+    min_fields: int
+    fields: tuple[Field, ...]
+    # typed columns -> ordered [(reason, failed?)] checked after the field count
+    checks: Callable[[Mapping[str, Column]], list[tuple[str, Column]]] = lambda cols: []
 
 
 def _order_item_checks(cols: Mapping[str, Column]) -> list[tuple[str, Column]]:
@@ -109,57 +103,102 @@ def _order_item_checks(cols: Mapping[str, Column]) -> list[tuple[str, Column]]:
     ]
 
 
-def _product_columns_with(category_map: Mapping[str, str] | None) -> Callable[[Column], dict[str, Column]]:
-    def columns(f: Column) -> dict[str, Column]:
-        return {
-            "product_id": field(f, 0),  # not stripped
-            "product_category": normalize_category(strip(field(f, 1)), category_map),
-            "segment": strip(field(f, 2)),
-        }
-
-    return columns
+def _product_fields(category_map: Mapping[str, str] | None) -> tuple[Field, ...]:
+    return (
+        Field("product_id", 0, strip=False),  # the one field left unstripped
+        Field("product_category", 1, convert=lambda c: normalize_category(c, category_map)),
+        Field("segment", 2),
+    )
 
 
-CUSTOMER = CleanerSpec(schemas.CUSTOMER, 5, _customer_columns)
-HOLIDAY = CleanerSpec(schemas.HOLIDAY, 2, _holiday_columns)
-ORDER = CleanerSpec(schemas.ORDER, 8, _order_columns)
+CUSTOMER = CleanerSpec(
+    schemas.CUSTOMER, 5, tuple(Field(n, i, convert=unquote) for i, n in enumerate(schemas.CUSTOMER.columns))
+)
+HOLIDAY = CleanerSpec(
+    schemas.HOLIDAY, 2, (Field("date", 0, convert=parse_date_day_first), Field("name", 1))
+)
+# Position 5 is the carrier date and 6 the customer delivery date (CLN10).
+ORDER = CleanerSpec(
+    schemas.ORDER,
+    8,
+    (Field("order_id", 0), Field("customer_id", 1), Field("order_status", 2))
+    + tuple(
+        Field(n, i, convert=parse_timestamp_year_first)
+        for i, n in enumerate(schemas.D_ORDER.fieldNames()[3:], start=3)
+    ),
+)
 # The reference's guard says 5 fields but field 9 is read, so 9 are needed.
-ORDER_ITEM = CleanerSpec(schemas.ORDER_ITEM, 9, _order_item_columns, _order_item_checks)
-PRODUCT = CleanerSpec(schemas.PRODUCT, 3, _product_columns_with(None))
+ORDER_ITEM = CleanerSpec(
+    schemas.ORDER_ITEM,
+    9,
+    (
+        Field("order_id", 0),
+        Field("order_item_id", 1, convert=parse_int_text),
+        Field("order_purchase_timestamp", 2, convert=parse_timestamp_year_first),
+        Field("order_approved_at", 3, convert=parse_timestamp_year_first),
+        Field("customer_id", 4),
+        Field("product_id", 5),
+        Field("price", 6, convert=parse_float_round2),
+        Field("freight_value", 7, convert=parse_float_round2),
+        Field("order_status", 8),
+    ),
+    _order_item_checks,
+)
+PRODUCT = CleanerSpec(schemas.PRODUCT, 3, _product_fields(None))
 
 SPECS = {s.entity.name: s for s in (CUSTOMER, HOLIDAY, ORDER, ORDER_ITEM, PRODUCT)}
 
 
 def parse_lines(lines: DataFrame, spec: CleanerSpec) -> DataFrame:
-    """Lines -> (value, <typed columns>, reason). No rows are dropped."""
-    fields = lines.select("value", split_fields(F.col("value")).alias(_FIELDS))
-    exprs = spec.columns(F.col(_FIELDS))
-    typed = fields.select(
+    """Lines -> (value, <typed columns>, reason). No rows are dropped.
+
+    Three projections, each reading the previous one's columns: split once,
+    strip each field once, then convert. An expression read several times by
+    the next step (a field read by a guard and a conversion) is therefore
+    computed once per row; the optimizer does not inline non-trivial
+    expressions into a projection that reads them more than once.
+    """
+    extra = [_COPIES] if _COPIES in lines.columns else []
+    split = lines.select("value", split_fields(F.col("value")).alias(_FIELDS), *extra)
+
+    def raw_name(f: Field) -> str:
+        return f"_f{f.pos}{'s' if f.strip else 'r'}"
+
+    raws: dict[str, Column] = {}
+    for f in spec.fields:
+        text = field(F.col(_FIELDS), f.pos)
+        raws[raw_name(f)] = strip(text) if f.strip else text
+    stripped = split.select(
+        "value", F.size(_FIELDS).alias("_n"), *[e.alias(n) for n, e in raws.items()], *extra
+    )
+    typed = stripped.select(
         "value",
-        F.size(_FIELDS).alias("_n"),
-        *[e.alias(n) for n, e in exprs.items()],
+        "_n",
+        *extra,
+        *[
+            (f.convert(F.col(raw_name(f))) if f.convert else F.col(raw_name(f))).alias(f.name)
+            for f in spec.fields
+        ],
     )
-    # The reason reads the parsed columns from the projection above, so each
-    # regex runs once per field (an expensive expression is not inlined twice).
+    names = [f.name for f in spec.fields]
     checks = [(TOO_FEW_FIELDS, F.col("_n") < F.lit(spec.min_fields))]
-    checks += spec.checks({n: F.col(n) for n in exprs})
+    checks += spec.checks({n: F.col(n) for n in names})
     reason = None
     for text, failed in checks:
         reason = F.when(failed, F.lit(text)) if reason is None else reason.when(failed, F.lit(text))
-    return typed.select("value", *exprs.keys(), reason.alias("reason"))
+    extra = [_COPIES] if _COPIES in lines.columns else []
+    return typed.select("value", *names, reason.alias("reason"), *extra)
 
 
 def clean_rows(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
     """CLN12: keep rows that parsed; declared column order and types."""
     cols = spec.entity.schema.fields
-    return parsed.filter(F.col("reason").isNull()).select(
-        *[F.col(c.name).cast(c.dataType).alias(c.name) for c in cols]
-    )
+    return _keep(parsed, clean=True).select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in cols])
 
 
 def reject_rows(parsed: DataFrame) -> DataFrame:
     """CLN11: rejected raw lines with their reason."""
-    return parsed.filter(F.col("reason").isNotNull()).select("value", "reason")
+    return _keep(parsed, clean=False).select("value", "reason")
 
 
 def staging_records(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
@@ -178,7 +217,7 @@ def staging_records(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
 
 def _job(spec: CleanerSpec) -> Callable[..., DataFrame]:
     def job(lines: DataFrame, dedupe: bool = True) -> DataFrame:
-        src = dedupe_lines(lines) if dedupe else lines.select("value")
+        src = _dedupe_counted(lines) if dedupe else lines.select("value")
         return clean_rows(parse_lines(src, spec), spec)
 
     job.__name__ = f"clean_{spec.entity.name[2:]}"
@@ -194,15 +233,13 @@ clean_order_item = _job(ORDER_ITEM)  # JOB4
 
 def clean_product(lines: DataFrame, dedupe: bool = True, category_map: Mapping[str, str] | None = None) -> DataFrame:
     """JOB5: product lines -> clean rows; ``category_map`` overrides CLN5's map."""
-    spec = PRODUCT if category_map is None else CleanerSpec(
-        schemas.PRODUCT, 3, _product_columns_with(category_map)
-    )
-    src = dedupe_lines(lines) if dedupe else lines.select("value")
+    spec = PRODUCT if category_map is None else CleanerSpec(schemas.PRODUCT, 3, _product_fields(category_map))
+    src = _dedupe_counted(lines) if dedupe else lines.select("value")
     return clean_rows(parse_lines(src, spec), spec)
 
 
 def rejects(lines: DataFrame, entity: str, dedupe: bool = True) -> DataFrame:
     """Rejected lines of any cleaner, after the same dedupe."""
     spec = SPECS[entity]
-    src = dedupe_lines(lines) if dedupe else lines.select("value")
+    src = _dedupe_counted(lines) if dedupe else lines.select("value")
     return reject_rows(parse_lines(src, spec))

@@ -105,3 +105,13 @@ def test_staging_records_one_pass(spark):
     by_status = {r.status: r for r in recs.collect()}
     assert by_status["clean"].value is None and by_status["clean"].order_item_id == "1"
     assert by_status["rejected"].value == "o,x" and by_status["rejected"].order_id is None
+
+
+def test_parse_runs_after_the_dedupe(spark):
+    """The clean-row filter must stay above the DISTINCT (see clean._keep)."""
+    lines = lines_df(spark, ["o,01,2017-01-02 03:04:05,,c,p,58.90,13.29,delivered"] * 3)
+    plan = cln.clean_order_item(lines)._jdf.queryExecution().optimizedPlan().toString()
+    agg_at = plan.find("Aggregate [value")
+    assert agg_at > 0
+    # no filter that parses fields below the aggregate
+    assert "split(" not in plan[agg_at:]
