@@ -31,6 +31,12 @@ SCALE_CONF = {
     # (the fact's group-by otherwise reuses the join's partitioning).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A join side is broadcast only when its measured size is under this
+    # bound (AQE checks it at runtime and keeps the sort-merge join beyond
+    # it). A broadcast is copied to every executor, so the bound stays small;
+    # the calendar, bounded by its day count, is broadcast explicitly.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "4m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
 }
