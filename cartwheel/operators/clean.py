@@ -226,7 +226,33 @@ def _job(spec: CleanerSpec) -> Callable[..., DataFrame]:
 
 
 clean_customer = _job(CUSTOMER)  # JOB1
-clean_holiday = _job(HOLIDAY)  # JOB2
+_clean_holiday_naive = _job(HOLIDAY)
+
+# Q1 option: the name field read as a CSV field (quoted, "" for a quote).
+_QUOTED_NAME = r'^[^,]*,[\s\x{1c}-\x{1f}]*"((?:[^"]|"")*)"'
+
+
+def _quoted_name(c: Column) -> Column:
+    return F.when(
+        c.rlike(_QUOTED_NAME),
+        F.replace(F.regexp_extract(c, _QUOTED_NAME, 1), F.lit('""'), F.lit('"')),
+    )
+
+
+def clean_holiday(lines: DataFrame, dedupe: bool = True, quoted_names: bool = False) -> DataFrame:
+    """JOB2: holiday lines -> (date, name).
+
+    By default the name is the second comma field, so a quoted name with a
+    comma is cut (``"Martin Luther King``), as in the reference (Q1). With
+    ``quoted_names`` a quoted second field is read whole, unquoted.
+    """
+    if not quoted_names:
+        return _clean_holiday_naive(lines, dedupe)
+    src = _dedupe_counted(lines) if dedupe else lines.select("value")
+    parsed = parse_lines(src, HOLIDAY)
+    quoted = _quoted_name(F.col("value"))
+    parsed = parsed.withColumn("name", F.when(quoted.isNotNull(), strip(quoted)).otherwise(F.col("name")))
+    return clean_rows(parsed, HOLIDAY)
 clean_order = _job(ORDER)  # JOB3
 clean_order_item = _job(ORDER_ITEM)  # JOB4
 

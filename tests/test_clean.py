@@ -115,3 +115,16 @@ def test_parse_runs_after_the_dedupe(spark):
     assert agg_at > 0
     # no filter that parses fields below the aggregate
     assert "split(" not in plan[agg_at:]
+
+
+def test_holiday_quoted_names_option(spark):
+    lines = ['19/1/2009,"Martin Luther King, Jr. Day"', '1/1/2009, "Say ""hi"", all" ,x', "4/7/2009,Plain"]
+    got = sorted(_rows(cln.clean_holiday(lines_df(spark, lines), quoted_names=True)), key=str)
+    assert got == sorted(
+        [
+            (dt.date(2009, 1, 19), "Martin Luther King, Jr. Day"),
+            (dt.date(2009, 1, 1), 'Say "hi", all'),
+            (dt.date(2009, 7, 4), "Plain"),
+        ],
+        key=str,
+    )
