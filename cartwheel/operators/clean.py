@@ -41,7 +41,7 @@ BAD_PRICE = "bad_price"
 BAD_FREIGHT_VALUE = "bad_freight_value"
 
 _FIELDS = "_fields"
-_COPIES = "_copies"
+_TASK = "_task"
 
 
 def dedupe_lines(lines: DataFrame) -> DataFrame:
@@ -54,25 +54,23 @@ def dedupe_lines(lines: DataFrame) -> DataFrame:
     return lines.select("value").distinct()
 
 
-def _dedupe_counted(lines: DataFrame) -> DataFrame:
-    """DED1 for the cleaners: the distinct lines plus their copy count."""
-    return lines.groupBy("value").agg(F.count(F.lit(1)).alias(_COPIES))
-
-
 def _keep(parsed: DataFrame, clean: bool) -> DataFrame:
-    """Filter on the parse result *after* the dedupe.
-
-    ``reason`` depends on ``value`` only, so a plain filter on it would be
-    pushed below the DISTINCT into the scan stage: the whole parse then runs
-    inlined in a Filter (no common-subexpression elimination there) on every
-    raw copy, and runs again after the shuffle. Reading the aggregate's copy
-    count in the same predicate keeps the filter above the aggregate, so
-    each distinct line is parsed once, after the shuffle.
+    """Filter parsed lines on ``reason``, keeping the filter where it is.
+
+    ``reason`` is built from the parse projections. Catalyst pushes a
+    deterministic filter through deterministic projections by inlining
+    their expressions, so a plain ``filter(reason IS NULL)`` would sink to
+    the raw lines (below the dedupe, even) and run the whole parse inside
+    the Filter, where no common subexpression is shared: the split and
+    every trim and guard regex would be re-evaluated per reference, and the
+    parse would then run once more for the output. ``parse_lines`` therefore
+    carries ``_task`` (``spark_partition_id()``, a nondeterministic value)
+    in its typed projection; a filter never moves through a projection that
+    holds a nondeterministic expression, and reading ``_task`` here keeps
+    the column from being pruned. Each distinct line is parsed once.
     """
     ok = F.col("reason").isNull() if clean else F.col("reason").isNotNull()
-    if _COPIES not in parsed.columns:
-        return parsed.filter(ok)
-    return parsed.filter(F.when(F.col(_COPIES) > 0, ok))
+    return parsed.filter(ok & (F.col(_TASK) >= 0))
 
 
 @dataclass(frozen=True)
@@ -156,10 +154,10 @@ def parse_lines(lines: DataFrame, spec: CleanerSpec) -> DataFrame:
     strip each field once, then convert. An expression read several times by
     the next step (a field read by a guard and a conversion) is therefore
     computed once per row; the optimizer does not inline non-trivial
-    expressions into a projection that reads them more than once.
+    expressions into a projection that reads them more than once. The
+    output also carries ``_task`` (see ``_keep``).
     """
-    extra = [_COPIES] if _COPIES in lines.columns else []
-    split = lines.select("value", split_fields(F.col("value")).alias(_FIELDS), *extra)
+    split = lines.select("value", split_fields(F.col("value")).alias(_FIELDS))
 
     def raw_name(f: Field) -> str:
         return f"_f{f.pos}{'s' if f.strip else 'r'}"
@@ -168,13 +166,11 @@ def parse_lines(lines: DataFrame, spec: CleanerSpec) -> DataFrame:
     for f in spec.fields:
         text = field(F.col(_FIELDS), f.pos)
         raws[raw_name(f)] = strip(text) if f.strip else text
-    stripped = split.select(
-        "value", F.size(_FIELDS).alias("_n"), *[e.alias(n) for n, e in raws.items()], *extra
-    )
+    stripped = split.select("value", F.size(_FIELDS).alias("_n"), *[e.alias(n) for n, e in raws.items()])
     typed = stripped.select(
         "value",
         "_n",
-        *extra,
+        F.spark_partition_id().alias(_TASK),  # filter barrier, see _keep
         *[
             (f.convert(F.col(raw_name(f))) if f.convert else F.col(raw_name(f))).alias(f.name)
             for f in spec.fields
@@ -186,8 +182,7 @@ def parse_lines(lines: DataFrame, spec: CleanerSpec) -> DataFrame:
     reason = None
     for text, failed in checks:
         reason = F.when(failed, F.lit(text)) if reason is None else reason.when(failed, F.lit(text))
-    extra = [_COPIES] if _COPIES in lines.columns else []
-    return typed.select("value", *names, reason.alias("reason"), *extra)
+    return typed.select("value", *names, reason.alias("reason"), _TASK)
 
 
 def clean_rows(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
@@ -217,7 +212,7 @@ def staging_records(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
 
 def _job(spec: CleanerSpec) -> Callable[..., DataFrame]:
     def job(lines: DataFrame, dedupe: bool = True) -> DataFrame:
-        src = _dedupe_counted(lines) if dedupe else lines.select("value")
+        src = dedupe_lines(lines) if dedupe else lines.select("value")
         return clean_rows(parse_lines(src, spec), spec)
 
     job.__name__ = f"clean_{spec.entity.name[2:]}"
@@ -248,7 +243,7 @@ def clean_holiday(lines: DataFrame, dedupe: bool = True, quoted_names: bool = Fa
     """
     if not quoted_names:
         return _clean_holiday_naive(lines, dedupe)
-    src = _dedupe_counted(lines) if dedupe else lines.select("value")
+    src = dedupe_lines(lines) if dedupe else lines.select("value")
     parsed = parse_lines(src, HOLIDAY)
     quoted = _quoted_name(F.col("value"))
     parsed = parsed.withColumn("name", F.when(quoted.isNotNull(), strip(quoted)).otherwise(F.col("name")))
@@ -260,12 +255,12 @@ clean_order_item = _job(ORDER_ITEM)  # JOB4
 def clean_product(lines: DataFrame, dedupe: bool = True, category_map: Mapping[str, str] | None = None) -> DataFrame:
     """JOB5: product lines -> clean rows; ``category_map`` overrides CLN5's map."""
     spec = PRODUCT if category_map is None else CleanerSpec(schemas.PRODUCT, 3, _product_fields(category_map))
-    src = _dedupe_counted(lines) if dedupe else lines.select("value")
+    src = dedupe_lines(lines) if dedupe else lines.select("value")
     return clean_rows(parse_lines(src, spec), spec)
 
 
 def rejects(lines: DataFrame, entity: str, dedupe: bool = True) -> DataFrame:
     """Rejected lines of any cleaner, after the same dedupe."""
     spec = SPECS[entity]
-    src = _dedupe_counted(lines) if dedupe else lines.select("value")
+    src = dedupe_lines(lines) if dedupe else lines.select("value")
     return reject_rows(parse_lines(src, spec))

@@ -107,14 +107,16 @@ def test_staging_records_one_pass(spark):
     assert by_status["rejected"].value == "o,x" and by_status["rejected"].order_id is None
 
 
-def test_parse_runs_after_the_dedupe(spark):
-    """The clean-row filter must stay above the DISTINCT (see clean._keep)."""
+def test_parse_runs_once_after_the_dedupe(spark):
+    """The clean-row filter must not inline the parse (see clean._keep)."""
     lines = lines_df(spark, ["o,01,2017-01-02 03:04:05,,c,p,58.90,13.29,delivered"] * 3)
     plan = cln.clean_order_item(lines)._jdf.queryExecution().optimizedPlan().toString()
-    agg_at = plan.find("Aggregate [value")
-    assert agg_at > 0
-    # no filter that parses fields below the aggregate
-    assert "split(" not in plan[agg_at:]
+    assert plan.count("split(") == 1
+    # one guard per parsed field, plus the integer's sign check
+    assert plan.count("RLIKE(") == 6
+    # nothing is parsed below the dedupe (on raw copies)
+    below = plan.split("Aggregate [value", 1)[1].split("\n", 1)[1]
+    assert "split(" not in below and "RLIKE(" not in below
 
 
 def test_holiday_quoted_names_option(spark):
