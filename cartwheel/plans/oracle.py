@@ -240,10 +240,26 @@ SELECT value, reason FROM R WHERE reason IS NOT NULL"""
 REJECTS_ORDER = f"""WITH {ORDER_LINES}, {SPLIT}
 SELECT value, 'too_few_fields' AS reason FROM P WHERE len(f) < 8"""
 
+REJECTS_CUSTOMER = f"""WITH {CUSTOMER_LINES}, {SPLIT}
+SELECT value, 'too_few_fields' AS reason FROM P WHERE len(f) < 5"""
+
+REJECTS_PRODUCT = f"""WITH {PRODUCT_LINES}, {SPLIT}
+SELECT value, 'too_few_fields' AS reason FROM P WHERE len(f) < 3"""
+
+REJECTS_HOLIDAY = f"""WITH {HOLIDAY_LINES}, {SPLIT}
+SELECT value, 'too_few_fields' AS reason FROM P WHERE len(f) < 2"""
+
 CLEAN_HOLIDAY = f"""WITH {HOLIDAY_LINES}, {SPLIT}
 SELECT {DATE3.format(x="trim(f[1])")} AS date, trim(f[2]) AS name
 FROM P WHERE len(f) >= 2"""
 
+CLEAN_HOLIDAY_QUOTED = f"""WITH {HOLIDAY_LINES}, {SPLIT}
+SELECT {DATE3.format(x="trim(f[1])")} AS date,
+       CASE WHEN regexp_matches(value, '^[^,]*,\\s*"((?:[^"]|"")*)"')
+            THEN trim(replace(regexp_extract(value, '^[^,]*,\\s*"((?:[^"]|"")*)"', 1), '""', '"'))
+            ELSE trim(f[2]) END AS name
+FROM P WHERE len(f) >= 2"""
+
 DISTINCT_LINES = f"""WITH {ORDER_ITEM_LINES}
 SELECT DISTINCT value FROM LL"""
 
@@ -347,8 +363,12 @@ def registry() -> dict[str, str]:
         "clean_order": CLEAN_ORDER,
         "clean_order_item": CLEAN_ORDER_ITEM,
         "clean_holiday": CLEAN_HOLIDAY,
+        "clean_holiday_quoted": CLEAN_HOLIDAY_QUOTED,
         "rejects_order_item": REJECTS_ORDER_ITEM,
         "rejects_order": REJECTS_ORDER,
+        "rejects_customer": REJECTS_CUSTOMER,
+        "rejects_product": REJECTS_PRODUCT,
+        "rejects_holiday": REJECTS_HOLIDAY,
         "distinct_lines": DISTINCT_LINES,
         "category_normalize": CATEGORY_NORMALIZE,
         "merge_customer": MERGE_CUSTOMER,

@@ -114,6 +114,11 @@ def clean_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.clean_holiday(roles.holiday_lines_from_orders(spark, sf_dir))
 
 
+def clean_holiday_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 option: quoted holiday names read whole."""
+    return cln.clean_holiday(roles.holiday_lines_from_orders(spark, sf_dir), quoted_names=True)
+
+
 def rejects_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.rejects(roles.order_item_lines(spark, sf_dir), "d_order_item")
 
@@ -122,6 +127,19 @@ def rejects_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cln.rejects(roles.order_lines(spark, sf_dir), "d_order")
 
 
+def rejects_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.rejects(roles.customer_lines(spark, sf_dir), "d_customer")
+
+
+def rejects_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: bad product rows go to rejects (the reference sends None on)."""
+    return cln.rejects(roles.product_lines(spark, sf_dir), "d_product")
+
+
+def rejects_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cln.rejects(roles.holiday_lines_from_orders(spark, sf_dir), "d_holiday")
+
+
 def distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DED1 on the order-item export (every line twice, plus true copies)."""
     return cln.dedupe_lines(roles.order_item_lines(spark, sf_dir))
@@ -191,8 +209,12 @@ def registry() -> dict[str, Query]:
         "clean_order": clean_order,
         "clean_order_item": clean_order_item,
         "clean_holiday": clean_holiday,
+        "clean_holiday_quoted": clean_holiday_quoted,
         "rejects_order_item": rejects_order_item,
         "rejects_order": rejects_order,
+        "rejects_customer": rejects_customer,
+        "rejects_product": rejects_product,
+        "rejects_holiday": rejects_holiday,
         "distinct_lines": distinct_lines,
         "category_normalize": category_normalize,
         "merge_customer": merge_customer,
