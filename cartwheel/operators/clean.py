@@ -221,7 +221,7 @@ def _job(spec: CleanerSpec) -> Callable[..., DataFrame]:
 
 
 clean_customer = _job(CUSTOMER)  # JOB1
-_clean_holiday_naive = _job(HOLIDAY)
+_clean_holiday_naive = _job(HOLIDAY)  # JOB2 (see clean_holiday)
 
 # Q1 option: the name field read as a CSV field (quoted, "" for a quote).
 _QUOTED_NAME = r'^[^,]*,[\s\x{1c}-\x{1f}]*"((?:[^"]|"")*)"'
@@ -248,6 +248,8 @@ def clean_holiday(lines: DataFrame, dedupe: bool = True, quoted_names: bool = Fa
     quoted = _quoted_name(F.col("value"))
     parsed = parsed.withColumn("name", F.when(quoted.isNotNull(), strip(quoted)).otherwise(F.col("name")))
     return clean_rows(parsed, HOLIDAY)
+
+
 clean_order = _job(ORDER)  # JOB3
 clean_order_item = _job(ORDER_ITEM)  # JOB4
 

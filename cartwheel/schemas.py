@@ -140,24 +140,7 @@ D_DATE_COLUMNS = [
     "is_holiday",
 ]
 
-FACT_COLUMNS = [
-    "order_purchase_date",
-    "is_weekday",
-    "is_holiday",
-    "order_id",
-    "product_id",
-    "order_item_id",
-    "order_approved_at",
-    "order_status",
-    "product_segment",
-    "product_category",
-    "customer_id",
-    "customer_unique_id",
-    "customer_state",
-    "freight_value",
-    "avg_price",
-    "product_quantity",
-]
+
 
 FACT = _schema(
     ("order_purchase_date", D),
@@ -177,3 +160,5 @@ FACT = _schema(
     ("avg_price", F64),
     ("product_quantity", T.LongType()),
 )
+
+FACT_COLUMNS = [f.name for f in FACT.fields]
