@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A calendar of 100 years with a few holidays per day stays far below this.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# About a century of days with up to ten holiday rows per day (a few MB of
+# (date, flag, flag) rows): larger than any calendar, small enough to copy to
+# every executor.
+DEFAULT_MAX_BROADCAST_ROWS = 400_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
