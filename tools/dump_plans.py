@@ -54,6 +54,7 @@ def main() -> None:
         df = getattr(queries, name)(spark, sf_dir)
         df.collect()  # this DataFrame's own execution, so its AQE plan is final
         plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]  # keep the final plan only
         lines = [_shorten(x) for x in plan.splitlines() if x.strip()]
         exchanges = sum("Exchange hashpartitioning" in x for x in lines)
         out += [f"## {name}", "", note, "", f"Hash exchanges: {exchanges}.", "", "```", *lines, "```", ""]
