@@ -7,15 +7,20 @@ drops and stops; each micro-batch is staged and merged with the same batch
 operators (dedupe within the batch, clean, stage, merge, publish).
 
 Failure behaviour: a micro-batch is committed to the checkpoint only after
-its merge has published the dimension's next version. If a driver dies in
-between, the batch is replayed; the merge is idempotent for drops with
-unique non-NULL keys (merging the same staging twice equals once), and the
-insert-only holiday merge re-inserts only NULL-date rows, as it does on any
-rerun (Q7).
+its merge has published the dimension's next version, and after that
+publish a marker ``<warehouse>/stream_state/<entity>/<stream>/batch=<id>``
+records the batch (``<stream>`` names the checkpoint, whose batch ids it
+counts). A replayed batch whose marker exists is skipped. Only a driver
+loss in the short gap between the publish and the marker replays a batch
+that was applied; the upsert is idempotent for drops with unique non-NULL
+keys (merging the same staging twice equals once), and the insert-only
+holiday merge would re-insert that batch's NULL-date rows (Q7).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,14 +28,23 @@ from cartwheel import schemas
 from cartwheel.operators import clean as cln
 from cartwheel.plans import loads
 from cartwheel.sources.lines import stream_lines
-from cartwheel.sources.tables import publish
+from cartwheel.sources.tables import marker_exists, publish, write_marker
+
 
+def apply_batch(entity_name: str, wh: loads.Warehouse, stream: str):
+    """The foreachBatch function: stage and merge one micro-batch, once.
 
-def _apply_batch(entity_name: str, wh: loads.Warehouse):
+    ``stream`` identifies the query's checkpoint (batch ids restart with a
+    new checkpoint, so markers are kept per checkpoint).
+    """
     spec = cln.SPECS[entity_name]
+    scope = hashlib.sha1(stream.encode()).hexdigest()[:16]
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        marker = f"{wh.path('stream_state', entity_name)}/{scope}/batch={epoch_id:020d}"
+        if marker_exists(spark, marker):
+            return  # applied before a restart; the checkpoint had not committed it
         parsed = cln.parse_lines(cln.dedupe_lines(batch), spec)
         publish(
             cln.staging_records(parsed, spec),
@@ -39,6 +53,7 @@ def _apply_batch(entity_name: str, wh: loads.Warehouse):
             partition_by=["status"],
         )
         loads.merge_staged(spark, entity_name, wh)
+        write_marker(spark, marker)
 
     return apply
 
@@ -64,7 +79,7 @@ def start_dimension_stream(
         raise ValueError(f"unknown entity {entity_name}")
     lines = stream_lines(spark, landing_path, max_files=max_files_per_trigger)
     writer = (
-        lines.writeStream.foreachBatch(_apply_batch(entity_name, wh))
+        lines.writeStream.foreachBatch(apply_batch(entity_name, wh, checkpoint_location))
         .option("checkpointLocation", checkpoint_location)
         .queryName(f"load_{entity_name}")
     )
