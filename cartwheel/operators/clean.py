@@ -234,6 +234,13 @@ def _quoted_name(c: Column) -> Column:
     )
 
 
+def read_quoted_names(parsed: DataFrame) -> DataFrame:
+    """Q1 option on parsed holiday lines: a quoted second field is read
+    whole and unquoted instead of being cut at its first comma."""
+    quoted = _quoted_name(F.col("value"))
+    return parsed.withColumn("name", F.when(quoted.isNotNull(), strip(quoted)).otherwise(F.col("name")))
+
+
 def clean_holiday(lines: DataFrame, dedupe: bool = True, quoted_names: bool = False) -> DataFrame:
     """JOB2: holiday lines -> (date, name).
 
@@ -244,10 +251,7 @@ def clean_holiday(lines: DataFrame, dedupe: bool = True, quoted_names: bool = Fa
     if not quoted_names:
         return _clean_holiday_naive(lines, dedupe)
     src = dedupe_lines(lines) if dedupe else lines.select("value")
-    parsed = parse_lines(src, HOLIDAY)
-    quoted = _quoted_name(F.col("value"))
-    parsed = parsed.withColumn("name", F.when(quoted.isNotNull(), strip(quoted)).otherwise(F.col("name")))
-    return clean_rows(parsed, HOLIDAY)
+    return clean_rows(read_quoted_names(parse_lines(src, HOLIDAY)), HOLIDAY)
 
 
 clean_order = _job(ORDER)  # JOB3

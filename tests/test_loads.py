@@ -99,3 +99,16 @@ def test_second_load_with_duplicate_matched_keys_fails(spark, scratch):
         loads.load_dimension(spark, "d_product", folder, wh)
     # the failed merge published nothing: the table is unchanged
     assert len(_snapshot(spark, wh, "d_product")) == 2
+
+
+def test_calendar_load_with_quoted_names(spark, scratch):
+    wh = loads.Warehouse(scratch + "/wh")
+    folder = f"{scratch}/hol"
+    os.makedirs(folder)
+    with open(folder + "/h.csv", "w") as f:
+        f.write('date,name\n19/1/2009,"Martin Luther King, Jr. Day"\n1/1/2009,New Year\n')
+    loads.load_calendar(spark, folder, wh, quoted_names=True, lo="2009-01-01", hi="2009-01-31")
+    names = sorted(r.name for r in read_table(spark, wh.dimension("d_holiday"), schemas.D_HOLIDAY).collect())
+    assert names == ["Martin Luther King, Jr. Day", "New Year"]
+    hol = [r for r in loads.read_d_date(spark, wh).collect() if r.is_holiday]
+    assert sorted(r.day for r in hol) == [1, 19]
