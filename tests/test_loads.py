@@ -1,5 +1,6 @@
 """End to end: CSV drops -> staging -> dimensions -> calendar -> fact, twice."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -112,3 +113,30 @@ def test_calendar_load_with_quoted_names(spark, scratch):
     assert names == ["Martin Luther King, Jr. Day", "New Year"]
     hol = [r for r in loads.read_d_date(spark, wh).collect() if r.is_holiday]
     assert sorted(r.day for r in hol) == [1, 19]
+
+
+def test_missing_inputs_raise_and_publish_nothing(spark, scratch):
+    wh = loads.Warehouse(scratch + "/nowhere")
+    for step in (loads.refresh_fact, loads.build_calendar, lambda s, w: loads.merge_staged(s, "d_product", w)):
+        with pytest.raises(FileNotFoundError):
+            step(spark, wh)
+    assert not os.path.exists(wh.fact) and not os.path.exists(wh.d_date)
+
+
+def test_calendar_bounds_each_on_its_own(spark, scratch):
+    wh = loads.Warehouse(scratch + "/wh")
+    os.makedirs(f"{scratch}/hol")
+    with open(f"{scratch}/hol/h.csv", "w") as f:
+        f.write("date,name\n1/1/2020,New Year\n")
+
+    def span(**bounds):
+        loads.load_calendar(spark, f"{scratch}/hol", wh, **bounds)
+        row = loads.read_d_date(spark, wh).selectExpr("min(Date) lo", "max(Date) hi").first()
+        return str(row.lo), str(row.hi)
+
+    assert span(lo="2020-01-01") == ("2020-01-01", "2025-12-31")
+    assert span(hi="2017-01-31") == ("2016-09-01", "2017-01-31")
+    assert span(end_year=2018) == ("2016-09-01", "2018-12-31")
+    assert span(with_day_of_week=False, run_date=dt.date(2019, 5, 5)) == ("2016-01-01", "2020-12-31")
+    with pytest.raises(ValueError):
+        loads.build_calendar(spark, wh, hi="2017-01-31", end_year=2018)
