@@ -62,11 +62,6 @@ D_HOLIDAY = _schema(
     ("name", S),
 )
 
-REJECTS = _schema(
-    ("value", S),
-    ("reason", S),
-)
-
 
 @dataclass(frozen=True)
 class Entity:
@@ -126,21 +121,6 @@ HOLIDAY = Entity("d_holiday", D_HOLIDAY, ("date", "name"), None)
 
 ENTITIES = {e.name: e for e in (CUSTOMER, ORDER, ORDER_ITEM, PRODUCT, HOLIDAY)}
 
-# Calendar dimension; ``day_of_week`` only in the variant that asks for it.
-D_DATE_COLUMNS = [
-    "Date",
-    "first_day_of_the_month",
-    "year",
-    "week",
-    "day",
-    "quarter",
-    "month",
-    "day_of_week",
-    "is_weekday",
-    "is_holiday",
-]
-
-
 
 FACT = _schema(
     ("order_purchase_date", D),

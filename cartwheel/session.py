@@ -1,15 +1,14 @@
 """SparkSession settings the operators rely on.
 
 The operators only *read* session state; they never reconfigure a session
-they were handed. ``get_session`` is for scripts, tests and the bench; on a
-cluster the submitter's session (with its own shuffle sizing and shared
-``spark.checkpoint.dir``) is used as is.
+they were handed. ``get_session`` adds them to the submitter's session, whose
+master and shuffle sizing stay as submitted; ``local_session`` is for tests,
+tools and the bench.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -42,52 +41,42 @@ SCALE_CONF = {
 }
 
 
+# What a session that was built elsewhere needs on top of REQUIRED_CONF for a
+# hot order_id to be split before the fact's group-by.
+SKEW_CONF = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "cartwheel",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or fetch) a session with the required and scale settings."""
-    master = master or os.environ.get("SPARK_MASTER", "local[8]")
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or fetch) a session with the required and scale settings.
+
+    The master and the number of shuffle partitions are the submitter's
+    (``spark-submit`` options, ``spark-defaults.conf``); they are set here only
+    when passed.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = {**REQUIRED_CONF, **SCALE_CONF}
-    conf.update(
-        {
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
-            "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
-        }
-    )
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a local session without one (tests, the bench) gets a fresh
-    scratch folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; a cluster session must name a shared folder"
-        )
-    folder = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-    sc.setCheckpointDir(folder)
-    return folder
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name: str = "cartwheel") -> SparkSession:
+    """A session on this machine alone, for tests, tools and the bench."""
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    memory = {"spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g")}
+    spark = get_session(f"local[{cores}]", shuffle_partitions, app_name, quiet | memory)
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark

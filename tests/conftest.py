@@ -10,9 +10,9 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from cartwheel.session import get_session
+    from cartwheel.session import local_session
 
-    s = get_session(master="local[*]", shuffle_partitions=8, app_name="cartwheel-tests")
+    s = local_session(app_name="cartwheel-tests")
     yield s
 
 

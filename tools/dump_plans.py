@@ -36,10 +36,10 @@ def _shorten(line: str, width: int = 150) -> str:
 
 def main() -> None:
     from cartwheel.plans import queries
-    from cartwheel.session import get_session
+    from cartwheel.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session(shuffle_partitions=16)
+    spark = local_session(shuffle_partitions=16)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     out = [
