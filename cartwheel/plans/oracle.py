@@ -76,11 +76,12 @@ def _calendar(dedupe: bool) -> str:
     return CALENDAR.format(hol_src=HOL_DEDUP if dedupe else HOL_ALL)
 
 
-def _dim_date(with_dow: bool, dedupe: bool) -> str:
+def _dim_date(with_dow: bool, dedupe: bool, years_ahead: int = 0) -> str:
     cols = '"Date", first_day_of_the_month, year, week, day, quarter, month, '
     cols += "day_of_week, " if with_dow else ""
     cols += "is_weekday, is_holiday"
-    return f"WITH {_calendar(dedupe)}\nSELECT {cols} FROM dd"
+    calendar = _calendar(dedupe).replace("year(max(o_orderdate))", f"year(max(o_orderdate)) + {years_ahead}")
+    return f"WITH {calendar}\nSELECT {cols} FROM dd"
 
 
 # ---------------------------------------------------------------- fact
@@ -162,9 +163,10 @@ L AS (
               || CASE WHEN l_partkey % 40 = 3 THEN 'x' ELSE '0' || CAST(l_linenumber AS VARCHAR) END || ','
               || {_stamp('o_orderdate', 'l_orderkey')} || ',,' || CAST(o_custkey AS VARCHAR) || ','
               || CAST(l_partkey AS VARCHAR) || ','
-              || CASE WHEN l_partkey % 40 = 5 THEN 'n/a' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END
-              || ',' || CAST(CAST(l_tax AS DECIMAL(12,2)) AS VARCHAR) || ',' || o_orderstatus END AS value
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+              || CASE WHEN l_partkey % 40 = 5 THEN 'n/a' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || third END
+              || ',' || CASE WHEN l_partkey % 40 = 9 THEN 'free' ELSE CAST(CAST(l_tax AS DECIMAL(12,2)) AS VARCHAR) || third END
+              || ',' || o_orderstatus END AS value
+  FROM (SELECT *, CASE WHEN l_partkey % 8 = 1 THEN '5' ELSE '' END AS third FROM lineitem) JOIN orders ON l_orderkey = o_orderkey),
 LL AS (SELECT value FROM L UNION ALL SELECT value FROM L)"""
 
 HOLIDAY_LINES = """
@@ -224,12 +226,21 @@ _ITEM_REASON = """CASE WHEN len(f) < 9 THEN 'too_few_fields'
             WHEN TRY_CAST(trim(f[7]) AS DOUBLE) IS NULL THEN 'bad_price'
             WHEN TRY_CAST(trim(f[8]) AS DOUBLE) IS NULL THEN 'bad_freight_value' END"""
 
+# round(x, 2) of a double >= 2^-8 or 0 on its exact binary value, in whole
+# numbers: x * 2^60 is a whole number there; half to even.
+def _exact2(text: str) -> str:
+    scaled = f"(CAST(CAST({text} AS DOUBLE) * 1152921504606846976.0 AS HUGEINT) * 100)"
+    whole, rest = f"({scaled} // 1152921504606846976)", f"({scaled} % 1152921504606846976)"
+    up = f"({rest} > 576460752303423488 OR ({rest} = 576460752303423488 AND {whole} % 2 = 1))"
+    return f"CAST({whole} + CASE WHEN {up} THEN 1 ELSE 0 END AS DOUBLE) / 100.0"
+
+
 CLEAN_ORDER_ITEM = f"""WITH {ORDER_ITEM_LINES}, {SPLIT},
 R AS (SELECT *, {_ITEM_REASON} AS reason FROM P)
 SELECT trim(f[1]) AS order_id, CAST(TRY_CAST(trim(f[2]) AS BIGINT) AS VARCHAR) AS order_item_id,
        {_ts(3)} AS order_purchase_timestamp, {_ts(4)} AS order_approved_at,
        trim(f[5]) AS customer_id, trim(f[6]) AS product_id,
-       round(TRY_CAST(trim(f[7]) AS DOUBLE), 2) AS price, round(TRY_CAST(trim(f[8]) AS DOUBLE), 2) AS freight_value,
+       {_exact2("trim(f[7])")} AS price, {_exact2("trim(f[8])")} AS freight_value,
        trim(f[9]) AS order_status
 FROM R WHERE reason IS NULL"""
 
@@ -284,6 +295,20 @@ SELECT {sel}
 FROM TT t FULL OUTER JOIN SS s ON {on}"""
 
 
+# The rows a MERGE must get right, by the number n in the key: NULL keys (n % 40 =
+# 0), blanks in one column of the source (n % 7 = 0), and source rows that come
+# twice where no target row has their key (n % 5 = 0).
+def _spoilt(rows: str, key: str, blank: str | None = None, new: str | None = None) -> str:
+    n = f"CAST({key} AS BIGINT)"
+    replaced = f"CASE WHEN {n} % 40 <> 0 THEN {key} END AS {key}"
+    if blank:
+        replaced += f", CASE WHEN {n} % 7 <> 0 THEN {blank} END AS {blank}"
+    once = f"SELECT * REPLACE ({replaced}) FROM ({rows})"
+    if not new:
+        return once
+    return f"{once} UNION ALL SELECT * REPLACE ({replaced}) FROM ({rows}) WHERE ({new}) AND {n} % 5 = 0"
+
+
 _CUSTOMER_COLS = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
 _CUST_REGION = """
 cr AS (
@@ -291,17 +316,20 @@ cr AS (
          lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
          c_mktsegment AS customer_city, n_name AS customer_state, r_name
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-T AS (SELECT customer_id, customer_unique_id, customer_zip_code_prefix, lower(customer_city) AS customer_city,
-             customer_state FROM cr WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA')),
-S AS (SELECT customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state
-      FROM cr WHERE r_name IN ('ASIA', 'EUROPE', 'MIDDLE EAST'))"""
+T AS ({t}),
+S AS (SELECT * EXCLUDE (r_name) FROM ({s}))""".format(
+    t=_spoilt("SELECT * EXCLUDE (r_name) REPLACE (lower(customer_city) AS customer_city) FROM cr WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA')", "customer_id"),
+    s=_spoilt("SELECT * FROM cr WHERE r_name IN ('ASIA', 'EUROPE', 'MIDDLE EAST')", "customer_id", "customer_city", "r_name <> 'ASIA'"),
+)
 MERGE_CUSTOMER = _upsert(_CUST_REGION, ["customer_id", "customer_unique_id"], _CUSTOMER_COLS)
 
 _PRODUCT_SIDES = """
-T AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, lower(p_type) AS product_category, p_brand AS segment
-      FROM part WHERE p_size <= 30),
-S AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category, p_brand AS segment
-      FROM part WHERE p_size >= 20)"""
+pr AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category, p_brand AS segment, p_size FROM part),
+T AS ({t}),
+S AS (SELECT * EXCLUDE (p_size) FROM ({s}))""".format(
+    t=_spoilt("SELECT * EXCLUDE (p_size) REPLACE (lower(product_category) AS product_category) FROM pr WHERE p_size <= 30", "product_id"),
+    s=_spoilt("SELECT * FROM pr WHERE p_size >= 20", "product_id", "segment", "p_size > 30"),
+)
 MERGE_PRODUCT = _upsert(_PRODUCT_SIDES, ["product_id"], ["product_id", "product_category", "segment"])
 
 _ORDER_COLS = [
@@ -309,11 +337,8 @@ _ORDER_COLS = [
     "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
 ]
 _ORDER_SIDES = f"""{ROLES},
-T AS (SELECT order_id, customer_id, 'O' AS order_status, order_purchase_timestamp,
-             CAST(NULL AS TIMESTAMP) AS order_approved_at, order_delivered_carrier_date,
-             order_delivered_customer_date, order_estimated_delivery_date
-      FROM ord WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'),
-S AS (SELECT * FROM ord WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01')"""
+T AS ({_spoilt("SELECT * REPLACE ('O' AS order_status, CAST(NULL AS TIMESTAMP) AS order_approved_at) FROM ord WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'", "order_id")}),
+S AS ({_spoilt("SELECT * FROM ord WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01'", "order_id", "order_status", "order_purchase_timestamp >= TIMESTAMP '1999-01-01'")})"""
 MERGE_ORDER = _upsert(_ORDER_SIDES, ["order_id"], _ORDER_COLS)
 
 _ITEM_COLS = [
@@ -321,14 +346,12 @@ _ITEM_COLS = [
     "product_id", "price", "freight_value", "order_status",
 ]
 _ITEM_SIDES = f"""{ROLES},
-T AS (SELECT order_id, order_item_id, order_purchase_timestamp, order_approved_at, customer_id, product_id,
-             price, CAST(NULL AS DOUBLE) AS freight_value, order_status
-      FROM item WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'),
-S AS (SELECT order_id, order_item_id, order_purchase_timestamp, order_approved_at, customer_id, product_id,
-             price, freight_value, order_status
+latest AS (SELECT * EXCLUDE (rn)
       FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id, product_id
                                          ORDER BY price DESC, freight_value DESC) AS rn
-            FROM item WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01') WHERE rn = 1)"""
+            FROM item WHERE order_purchase_timestamp >= TIMESTAMP '1998-01-01') WHERE rn = 1),
+T AS ({_spoilt("SELECT * REPLACE (CAST(NULL AS DOUBLE) AS freight_value) FROM item WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'", "order_id")}),
+S AS ({_spoilt("SELECT * FROM latest", "order_id", "price", "order_purchase_timestamp >= TIMESTAMP '1999-01-01'")})"""
 MERGE_ORDER_ITEM = _upsert(_ITEM_SIDES, ["order_id", "order_item_id", "product_id"], _ITEM_COLS)
 
 
@@ -350,13 +373,43 @@ UNION ALL
 SELECT s.date, s.name FROM S s WHERE NOT EXISTS (SELECT 1 FROM T t WHERE t.date = s.date AND t.name = s.name)"""
 
 
+MERGE_CONFLICTS = f"""WITH {ROLES},
+several AS (SELECT order_id, order_item_id, product_id, count(*) AS source_rows FROM item
+            GROUP BY order_id, order_item_id, product_id HAVING count(*) > 1)
+SELECT DISTINCT order_id, order_item_id, product_id, source_rows
+FROM several JOIN item USING (order_id, order_item_id, product_id)
+WHERE order_purchase_timestamp < TIMESTAMP '1999-01-01'"""
+
+
+# ---------------------------------------------------------------- the chain
+def _chained(sides: str, clean: str, keys: list[str], cols: list[str]) -> str:
+    """The merge of a cleaner's rows into the older load (the T of ``sides``)."""
+    t = f"WITH {sides} SELECT * FROM T"
+    return f"({_upsert(f'T AS ({t}), S AS ({clean})', keys, cols)})"
+
+
+_ITEM_KEYS = ["order_id", "order_item_id", "product_id"]
+_LATEST_ITEMS = f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id, product_id
+                               ORDER BY price DESC, freight_value DESC) AS rn FROM ({CLEAN_ORDER_ITEM})) WHERE rn = 1"""
+
+PIPELINE_FACT = _fact(False).replace(
+    ROLES,
+    f"""
+cust AS {_chained(_CUST_REGION, CLEAN_CUSTOMER, ["customer_id", "customer_unique_id"], _CUSTOMER_COLS)},
+prod AS {_chained(_PRODUCT_SIDES, CLEAN_PRODUCT, ["product_id"], ["product_id", "product_category", "segment"])},
+ord AS {_chained(_ORDER_SIDES, CLEAN_ORDER, ["order_id"], _ORDER_COLS)},
+item AS {_chained(_ITEM_SIDES, _LATEST_ITEMS, _ITEM_KEYS, _ITEM_COLS)}""",
+)
+
+
 def registry() -> dict[str, str]:
     return {
         "fact_transaction": _fact(False),
         "fact_transaction_dedup": _fact(True),
         "fact_order_item_joins": FACT_JOINS_ONLY,
         "dim_date_file": _dim_date(True, False),
-        "dim_date_scheduled": _dim_date(False, False),
+        "dim_date_scheduled": _dim_date(False, False, years_ahead=1),
         "dim_date_dedup": _dim_date(True, True),
         "clean_customer": CLEAN_CUSTOMER,
         "clean_product": CLEAN_PRODUCT,
@@ -376,4 +429,6 @@ def registry() -> dict[str, str]:
         "merge_order": MERGE_ORDER,
         "merge_order_item": MERGE_ORDER_ITEM,
         "merge_holiday": MERGE_HOLIDAY,
+        "merge_conflicts_order_item": MERGE_CONFLICTS,
+        "pipeline_fact": PIPELINE_FACT,
     }

@@ -39,14 +39,23 @@ def _dim_date(spark: SparkSession, sf_dir: str, with_dow: bool, dedupe: bool) ->
     return cal_ops.dim_date(_spine(spark, sf_dir), calendar_holidays(spark, sf_dir), with_dow, dedupe)
 
 
+def _small_calendar(spark: SparkSession, sf_dir: str, dedupe: bool) -> DataFrame:
+    # One row per day of the orders' years, two on the rules' double holiday: a
+    # few thousand rows a decade, whatever the number of orders.
+    return F.broadcast(_dim_date(spark, sf_dir, True, dedupe))
+
+
 def dim_date_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CAL1-11, file variant (with day_of_week)."""
     return _dim_date(spark, sf_dir, True, False)
 
 
 def dim_date_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CAL1-11, scheduled variant (no day_of_week)."""
-    return _dim_date(spark, sf_dir, False, False)
+    """CAL1-11, scheduled variant (no day_of_week), up to the end of the year
+    after the run year (CAL2), the run date being the last order date."""
+    spine = cal_ops.date_spine_from_bounds(roles.scheduled_calendar_bounds(spark, sf_dir))
+    holidays = cln.clean_holiday(roles.holiday_lines_for_spine(spine))
+    return cal_ops.dim_date(spine, holidays, False, False)
 
 
 def dim_date_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +74,7 @@ def _fact_inputs(spark: SparkSession, sf_dir: str, dedupe_holidays: bool):
         roles.orders(spark, sf_dir),
         roles.products(spark, sf_dir),
         roles.customers(spark, sf_dir),
-        _dim_date(spark, sf_dir, True, dedupe_holidays),
+        _small_calendar(spark, sf_dir, dedupe_holidays),
     )
 
 
@@ -196,6 +205,40 @@ def merge_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mrg.merge_entity(cln.clean_holiday(old_lines), cln.clean_holiday(new_lines), schemas.HOLIDAY)
 
 
+def merge_conflicts_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRG6: keys of loaded items that the raw export matches more than once."""
+    return mrg.merge_conflicts(*roles.order_item_conflict_sides(spark, sf_dir), schemas.ORDER_ITEM.keys)
+
+
+# --------------------------------------------------------------------------
+# The whole chain
+# --------------------------------------------------------------------------
+
+
+def pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP1-PIP3 without the files: dirty lines -> cleaners -> merges into the
+    older load -> calendar -> fact, as one lazy plan."""
+    lines = {
+        schemas.CUSTOMER: cln.clean_customer(roles.customer_lines(spark, sf_dir)),
+        schemas.PRODUCT: cln.clean_product(roles.product_lines(spark, sf_dir)),
+        schemas.ORDER: cln.clean_order(roles.order_lines(spark, sf_dir)),
+        schemas.ORDER_ITEM: cln.clean_order_item(roles.order_item_lines(spark, sf_dir)),
+    }
+    # the raw export has a few item keys twice, which a merge would refuse
+    lines[schemas.ORDER_ITEM] = roles.latest_per_key(
+        lines[schemas.ORDER_ITEM], list(schemas.ORDER_ITEM.keys), ["price", "freight_value"]
+    )
+    older = {
+        schemas.CUSTOMER: roles.customer_merge_sides(spark, sf_dir)[0],
+        schemas.PRODUCT: roles.product_merge_sides(spark, sf_dir)[0],
+        schemas.ORDER: roles.order_merge_sides(spark, sf_dir)[0],
+        schemas.ORDER_ITEM: roles.order_item_merge_sides(spark, sf_dir)[0],
+    }
+    table = {entity: mrg.merge_entity(older[entity], rows, entity) for entity, rows in lines.items()}
+    dates = _small_calendar(spark, sf_dir, False)
+    return build_fact(table[schemas.ORDER_ITEM], table[schemas.ORDER], table[schemas.PRODUCT], table[schemas.CUSTOMER], dates)
+
+
 def registry() -> dict[str, Query]:
     return {
         "fact_transaction": fact_transaction,
@@ -222,4 +265,6 @@ def registry() -> dict[str, Query]:
         "merge_order": merge_order,
         "merge_order_item": merge_order_item,
         "merge_holiday": merge_holiday,
+        "merge_conflicts_order_item": merge_conflicts_order_item,
+        "pipeline_fact": pipeline_fact,
     }

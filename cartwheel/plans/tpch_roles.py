@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.operators.calendar import scheduled_bounds
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -97,6 +99,13 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scheduled_calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row (lo, hi) as the yearly job has them if it runs on the last order
+    date: from Jan 1 of the first order year to Dec 31 of next year."""
+    o = table(spark, sf_dir, "orders")
+    return scheduled_bounds(o, "o_orderdate", F.make_date(F.year(F.min("o_orderdate")), F.lit(1), F.lit(1)))
+
+
 def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row (lo, hi): Jan 1 of the first and Dec 31 of the last order year."""
     o = table(spark, sf_dir, "orders")
@@ -215,11 +224,14 @@ def order_item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _items_joined(spark, sf_dir)
     k, p, d = F.col("l_orderkey"), F.col("l_partkey"), F.col("o_orderdate")
     item = F.when(p % 40 == 3, F.lit("x")).otherwise(F.concat(F.lit("0"), _s("l_linenumber")))
-    price = F.when(p % 40 == 5, F.lit("n/a")).otherwise(_s(F.col("l_extendedprice").cast("decimal(12,2)")))
+    # every eighth price and freight ends in a third decimal 5, a tie in text
+    third = F.when(p % 8 == 1, F.lit("5")).otherwise(F.lit(""))
+    price = F.when(p % 40 == 5, F.lit("n/a")).otherwise(F.concat(_s(F.col("l_extendedprice").cast("decimal(12,2)")), third))
+    freight = F.when(p % 40 == 9, F.lit("free")).otherwise(F.concat(_s(F.col("l_tax").cast("decimal(12,2)")), third))
     line = F.when(k % 50 == 7, F.concat(_s(k), F.lit(",1,a,b,c"))).otherwise(
         F.concat(
             _s(k), F.lit(","), item, F.lit(","), _stamp(d, k), F.lit(",,"), _s("o_custkey"), F.lit(","),
-            _s(p), F.lit(","), price, F.lit(","), _s(F.col("l_tax").cast("decimal(12,2)")),
+            _s(p), F.lit(","), price, F.lit(","), freight,
             F.lit(","), F.col("o_orderstatus"),
         )
     )
@@ -285,14 +297,33 @@ def _customers_in(spark: SparkSession, sf_dir: str, regions) -> DataFrame:
     )
 
 
+def _spoilt(df: DataFrame, key: str, blank: str | None, new: Column | None) -> DataFrame:
+    """The cases a MERGE must get right, by the number in the ``key`` column
+    (its digits): a NULL key for every 40th row, a NULL in ``blank`` for every 7th,
+    and every 5th row twice where ``new`` says that no target row has its key."""
+    n = F.regexp_extract(key, r"[0-9]+", 0).cast("bigint")
+    if new is not None:
+        copies = F.when(new & (n % 5 == 0), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        df = df.withColumn("_copy", F.explode(copies)).drop("_copy")
+    if blank is not None:
+        df = df.withColumn(blank, F.when(n % 7 != 0, F.col(blank)))
+    return df.withColumn(key, F.when(n % 40 != 0, F.col(key)))
+
+
 def customer_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Target: earlier load (city spelt in lower case); source: newest."""
+    """Target: earlier load (city spelt in lower case); source: newest, with
+    blank cities, repeated new customers, and NULL keys on both sides."""
     target = _customers_in(spark, sf_dir, TARGET_REGIONS).withColumn("customer_city", F.lower("customer_city"))
-    return target, _customers_in(spark, sf_dir, SOURCE_REGIONS)
+    source = _customers_in(spark, sf_dir, SOURCE_REGIONS)
+    asia = _customers_in(spark, sf_dir, ("ASIA",)).select(F.col("customer_state").alias("_asia")).distinct()
+    source = source.join(asia, F.col("customer_state") == F.col("_asia"), "left")
+    source = _spoilt(source, "customer_id", "customer_city", F.col("_asia").isNull()).drop("_asia")
+    return _spoilt(target, "customer_id", None, None), source
 
 
 def product_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Target: earlier load (category in lower case); source: newest."""
+    """Target: earlier load (category in lower case); source: newest, with
+    blank segments, repeated new parts, and NULL keys on both sides."""
     p = table(spark, sf_dir, "part")
 
     def side(df: DataFrame) -> DataFrame:
@@ -305,11 +336,16 @@ def product_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     target = side(p.filter(F.col("p_size") <= TARGET_MAX_SIZE)).withColumn(
         "product_category", F.lower("product_category")
     )
-    return target, side(p.filter(F.col("p_size") >= SOURCE_MIN_SIZE))
+    late = side(p.filter(F.col("p_size") > TARGET_MAX_SIZE)).withColumn("_new", F.lit(True))
+    early = side(p.filter(F.col("p_size").between(SOURCE_MIN_SIZE, TARGET_MAX_SIZE))).withColumn("_new", F.lit(False))
+    source = _spoilt(early.unionByName(late), "product_id", "segment", F.col("_new")).drop("_new")
+    return _spoilt(target, "product_id", None, None), source
 
 
 def order_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Target: orders loaded before, still open and unapproved then."""
+    """Target: orders loaded before, still open and unapproved then. Source: the
+    newest extract, with blank statuses, repeated new orders, and NULL keys on
+    both sides."""
     o = orders(spark, sf_dir)
     target = (
         o.filter(F.col("order_purchase_timestamp") < _ts_lit(TARGET_BEFORE))
@@ -317,7 +353,8 @@ def order_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
         .withColumn("order_approved_at", F.lit(None).cast("timestamp"))
     )
     source = o.filter(F.col("order_purchase_timestamp") >= _ts_lit(SOURCE_FROM))
-    return target, source
+    source = _spoilt(source, "order_id", "order_status", F.col("order_purchase_timestamp") >= _ts_lit(TARGET_BEFORE))
+    return _spoilt(target, "order_id", None, None), source
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -334,7 +371,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 def order_item_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Target: items loaded before, freight not yet known then. Source: the
-    newest extract, one row per merge key (latest by price, freight)."""
+    newest extract, one row per merge key (latest by price, freight), with
+    blank prices, repeated new items, and NULL keys on both sides."""
     it = order_items(spark, sf_dir)
     target = it.filter(F.col("order_purchase_timestamp") < _ts_lit(TARGET_BEFORE)).withColumn(
         "freight_value", F.lit(None).cast("double")
@@ -344,7 +382,16 @@ def order_item_merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
         ["order_id", "order_item_id", "product_id"],
         ["price", "freight_value"],
     )
-    return target, source
+    source = _spoilt(source, "order_id", "price", F.col("order_purchase_timestamp") >= _ts_lit(TARGET_BEFORE))
+    return _spoilt(target, "order_id", None, None), source
+
+
+def order_item_conflict_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: the items loaded before, one row per key. Source: the raw export of
+    all items, some keys of which come twice."""
+    it = order_items(spark, sf_dir)
+    keys = ["order_id", "order_item_id", "product_id"]
+    return latest_per_key(it.filter(F.col("order_purchase_timestamp") < _ts_lit(TARGET_BEFORE)), keys, ["price", "freight_value"]), it
 
 
 def holiday_merge_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
