@@ -1,6 +1,7 @@
 """Golden checks of the typed parses against Python's own parsing rules."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,28 +11,11 @@ from cartwheel.functions.parse import (
     parse_float_round2,
     parse_int_text,
     parse_timestamp_year_first,
+    round2,
 )
 from cartwheel.functions.text import strip
 
 
-def _py_ts(s):
-    for fmt in ("%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y.%m.%d %H:%M:%S"):
-        try:
-            return dt.datetime.strptime(s, fmt)
-        except ValueError:
-            continue
-    return None
-
-
-def _py_date(s):
-    for fmt in ("%d-%m-%Y", "%d/%m/%Y", "%d.%m.%Y"):
-        try:
-            return dt.datetime.strptime(s, fmt).date()
-        except ValueError:
-            continue
-    return None
-
-
 def _py_int(s):
     try:
         return str(int(s))
@@ -46,17 +30,46 @@ def _py_float(s):
         return None
 
 
-TIMESTAMPS = [
-    "2017-1-2 3:4:5", "2017/01/02 03:04:05", "2017.01.02 03:04:05", "2017-01-02 03:04:05.5",
-    "2017-01/02 03:04:05", "2017-02-30 01:01:01", "2017-01-01 01:01:60", "2017-01- 2  03:04:05",
-    "0000-01-01 00:00:00", "2017-13-01 00:00:00", "2016-2-29 23:59:59", "2017-2-29 23:59:59",
-    "20171-01-01 00:00:00", "2017-01-01\t1:1:1", "2-1-1998 00:00:00", "2017-01-01", "x",
-    "2017-01-01 24:00:00", "2017-01-01 23:60:00", "2017-1-1 1:1:1 ", "1999.12.31 23:59:59",
-]
-DATES = [
-    "19/1/2009", "31/2/2009", "1-1-2009", "1.1.2009", "2009-01-01", "01/12/2009", "1/1/09",
-    "1/1/2009x", "001/1/2009", "29.02.2000", "29.02.1900", "1-1/2009", "0/1/2009", "1/0/2009",
-]
+# text -> the value the layouts give it (None: no layout fits)
+TIMESTAMPS = {
+    "2017-1-2 3:4:5": dt.datetime(2017, 1, 2, 3, 4, 5),
+    "2017/01/02 03:04:05": dt.datetime(2017, 1, 2, 3, 4, 5),
+    "2017.01.02 03:04:05": dt.datetime(2017, 1, 2, 3, 4, 5),
+    "2017-01- 2  03:04:05": dt.datetime(2017, 1, 2, 3, 4, 5),
+    "2016-2-29 23:59:59": dt.datetime(2016, 2, 29, 23, 59, 59),
+    "2017-01-01\t1:1:1": dt.datetime(2017, 1, 1, 1, 1, 1),
+    "2017-1-1 1:1:1 ": dt.datetime(2017, 1, 1, 1, 1, 1),
+    "1999.12.31 23:59:59": dt.datetime(1999, 12, 31, 23, 59, 59),
+    "2017-01-02 03:04:05.5": None,
+    "2017-01/02 03:04:05": None,
+    "2017-02-30 01:01:01": None,
+    "2017-01-01 01:01:60": None,
+    "0000-01-01 00:00:00": None,
+    "2017-13-01 00:00:00": None,
+    "2017-2-29 23:59:59": None,
+    "20171-01-01 00:00:00": None,
+    "2-1-1998 00:00:00": None,
+    "2017-01-01": None,
+    "2017-01-01 24:00:00": None,
+    "2017-01-01 23:60:00": None,
+    "x": None,
+}
+DATES = {
+    "19/1/2009": dt.date(2009, 1, 19),
+    "1-1-2009": dt.date(2009, 1, 1),
+    "1.1.2009": dt.date(2009, 1, 1),
+    "01/12/2009": dt.date(2009, 12, 1),
+    "29.02.2000": dt.date(2000, 2, 29),
+    "31/2/2009": None,
+    "2009-01-01": None,
+    "1/1/09": None,
+    "1/1/2009x": None,
+    "001/1/2009": None,
+    "29.02.1900": None,
+    "1-1/2009": None,
+    "0/1/2009": None,
+    "1/0/2009": None,
+}
 INTS = ["01", "x", "+5", "-0", "-007", "1_000", "1__0", "_1", "1_", "1.0", "12345678901234567890123456789012345678901234"]
 FLOATS = [
     "58.90", "13.29", "n/a", "1d", "1_0.5", ".5", "5.", "1e3", "1E-2", "nan", "-Inf", "infinity",
@@ -69,14 +82,24 @@ def _run(spark, fn, values):
     return [r.t for r in df.select(fn(F.col("s")).alias("t")).collect()]
 
 
-def test_timestamps_follow_strptime(spark):
-    got = _run(spark, lambda c: parse_timestamp_year_first(strip(c)), TIMESTAMPS)
-    assert got == [_py_ts(s.strip()) for s in TIMESTAMPS]
+def test_timestamps(spark):
+    got = _run(spark, lambda c: parse_timestamp_year_first(strip(c)), list(TIMESTAMPS))
+    assert dict(zip(TIMESTAMPS, got)) == TIMESTAMPS
+
+
+def test_dates(spark):
+    got = _run(spark, lambda c: parse_date_day_first(strip(c)), list(DATES))
+    assert dict(zip(DATES, got)) == DATES
 
 
-def test_dates_follow_strptime(spark):
-    got = _run(spark, lambda c: parse_date_day_first(strip(c)), DATES)
-    assert got == [_py_date(s.strip()) for s in DATES]
+def test_every_layout_gives_the_date_back(spark):
+    rng = random.Random(4)
+    days = [dt.datetime(1, 1, 1) + dt.timedelta(seconds=rng.randrange(315_000_000_000)) for _ in range(200)]
+    for sep in "-/.":
+        texts = [f"{d.year:04d}{sep}{d.month}{sep}{d.day:02d} {d.hour}:{d.minute:02d}:{d.second}" for d in days]
+        assert _run(spark, lambda c: parse_timestamp_year_first(c), texts) == days
+        texts = [f"{d.day}{sep}{d.month:02d}{sep}{d.year:04d}" for d in days]
+        assert _run(spark, lambda c: parse_date_day_first(c), texts) == [d.date() for d in days]
 
 
 def test_int_text_follows_int(spark):
@@ -95,10 +118,17 @@ def test_float_follows_round_float(spark):
             assert g == w, s
 
 
-def test_float_tie_gap_is_the_documented_one(spark):
-    # Python decides ties on the binary value, bround on the decimal text.
-    assert _run(spark, parse_float_round2, ["2.675"]) == [2.68]
-    assert round(float("2.675"), 2) == 2.67
+def test_rounding_is_exact_on_all_thousandths(spark):
+    rows = spark.range(100_000).select((F.col("id") / 1000).alias("x")).select("x", round2(F.col("x")).alias("y"))
+    assert [r for r in rows.collect() if r.y != round(r.x, 2)] == []
+
+
+def test_rounding_is_exact_on_random_doubles(spark):
+    rng = random.Random(3)
+    xs = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-6, 12) for _ in range(20_000)]
+    xs += [rng.randrange(4 * 10**15) / 1000 for _ in range(20_000)] + [-k / 1000 for k in range(5, 20_000, 10)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", round2(F.col("x")).alias("y"))
+    assert [r for r in rows.collect() if r.y != round(r.x, 2)] == []
 
 
 @pytest.mark.parametrize("text", [" \t a b \n", " x ", "\x1cy\x1f", "z"])
