@@ -4,7 +4,9 @@ A text is folded to lower-case letters and single spaces; its 2- and 3-byte
 grams are hashed into a fixed number of bins, weighted by inverse document
 frequency and normalised. Each language has several centroids (spherical
 k-means over its training vectors). A text gets the language of the centroid
-with the highest cosine; below that centroid's distance limit it is rejected.
+with the highest cosine. It is rejected when it is too far from it for its
+length: a text of k different grams can reach at most the norm of the centroid's
+k largest weights, and must reach REJECT_SHARE of that.
 
 Training uses a bounded sample (``SAMPLE_ROWS`` labelled rows over all
 languages, chosen by hash of the id); prediction reads every whole text.
@@ -12,6 +14,7 @@ languages, chosen by hash of the id); prediction reads every whole text.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,8 +29,7 @@ SAMPLE_ROWS = 3_000
 MOST_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 8
-# A text is rejected below this share of the lowest training similarity of its centroid.
-REJECT_SHARE = 0.5
+REJECT_SHARE = 0.1
 UNKNOWN = "und"
 CHUNK = 1 << 20
 
@@ -55,12 +57,17 @@ def gram_counts(text: str) -> np.ndarray:
     return out
 
 
-@dataclass(frozen=True)
+@dataclass
 class LanguageModel:
     languages: tuple[str, ...]  # one per centroid
     idf: np.ndarray
     centroids: np.ndarray  # centroid x bin, unit length
-    limits: np.ndarray  # per centroid: lowest similarity that is accepted
+
+    @functools.cached_property
+    def reach(self) -> np.ndarray:
+        """Per centroid and number of different grams: the highest cosine there can be."""
+        largest = -np.sort(-self.centroids.astype(float), axis=1)
+        return np.sqrt(np.cumsum(np.pad(largest, ((0, 0), (1, 0))) ** 2, axis=1))
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         v = np.log1p(counts) * self.idf
@@ -73,14 +80,17 @@ class LanguageModel:
         if not known.any() or not len(self.languages):
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         similar = np.zeros((len(texts), len(self.languages)), np.float32)
+        grams = np.zeros(len(texts), int)
         rows = np.flatnonzero(known)
         for at in range(0, len(rows), 256):
             part = rows[at : at + 256]
-            similar[part] = self.vectors(np.stack([gram_counts(texts[i]) for i in part])) @ self.centroids.T
+            counts = np.stack([gram_counts(texts[i]) for i in part])
+            similar[part] = self.vectors(counts) @ self.centroids.T
+            grams[part] = (counts > 0).sum(axis=1)
         best = similar.argmax(axis=1)
         score = np.clip(similar[np.arange(len(texts)), best], 0.0, 1.0).astype(float)
         langs = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        return langs, np.where(known, score, 0.0), ~known | (score < self.limits[best])
+        return langs, np.where(known, score, 0.0), ~known | (score < REJECT_SHARE * self.reach[best, grams])
 
 
 def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -106,21 +116,19 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     sample = training_sample(labelled, id_col, text_col, lang_col, rows).mapInPandas(counts, "lang string, counts binary").collect()
     sample.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     if not sample:
-        return LanguageModel((), np.zeros(BINS, np.float32), np.zeros((0, BINS), np.float32), np.zeros(0))
+        return LanguageModel((), np.zeros(BINS, np.float32), np.zeros((0, BINS), np.float32))
     matrix = np.stack([np.frombuffer(r["counts"], np.float32) for r in sample])
     langs = np.array([r["lang"] for r in sample])
     idf = np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))).astype(np.float32) + 1
-    model = LanguageModel((), idf, matrix[:0], np.zeros(0))
+    model = LanguageModel((), idf, matrix[:0])
     unit = model.vectors(matrix)
-    names, centres, limits = [], [], []
+    names, centres = [], []
     for lang in sorted(set(langs)):
         own = unit[langs == lang]
-        means, label = clusters(own, CENTROIDS)
-        for c in range(len(means)):
+        for mean in clusters(own, CENTROIDS)[0]:
             names.append(str(lang))
-            centres.append(means[c])
-            limits.append(REJECT_SHARE * float((own[label == c] @ means[c]).min()))
-    return LanguageModel(tuple(names), idf, np.stack(centres).astype(np.float32), np.array(limits))
+            centres.append(mean)
+    return LanguageModel(tuple(names), idf, np.stack(centres).astype(np.float32))
 
 
 def clusters(unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

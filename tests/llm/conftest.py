@@ -1,0 +1,31 @@
+import os
+import sys
+
+import pytest
+
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(os.path.dirname(HERE)), HERE]
+
+from cases import SMALL, as_docs, messy_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def messy(spark):
+    return messy_rows()
+
+
+@pytest.fixture(scope="session")
+def messy_docs(spark, messy):
+    return as_docs(spark, messy).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return as_docs(spark, [])
+
+
+@pytest.fixture(scope="session")
+def small_docs(spark):
+    if not os.path.isdir(SMALL):
+        pytest.skip("driver data missing")
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
