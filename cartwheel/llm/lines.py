@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import SPACES, heavy_keys, lower_ascii, ranked_id, with_first_holder
+from cartwheel.llm.common import SPACES, heavy_keys, lower_ascii, ranked_id, stored, with_first_holder
 
 MIN_CHARS = 10
 
@@ -36,7 +36,8 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id, pos`` of the lines whose key a document with a smaller id has too."""
-    hashes = line_hashes(docs, id_col, text_col, min_chars)
+    # read several times (sketch, range bounds, both ways): hash the lines once
+    hashes = stored(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
     first = with_first_holder(hashes, ["h1", "h2"], "doc_id", "first_doc", heavy_keys(hashes, "h1"))
     return first.filter(F.col("doc_id") > F.col("first_doc")).select("doc_id", "pos")
 
