@@ -26,6 +26,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HEAVY_ROWS = 2_000
 HEAVY_KEYS = 512
 HEAVY_TRACKED = 10_000
+SALTS = 64
 
 # The smallest long stands for a null id inside an operator.
 NULL_ID = -(1 << 63)
@@ -132,26 +133,33 @@ def only(docs: DataFrame, id_col: str, ids: DataFrame, how: str = "left_semi") -
     return docs.join(ids, docs[id_col].eqNullSafe(ids["_only"]), how)
 
 
-def with_first_holder(df: DataFrame, keys: list[str], holder: str, out: str, heavy: list[int], ranged: bool = True) -> DataFrame:
-    """``df`` with the smallest ``holder`` among the rows of equal ``keys`` as ``out``.
+def salted(df: DataFrame, key: str, spread: str, heavy: list[int]) -> DataFrame:
+    """``df`` with ``salt``: 0, but for rows of a heavy key a number below SALTS by the hash of ``spread``."""
+    if not heavy:
+        return df.withColumn("salt", F.lit(0))
+    return df.withColumn("salt", F.when(F.col(key).isin(heavy), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0))
+
+
+def after_first_holder(df: DataFrame, keys: list[str], holder: str, heavy: list[int], ranged: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``holder`` is above the smallest one with equal ``keys``.
 
-    ``keys[0]`` is a long hash, ``holder`` has no nulls. Light keys go through one
+    ``keys[0]`` is a long hash, ``holder`` has no nulls. The rows go through one
     partitioning on the keys (by range, or by hash where that saves a costly
     input from being run for its bounds first) with a sort by holder inside, from
-    which the first row streams.
-    Keys listed in ``heavy`` are aggregated with map-side combine, and the result
-    (at most HEAVY_KEYS hashes) is broadcast, so no key's rows need to meet in one task.
+    which the first holder streams. The rows of a heavy key are dealt over SALTS
+    runs, each of which finds its own first; what is at most one holder of each
+    run is then settled among themselves.
     """
-    ordered = Window.partitionBy(*keys).orderBy(holder).rowsBetween(Window.unboundedPreceding, 0)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def light(rows: DataFrame) -> DataFrame:
-        return (rows.repartitionByRange(parts, *keys) if ranged else rows).withColumn(out, F.first(holder).over(ordered))
-
+    runs = salted(df, keys[0], holder, heavy)
+    if ranged:
+        runs = runs.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "salt")
+    ordered = Window.partitionBy(*keys, "salt").orderBy(holder).rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("_first", F.first(holder).over(ordered))
+    later = F.col(holder) > F.col("_first")
     if not heavy:
-        return light(df)
-    is_heavy = F.col(keys[0]).isin(heavy)
-    # the keys behind one heavy hash: one each but for hash collisions
-    firsts = df.filter(is_heavy).groupBy(*keys).agg(F.min(holder).alias(out))
-    hot = df.filter(is_heavy).join(F.broadcast(firsts), keys)
-    return light(df.filter(~is_heavy)).unionByName(hot.select(*df.columns, out))
+        return runs.filter(later).select(*df.columns)
+    runs = stored(runs.filter(later | F.col(keys[0]).isin(heavy)), "runs")
+    firsts = runs.filter(~later)
+    least = firsts.groupBy(*keys).agg(F.min(holder).alias("_least"))
+    beaten = firsts.join(least, keys).filter(F.col(holder) > F.col("_least"))
+    return runs.filter(later).select(*df.columns).unionByName(beaten.select(*df.columns))

@@ -3,8 +3,8 @@
 Every line of at least ``min_chars`` code points becomes (128-bit hash, document,
 position). The rows are range-partitioned by hash with a secondary sort by
 document and position; the first document of each hash streams from the sorted
-run. Hashes that a sketch finds heavy take the pre-aggregated way instead (see
-``common.with_first_holder``). What comes back to a document is not text but its
+run. Hashes that a sketch finds heavy are dealt over several runs (see
+``common.after_first_holder``). What comes back to a document is not text but its
 keep bitmap, compressed as runs of kept lines, and only for documents that lose
 a line.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import SPACES, heavy_keys, lower_ascii, ranked_id, stored, with_first_holder
+from cartwheel.llm.common import SPACES, after_first_holder, heavy_keys, lower_ascii, ranked_id, stored
 
 MIN_CHARS = 10
 
@@ -38,8 +38,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id, pos`` of the lines whose key a document with a smaller id has too."""
     # read several times (sketch, range bounds, both ways): hash the lines once
     hashes = stored(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    first = with_first_holder(hashes, ["h1", "h2"], "doc_id", "first_doc", heavy_keys(hashes, "h1"))
-    return first.filter(F.col("doc_id") > F.col("first_doc")).select("doc_id", "pos")
+    return after_first_holder(hashes, ["h1", "h2"], "doc_id", heavy_keys(hashes, "h1")).select("doc_id", "pos")
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:

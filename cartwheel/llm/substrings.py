@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import heavy_keys, in_batches, only, plain_id, ranked_id, stored, texts, window_hashes, with_first_holder, word_hashes
+from cartwheel.llm.common import after_first_holder, heavy_keys, in_batches, only, plain_id, ranked_id, salted, stored, texts, window_hashes, word_hashes
 
 WINDOW = 13
 # A perfect difference set modulo 7: every residue is a difference of two members.
@@ -91,11 +91,9 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     """
     found = anchors(docs)
     heavy = heavy_keys(found, "anchor")
-    same = Window.partitionBy("anchor")
-    light = found.filter(~F.col("anchor").isin(heavy)) if heavy else found
-    both = light.withColumn("low", F.min("doc_id").over(same)).withColumn("high", F.max("doc_id").over(same)).filter("low < high").select("doc_id", "pos")
-    if heavy:
-        both = both.unionByName(found.filter(F.col("anchor").isin(heavy)).select("doc_id", "pos"))
+    same = Window.partitionBy("anchor", "salt")
+    runs = salted(found, "anchor", "doc_id", heavy).withColumn("low", F.min("doc_id").over(same)).withColumn("high", F.max("doc_id").over(same))
+    both = runs.filter((F.col("low") < F.col("high")) | F.col("anchor").isin(heavy)).select("doc_id", "pos")
     return both.groupBy("doc_id").agg(F.collect_list("pos").alias("at"))
 
 
@@ -120,8 +118,8 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = at.select("doc_id")
     candidates = only(docs, "doc_id", ids).join(at.withColumnRenamed("doc_id", "at_id"), F.col("doc_id") == F.col("at_id"))
     found = windows(candidates)
-    first = with_first_holder(found, ["h1", "h2"], "doc_id", "first_doc", heavy_keys(found, "h1"), ranged=False)
-    starts = first.filter(F.col("doc_id") > F.col("first_doc")).groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+    later = after_first_holder(found, ["h1", "h2"], "doc_id", heavy_keys(found, "h1"), ranged=False)
+    starts = later.groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
     return stored(starts, "windows"), ids
 
 
