@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import lower_ascii, stored
+from cartwheel.llm.common import lower_ascii, only, stored
 
 
 def md5_bytes(text: Column) -> Column:
@@ -39,17 +39,21 @@ def exact_dedup(
     """
     pick = {"max": F.max, "min": F.min}[keep]
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("body"))
-    hashed = rows.select("doc_id", content_hash(F.col("body")).alias("h"), F.sha2("body", 256).alias("text_sha256"), "body")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("body")).select("doc_id", content_hash(F.col("body")).alias("h"), "body")
+    hashed = stored(rows.select("doc_id", "h", F.sha2("body", 256).alias("text_sha256")), "hashes")
     groups = hashed.groupBy("h").agg(pick("doc_id").alias("head"), F.count("*").alias("n"))
 
+    # only texts of groups with several rows are read again
     several = groups.filter("n > 1")
-    members = hashed.select("doc_id", "h", "body").join(several.select("h", "head"), "h")
+    ids = stored(hashed.join(several, "h", "left_semi").select("doc_id").distinct(), "copies")
+    again = only(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body")), "doc_id", ids)
+    again = again.withColumn("body", lower_ascii(F.coalesce("body", F.lit("")))).withColumn("h", content_hash(F.col("body")))
+    members = again.join(several.select("h", "head"), "h")
     heads = members.filter(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("h").agg(F.min("body").alias("head_body"))
     # collisions: equal hash, other bytes than the head's; kept in a table, for there are hardly ever any
     strays = stored(members.join(heads, "h").filter(F.col("body") != F.col("head_body")).select("doc_id", "h", "body"), "hash-collisions")
 
-    found = hashed.select("doc_id", "h", "text_sha256").join(groups, "h")
+    found = hashed.join(groups, "h")
     if strays.isEmpty():
         return found.select("doc_id", F.col("head").alias("keep_id"), F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("head")).alias("kept"), "text_sha256")
 
