@@ -43,19 +43,23 @@ def exact_dedup(
     hashed = stored(rows.select("doc_id", "h", F.sha2("body", 256).alias("text_sha256")), "hashes")
     groups = hashed.groupBy("h").agg(pick("doc_id").alias("head"), F.count("*").alias("n"))
 
-    # only texts of groups with several rows are read again
-    several = groups.filter("n > 1")
+    # Only texts of groups with several rows are read again. The groups are kept in
+    # a table, so that each join below stands between two plain shuffles and a hot
+    # group's rows can be split.
+    several = stored(groups.filter("n > 1"), "groups")
     ids = stored(hashed.join(several, "h", "left_semi").select("doc_id").distinct(), "copies")
     again = only(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body")), "doc_id", ids)
     again = again.withColumn("body", lower_ascii(F.coalesce("body", F.lit("")))).withColumn("h", content_hash(F.col("body")))
-    members = again.join(several.select("h", "head"), "h")
-    heads = members.filter(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("h").agg(F.min("body").alias("head_body"))
+    of_head = several.select(F.col("h").alias("head_h"), "head")
+    heads = again.join(of_head, (F.col("h") == F.col("head_h")) & F.col("doc_id").eqNullSafe(F.col("head")))
+    heads = stored(heads.groupBy("h").agg(F.min("body").alias("head_body")), "heads")
     # collisions: equal hash, other bytes than the head's; kept in a table, for there are hardly ever any
-    strays = stored(members.join(heads, "h").filter(F.col("body") != F.col("head_body")).select("doc_id", "h", "body"), "hash-collisions")
+    strays = stored(again.join(heads, "h").filter(F.col("body") != F.col("head_body")).select("doc_id", "h", "body"), "hash-collisions")
 
-    found = hashed.join(groups, "h")
+    found = hashed.join(several, "h", "left")
+    found = found.withColumn("head", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("head"))).withColumn("n", F.coalesce("n", F.lit(1)))
     if strays.isEmpty():
-        return found.select("doc_id", F.col("head").alias("keep_id"), F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("head")).alias("kept"), "text_sha256")
+        return found.select("doc_id", F.col("head").alias("keep_id"), F.col("n").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("head")).alias("kept"), "text_sha256")
 
     lost = strays.groupBy("h").agg(F.count("*").alias("strays"))
     own = strays.groupBy("h", "body").agg(pick("doc_id").alias("stray_head"), F.count("*").alias("stray_n"))
