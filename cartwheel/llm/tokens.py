@@ -15,9 +15,11 @@ has one row per id of the vocabulary that occurs, whatever the corpus.
 from __future__ import annotations
 
 import functools
+import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,16 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import in_batches, scratch, stored, texts
 
 END_ID = 1
-TOKENS_A_FILE = 8_000_000
-# words of up to this many bytes are remembered with their ids, so many of them per worker
-CACHED_BYTES, CACHED_WORDS = 48, 400_000
+TOKENS_A_FILE = 4_000_000
+# Pieces of up to this length are remembered with their ids, so many of them per worker.
+WORD_END = "</w>"  # marks a piece's last token
+CACHED_CHARS, CACHED_PIECES = 48, 200_000
+
+# Letters, numbers and white space of the tokenizer's pattern below U+0180, lower-cased.
+# Every text there is in normal form; only U+0130 has a lower case of two characters.
+_L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_OTHER = re.compile("[\u0130\u0180-\U0010ffff]")
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 
 _HEAD = "<qBIII"
 _LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
@@ -37,31 +46,68 @@ _LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take the others'
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        ends[i] = token.endswith(WORD_END)
+    return tokenizer, ends, {}
 
 
-def encode_ids(path: str, batch: list[bytes]) -> Iterator[np.ndarray]:
-    """Ids of each text, no special tokens added.
+def pieces(text: str) -> list[str]:
+    """Parts of a text that the tokenizer never joins: encoding them one by one gives the text's ids.
 
-    The tokenizer drops white space and never joins across it, so words are
-    encoded one by one and remembered (a bounded cache per worker).
+    In the Latin range its normalisation is plain lower-casing and its letters, digits
+    and white space are known, so the text is cut as the tokenizer cuts it. Any other
+    text, and one that may hold a special token, is cut at white space only.
     """
-    tokenizer, cache = _tokenizer(path)
-    for text in batch:
-        words = text.split()
-        new = [w for w in dict.fromkeys(words) if w not in cache]
+    if _OTHER.search(text) or "<|" in text:
+        return [w.decode() for w in text.encode().split()]
+    return _PIECE.findall(text.lower())
+
+
+def encode_ids(path: str, batch: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """Ids of each text, no special tokens added; pieces are remembered (a bounded cache per worker)."""
+    tokenizer, ends, cache = _tokenizer(path)
+    for texts_at_once in _chunks(batch):
+        split = [pieces(t.decode()) for t in texts_at_once]
+        new = list(set().union(*split).difference(cache))
         long = {}
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for w, e in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                (cache if len(w) <= CACHED_BYTES else long)[w] = np.array(e.ids, "<u4").tobytes()
-        yield np.frombuffer(b"".join([cache[w] if w in cache else long[w] for w in words]), "<u4")
-        if len(cache) > CACHED_WORDS:
+            for w, ids in zip(part, _ids_of(tokenizer, ends, part), strict=True):
+                (cache if len(w) <= CACHED_CHARS else long)[w] = ids
+        for parts in split:
+            yield np.frombuffer(b"".join([cache[w] if w in cache else long[w] for w in parts] if long else map(cache.__getitem__, parts)), "<u4")
+        if len(cache) > CACHED_PIECES:
             cache.clear()
 
 
+def _ids_of(tokenizer, ends: np.ndarray, parts: list[str]) -> list[bytes]:
+    """Ids of each part. Plain pieces are encoded in one go and cut behind their last tokens."""
+    if all(map(_PIECE.fullmatch, parts)):
+        ids = np.array(tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        cuts = [0, *(np.flatnonzero(ends[ids]) + 1) * 4]
+        if len(cuts) == len(parts) + 1 and cuts[-1] == 4 * len(ids):
+            raw = ids.tobytes()
+            return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+    return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer.encode_batch(parts, add_special_tokens=False)]
+
+
+def _chunks(batch: Iterable[bytes], most_bytes: int = 1 << 20) -> Iterator[list[bytes]]:
+    held, size = [], 0
+    for text in batch:
+        held.append(text)
+        size += len(text)
+        if size >= most_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def vbyte_encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
     v = values.astype("<u4")
@@ -94,7 +140,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
                     wide = bool(tokens.max() > 0xFFFF)
                     yield i, len(tokens), wide, tokens.astype("<u4" if wide else "<u2").tobytes()
 
-        yield from in_batches(rows(), schema)
+        yield from in_batches(rows(), schema, most_bytes=8 << 20)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, wide boolean, ids binary")
@@ -133,7 +179,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     for r in table:
         rank_of[r["id"]] = r["rank"]
     shared = spark.sparkContext.broadcast(rank_of)
-    schema = pa.schema([("doc_id", pa.int64()), ("record", pa.binary())])
+    schema = pa.schema([("record", pa.binary())])
 
     def encode(batches):
         def rows():
@@ -141,15 +187,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
                 for i, wide, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "wide", "ids")), strict=True):
                     ranks = shared.value[_ids(ids, wide)]
                     control, data = vbyte_encode(ranks)
-                    yield i, struct.pack(_HEAD, i or 0, i is None, len(ranks), len(control), len(data)) + control + data
+                    yield (struct.pack(_HEAD, i or 0, i is None, len(ranks), len(control), len(data)) + control + data,)
 
-        yield from in_batches(rows(), schema)
+        yield from in_batches(rows(), schema, most_bytes=8 << 20)
 
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    records = tokens.mapInArrow(encode, "doc_id long, record binary")
-    placed = records.repartitionByRange(max(1, -(-total // TOKENS_A_FILE)), F.col("doc_id").asc_nulls_first())
-    placed = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "record")
-    placed.select(F.col("record").cast("string")).write.option("lineSep", "\n").text(f"{folder}/files")
+    by_id = F.col("doc_id").asc_nulls_first()
+    placed = tokens.repartitionByRange(max(1, -(-total // TOKENS_A_FILE)), by_id).sortWithinPartitions(by_id, "ids")
+    placed.mapInArrow(encode, "record binary").select(F.col("record").cast("string")).write.option("lineSep", "\n").text(f"{folder}/files")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,7 +219,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                         yield part, None if null else i, before, n, ids.tobytes()
                         before += n
 
-        yield from in_batches(rows(), schema)
+        yield from in_batches(rows(), schema, most_bytes=8 << 20)
 
     number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
     files = spark.read.format("binaryFile").load(f"{folder}/files")
@@ -203,7 +248,7 @@ def token_binary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     One row per input row. A null or empty text is the end id alone. Rows are in
     ascending id order, null ids first; rows that repeat an id follow each other
-    in order of their record. Further columns are ignored; an empty table
+    in order of their ids. Further columns are ignored; an empty table
     gives no rows.
     """
     folder = scratch(docs.sparkSession, "tokens")
