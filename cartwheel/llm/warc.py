@@ -32,6 +32,7 @@ ARC_FIELDS = {1: ("url", "ip", "date", "mime", "length"), 2: ("url", "ip", "date
 ARC_TITLES = {1: b"URL IP-address Archive-date Content-type Archive-length", 2: b"URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
+BROADCAST_REVISITS = 50_000
 ID_HEADER = b"X-Archive-Id"
 NO_ID = b"-"
 _GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
@@ -164,6 +165,9 @@ def arc_to_warc(spark: SparkSession, arc_folders: list[str], warc_folder: str) -
     # a revisit is known by its id; records without one are told by their url
     revisits = digests.join(firsts, (F.col("digest") == F.col("first_digest")) & ~F.col("page_id").eqNullSafe(F.col("first_id")))
     revisits = revisits.select(F.col("page_id").alias("re_id"), F.col("digest").alias("re_digest"), "first_id", "first_url").distinct()
+    revisits = stored(revisits, "revisits")
+    if revisits.count() <= BROADCAST_REVISITS:  # some hundred bytes each; beyond that the payloads are shuffled
+        revisits = F.broadcast(revisits)
     records = read_arc(spark, *arc_folders).join(revisits, F.col("page_id").eqNullSafe(F.col("re_id")) & (F.col("digest") == F.col("re_digest")), "left")
     schema = pa.schema([("record", pa.binary())])
 
