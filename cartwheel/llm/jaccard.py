@@ -1,20 +1,23 @@
 """N-gram Jaccard join over a prefix tree.
 
 A document is its set of distinct 5-word shingles in one global order: shingles
-that are frequent in the corpus come last, all others by hash. Two sets of
-similarity 0.75 share one of their first ``n // 4 + 1`` shingles, so sets meet by
-the shingles of their prefixes, under length and position bounds. Candidates of
-one set are stored in a tree by their ordered shingles; the set walks down the
-tree, shared prefixes are counted once, and subtrees go when the shingles left
-can't reach the overlap needed.
+that are frequent in the corpus come last, all others by hash. Sets of
+similarity 0.75 share one of their first ``n // 4 + 1`` shingles, and ``k`` of their
+first ``n // 4 + k``; with k = ``n // 16 + 1`` a set meets others by the shingles of
+its prefix, under length and position bounds. Candidates of one set are stored
+in a tree by their ordered shingles; the set walks down the tree, shared prefixes
+are counted once, and subtrees go when the shingles left can't reach the overlap
+needed.
 
 Only components are asked for, so sets that are connected already aren't compared
-again: first every prefix shingle compares its sets with one of them, and after
-that only sets of different components meet.
+again. First the sets at a prefix shingle are compared with one of them. Sets of
+different components that meet less often than similar ones must are dropped,
+over and over; those left meet in blocks of trees.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -31,12 +34,15 @@ SHINGLE = 5
 GROUP_SETS = 256
 LAST_SHINGLES = 200_000
 LAST_COUNT = 8
+# Similar sets of n shingles meet at n // MORE + 1 shingles at least.
+MORE = 16
+PRUNINGS = 3
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
-    """Distinct shingle hashes, sorted; a text of fewer words is one shingle, one without words none."""
+    """Distinct shingle hashes of 63 bits, sorted; a text of fewer words is one shingle, one without words none."""
     words = word_hashes((text or b"").lower().split())
-    return np.unique(window_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
+    return np.unique(window_hashes(words, min(SHINGLE, len(words))) >> np.uint64(1)) if len(words) else words
 
 
 def set_hash(shingles: np.ndarray) -> tuple[int, int]:
@@ -47,13 +53,20 @@ def set_hash(shingles: np.ndarray) -> tuple[int, int]:
 
 def in_order(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Shingles as keys that sort in the global order; ``last``: (hash, rank) of the frequent ones, sorted by hash."""
-    keys = shingles >> np.uint64(1)
-    if len(last):
-        at = np.searchsorted(last[:, 0], shingles)
-        at[at == len(last)] = 0
-        frequent = last[at, 0] == shingles
-        keys = np.where(frequent, last[at, 1] | np.uint64(1 << 63), keys)
-    return np.sort(keys)
+    if not len(last):
+        return shingles
+    at = np.searchsorted(last[:, 0], shingles)
+    at[at == len(last)] = 0
+    return np.sort(np.where(last[at, 0] == shingles, last[at, 1] | np.uint64(1 << 63), shingles))
+
+
+def prefix_length(n: int) -> int:
+    return n // 4 + n // MORE + 1
+
+
+def least_meetings(size: str) -> str:
+    """SQL: at how many prefix shingles a set of this size meets any similar one, which has 3/4 of its size at least."""
+    return f"({size} * 3 + 3) div 4 div {MORE} + 1"
 
 
 class Node(NamedTuple):
@@ -62,10 +75,12 @@ class Node(NamedTuple):
     children: list["Node"]
     shortest: int
     longest: int
+    labels: frozenset  # of the sets below
 
 
-def prefix_tree(sets: list[np.ndarray]) -> Node:
+def prefix_tree(sets: list[np.ndarray], labels: list | None = None) -> Node:
     """Tree of ordered sets; a node holds the whole run up to the next fork."""
+    labels = labels or [None] * len(sets)
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
 
     def build(part: list[int], depth: int) -> Node:
@@ -78,16 +93,18 @@ def prefix_tree(sets: list[np.ndarray]) -> Node:
         forks = [k for k in range(len(rest)) if k == 0 or sets[rest[k]][fork] != sets[rest[k - 1]][fork]]
         below = [build(rest[k:e], fork) for k, e in zip(forks, [*forks[1:], len(rest)], strict=False)]  # none where nothing is left
         lengths = [len(sets[i]) for i in part]
-        return Node(a[depth:fork], ends, below, min(lengths), max(lengths))
+        return Node(a[depth:fork], ends, below, min(lengths), max(lengths), frozenset(labels[i] for i in part))
 
     return build(order, 0)
 
 
-def similar_in_tree(tree: Node, probe: np.ndarray) -> list[int]:
-    """Sets of the tree that are similar to ``probe``."""
-    found, open_nodes = [], [(tree, 0, 0)]
+def similar_in_tree(tree: Node, probe: np.ndarray, skip: set | frozenset = frozenset()) -> Iterator[int]:
+    """Sets of the tree that are similar to ``probe``; subtrees whose labels are all in ``skip``, which may grow, are left out."""
+    open_nodes = [(tree, 0, 0)] if len(probe) else []  # an empty set is similar to none
     while open_nodes:
         node, depth, overlap = open_nodes.pop()
+        if skip and node.labels <= skip:
+            continue
         if 4 * min(node.longest, len(probe)) < 3 * max(node.shortest, len(probe)) and (4 * node.longest < 3 * len(probe) or 4 * len(probe) < 3 * node.shortest):
             continue
         if len(node.run):
@@ -100,11 +117,10 @@ def similar_in_tree(tree: Node, probe: np.ndarray) -> list[int]:
             behind = len(probe)
         for i in node.members:
             if 7 * overlap >= 3 * (depth + len(probe)):
-                found.append(i)
+                yield i
         # what the rest of the longest set below, or of the probe, could add
         if 7 * (overlap + min(node.longest - depth, behind)) >= 3 * (max(node.shortest, -(-3 * len(probe) // 4)) + len(probe)):
             open_nodes += [(child, depth, overlap) for child in node.children]
-    return found
 
 
 def shapes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -136,7 +152,7 @@ def shapes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     both = stored(docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, is_set boolean"), "shapes")
     often = both.filter("not is_set").groupBy("h1").agg(F.sum("n_shingles").alias("n")).filter(F.col("n") >= LAST_COUNT)
     often = often.orderBy(F.desc("n"), "h1").limit(LAST_SHINGLES).select("h1").toPandas()["h1"].to_numpy(np.int64).view(np.uint64)
-    last = np.stack([often, np.arange(len(often), 0, -1).astype(np.uint64)], axis=1) if len(often) else np.zeros((0, 2), np.uint64)
+    last = np.stack([often, np.arange(len(often), 0, -1).astype(np.uint64)], axis=1)
     return both.filter("is_set").drop("is_set"), last[np.argsort(last[:, 0])]
 
 
@@ -152,12 +168,20 @@ def prefixes(docs: DataFrame, last) -> DataFrame:
                 if not len(keys) or mark in seen:
                     continue
                 seen.add(mark)
-                n = len(keys) // 4 + 1
+                n = prefix_length(len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[:n].view(np.int64)), pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, len(keys), np.int32)), pa.array(np.arange(n, dtype=np.int32))], ["key", "doc_id", "size", "pos"])
 
     return docs.mapInArrow(_merged(run), "key long, doc_id long, size int, pos int")
 
 
+def meetings(docs: DataFrame, last) -> DataFrame:
+    """``key, doc_id, size, pos, head``: rows of prefix shingles that several sets have, each with one of them, the same at most shingles."""
+    ranked = Window.partitionBy("key").orderBy(F.xxhash64("doc_id"), "doc_id")
+    met = prefixes(docs, last).withColumn("n", F.row_number().over(ranked)).withColumn("next", F.lead("doc_id").over(ranked))
+    met = met.withColumn("head", F.first(F.struct("doc_id", "size", "pos")).over(ranked)).filter("n > 1 or next is not null").drop("n", "next")
+    return stored(met, "met")
+
+
 def bounds(a: str, b: str) -> str:
     """SQL: may the sets of two prefix rows be similar if this is the first shingle they share?"""
     return (
@@ -178,15 +202,57 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, last) -> DataFrame:
     def match(group: pa.Table) -> pa.Table:
         a, b = group.column("a")[0].as_py(), group.column("b").to_pylist()
         sets = [in_order(shingle_set(t), last.value) for t in texts(group.column("text"))]
-        probe = next(s for s, i in zip(sets, b, strict=True) if i is None)
-        members = {i: s for s, i in zip(sets, b, strict=True) if i is not None}
-        names = list(members)
-        found = similar_in_tree(prefix_tree(list(members.values())), probe) if names else []
-        return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array([names[i] for i in found], pa.int64())})
+        # one text an id, but for rows that repeat an id: then any of them may link it
+        probes = [s for s, i in zip(sets, b, strict=True) if i is None]
+        members = [(i, s) for s, i in zip(sets, b, strict=True) if i is not None]
+        tree = prefix_tree([s for _, s in members]) if members else None
+        found = sorted({members[k][0] for probe in probes for k in similar_in_tree(tree, probe)}) if tree else []
+        return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
     return stored(probes.unionByName(stored_sets).groupBy("a", "part").applyInArrow(match, "a long, b long"), "links")
 
 
+def similar_in_groups(members: DataFrame, docs: DataFrame, last) -> DataFrame:
+    """Links ``a, b`` that connect the ``part``s of each group of ``head, doc_id, part``, as far as its sets are similar.
+
+    A group is cut into blocks of about GROUP_SETS sets, and every two blocks meet
+    in a task: one as a tree, the sets of the other walking it. Once two parts are
+    linked they count as one, so a task gives fewer links than it has sets.
+    """
+    ids = stored(members.select("doc_id").distinct(), "candidates")
+    bodies = only(docs, "doc_id", ids).select(F.col("doc_id").alias("body_id"), "text")
+    per = members.groupBy("head").agg(F.ceil(F.count("*") / GROUP_SETS).cast("int").alias("blocks")).withColumnRenamed("head", "per_head")
+    dealt = members.join(per, F.col("head") == F.col("per_head")).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("head", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "part")
+    rows = dealt.join(bodies, F.col("doc_id") == F.col("body_id")).drop("body_id")
+
+    def match(group: pa.Table) -> pa.Table:
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        own, ids, parts = (group.column(c).to_pylist() for c in ("own", "doc_id", "part"))
+        sets = [in_order(shingle_set(t), last.value) for t in texts(group.column("text"))]
+        stored_sets = [k for k, o in enumerate(own) if o == high]
+        found = []
+        if stored_sets:
+            tree = prefix_tree([sets[k] for k in stored_sets], [parts[k] for k in stored_sets])
+            joined = {p: {p} for p in parts}  # part to all parts it is linked to by now
+            for k, o in enumerate(own):
+                if o != low:
+                    continue
+                same = joined[parts[k]]
+                for i in similar_in_tree(tree, sets[k], same):
+                    j = stored_sets[i]
+                    if parts[j] not in same:
+                        found.append((ids[k], ids[j]))
+                        more = joined[parts[j]]
+                        same |= more
+                        for p in more:
+                            joined[p] = same
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return stored(rows.groupBy("head", "low", "high").applyInArrow(match, "a long, b long"), "links")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for the nodes of ``a, b``: the smallest node each reaches.
 
@@ -235,32 +301,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast(last)
 
     # equal sets: one class each, whatever its size
-    classes = shape.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first")).withColumnRenamed("h1", "c1").withColumnRenamed("h2", "c2")
+    classes = shape.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # a table of its own, so that the join can split the rows of a hot class
+    classes = stored(classes, "classes").withColumnRenamed("h1", "c1").withColumnRenamed("h2", "c2")
     placed = shape.join(classes, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("n_shingles") > 0), "left")
-    placed = stored(placed.select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "classes")
-    copies = placed.filter("first <> doc_id").groupBy("doc_id").agg(F.min("first").alias("first"))
-    copies = stored(copies.select(F.col("doc_id").alias("node"), F.col("first").alias("component")), "copies")
-
-    # sets that meet at a prefix shingle: each with the first one by size
-    by_size = Window.partitionBy("key").orderBy("size", "doc_id")
-    met = prefixes(rows, shared).withColumn("n", F.row_number().over(by_size)).withColumn("next", F.lead("doc_id").over(by_size))
-    met = met.withColumn("head", F.first(F.struct("doc_id", "size", "pos")).over(by_size)).filter("n > 1 or next is not null").drop("n", "next")
-    met = stored(met, "met")
+    placed = stored(placed.select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "placed")
+    # a copy stands for the first of its class; rows that repeat an id with different texts are one node of their own
+    firsts = stored(placed.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("most")), "firsts")
+    copies = stored(firsts.filter("a = most and a <> doc_id").select(F.col("doc_id").alias("node"), F.col("a").alias("component")), "copies")
+    several = firsts.filter("a < most").select(F.col("doc_id").alias("several_id"))
+    same_id = placed.join(several, F.col("doc_id") == F.col("several_id")).filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    same_id = stored(same_id.distinct(), "same-ids")
+
+    # one set of each prefix shingle is compared with the others that have it
+    met = meetings(rows, shared)
     pairs = met.filter("doc_id <> head.doc_id").withColumn("row", F.struct("size", "pos")).filter(bounds("head", "row")).select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b"))
-    pairs = stored(relabelled(relabelled(pairs.distinct(), "a", copies), "b", copies).filter("a <> b").distinct(), "pairs")
-    links = similar_pairs(pairs, rows, shared)
+    pairs = relabelled(relabelled(pairs.distinct(), "a", copies), "b", copies).filter("a <> b").distinct()
+    links = same_id.union(similar_pairs(stored(pairs, "pairs"), rows, shared))
     labels = components(links)
 
-    # what is left: sets of different components at one shingle, but for the pairs already compared
-    nodes = relabelled(met.select("key", "doc_id", "size", "pos"), "doc_id", copies).distinct().withColumn("part", F.col("doc_id"))
-    nodes = relabelled(nodes, "part", labels)
-    same = Window.partitionBy("key")
-    nodes = stored(nodes.withColumn("low", F.min("part").over(same)).withColumn("high", F.max("part").over(same)).filter("low < high").drop("low", "high"), "open")
-    a, b = nodes.alias("a"), nodes.alias("b")
-    rest = a.join(b, F.expr(f"a.key = b.key and a.part < b.part and {bounds('a', 'b')}")).select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
-    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    more = similar_pairs(rest, rows, shared)
+    # Sets of different components that are similar meet at least_meetings() shingles.
+    nodes = relabelled(met.select("key", F.col("head.doc_id").alias("head"), "doc_id", "size"), "doc_id", copies).groupBy("key", "doc_id").agg(F.min("head").alias("head"), F.min("size").alias("size"))
+    nodes = stored(relabelled(nodes.withColumn("part", F.col("doc_id")), "part", labels), "nodes")
+    for _ in range(PRUNINGS):
+        forked = nodes.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
+        nodes = nodes.join(forked, "key", "left_semi")
+        enough = nodes.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("size").alias("size")).filter(f"n >= {least_meetings('size')}").select("doc_id")
+        nodes = stored(nodes.join(enough, "doc_id", "left_semi"), "nodes")
+    # What is left is compared for good: all sets that met the same one are a group.
+    more = similar_in_groups(stored(nodes.select("head", "doc_id", "part").distinct(), "groups"), rows, shared)
     if not more.isEmpty():
         labels = components(links.union(more))
 

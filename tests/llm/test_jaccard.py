@@ -7,7 +7,7 @@ import pytest
 from cases import as_docs, order, pairs_of, words
 
 from cartwheel.llm import jaccard
-from cartwheel.llm.jaccard import components, in_order, jaccard_components, one_per_component, prefix_tree, shingle_set, similar_in_tree
+from cartwheel.llm.jaccard import MORE, components, in_order, jaccard_components, one_per_component, prefix_length, prefix_tree, shingle_set, similar_in_tree
 
 
 def shingles(text):
@@ -34,10 +34,11 @@ def brute(pairs):
     return sorted(((i, len(x), root(i)) for i, x in sets.values()), key=repr)
 
 
-@pytest.mark.parametrize("last_count", [8, 2])
+@pytest.mark.parametrize("last_count,block", [(8, 256), (2, 5)])
 @pytest.mark.parametrize("name", ["messy_docs", "small_docs", "no_docs"])
-def test_components_equal_all_pairs(request, name, last_count, monkeypatch):
+def test_components_equal_all_pairs(request, name, last_count, block, monkeypatch):
     monkeypatch.setattr(jaccard, "LAST_COUNT", last_count)
+    monkeypatch.setattr(jaccard, "GROUP_SETS", block)
     docs = request.getfixturevalue(name)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=repr)
     assert got == brute(pairs_of(docs))
@@ -47,7 +48,7 @@ def test_chains_of_similar_texts(spark):
     """Each text is similar to the next, the ends are not: links beyond the first of a prefix are found."""
     rng = random.Random(5)
     rows = []
-    for family in range(6):
+    for family in range(4):
         text = [f"f{family}x{k}" for k in range(60)]
         for step in range(12):
             rows.append((family * 100 + step, " ".join(text), "en", "s"))
@@ -58,6 +59,17 @@ def test_chains_of_similar_texts(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=repr) == brute(pairs_of(docs))
 
 
+def test_an_id_with_several_texts_links_what_each_of_them_links(spark):
+    rng = random.Random(9)
+    prose = lambda n, tag: " ".join(f"{tag}{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, d = (prose(50, tag) for tag in "abcd")
+    rows = [(3, a), (7, b), (9, a), (9, b), (9, c), (12, c + " more"), (20, d), (20, "short"), (21, "x " + d), (5, "short"), (30, prose(50, "e")), (30, ""), (31, None), (31, d + " end")]
+    docs = as_docs(spark, [(i, t, "en", "s") for i, t in rows])
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=repr)
+    assert got == brute(pairs_of(docs))
+    assert {i: c for i, _, c in got} == {3: 3, 7: 3, 9: 3, 12: 3, 20: 5, 21: 5, 5: 5, 30: 30, 31: 5}
+
+
 def test_one_row_of_each_component_stays(messy_docs):
     stay = one_per_component(messy_docs)
     assert stay.columns == messy_docs.columns
@@ -75,12 +87,24 @@ def test_tree_walk_equals_pairwise_overlap():
 
 
 def test_frequent_shingles_come_last():
-    s = shingle_set(b"a b c d e f g h")
+    s = shingle_set(b"a b c d e f g h i j k l m n")
     last = np.array([[s[0], 5], [s[2], 1]], np.uint64)
     keys = in_order(s, last[np.argsort(last[:, 0])])
     assert len(keys) == len(s) and list(keys[-2:]) == [(1 << 63) + 1, (1 << 63) + 5]
 
 
+def test_similar_sets_share_enough_of_their_prefixes():
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        both = np.sort(rng.choice(10_000, rng.integers(4, 200), replace=False))
+        own, other = (np.sort(rng.choice(both, rng.integers(int(0.75 * len(both)), len(both) + 1), replace=False)) for _ in range(2))
+        if 4 * len(np.intersect1d(own, other)) < 3 * len(np.union1d(own, other)):
+            continue
+        shared = np.intersect1d(own[: prefix_length(len(own))], other[: prefix_length(len(other))])
+        for n in (len(own), len(other)):
+            assert len(shared) >= (n * 3 + 3) // 4 // MORE + 1
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
