@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import only, plain_id, ranked_id, stored, texts, window_hashes, word_hashes
+from cartwheel.llm.common import BROADCAST_IDS, only, plain_id, ranked_id, stored, texts, window_hashes, word_hashes
 from cartwheel.llm.substrings import _merged
 
 SHINGLE = 5
@@ -281,6 +281,8 @@ def components(edges: DataFrame) -> DataFrame:
 def relabelled(table: DataFrame, column: str, labels: DataFrame) -> DataFrame:
     """``table`` with the ids of ``column`` replaced by their component where ``labels`` has one."""
     own = labels.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    if labels.count() <= BROADCAST_IDS:
+        own = F.broadcast(own)
     joined = table.join(own, table[column] == F.col("_node"), "left")
     return joined.withColumn(column, F.coalesce("_component", column)).drop("_node", "_component")
 
@@ -321,13 +323,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labels = components(links)
 
     # Sets of different components that are similar meet at least_meetings() shingles.
-    nodes = relabelled(met.select("key", F.col("head.doc_id").alias("head"), "doc_id", "size"), "doc_id", copies).groupBy("key", "doc_id").agg(F.min("head").alias("head"), F.min("size").alias("size"))
-    nodes = stored(relabelled(nodes.withColumn("part", F.col("doc_id")), "part", labels), "nodes")
+    nodes = relabelled(met.select("key", F.col("head.doc_id").alias("head"), "doc_id", "size"), "doc_id", copies)
+    nodes = relabelled(nodes.withColumn("part", F.col("doc_id")), "part", labels)
+    of_key, of_doc = Window.partitionBy("key"), Window.partitionBy("doc_id")
     for _ in range(PRUNINGS):
-        forked = nodes.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("key")
-        nodes = nodes.join(forked, "key", "left_semi")
-        enough = nodes.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("size").alias("size")).filter(f"n >= {least_meetings('size')}").select("doc_id")
-        nodes = stored(nodes.join(enough, "doc_id", "left_semi"), "nodes")
+        # a copy's row that now repeats the one of its class goes, and shingles of one component
+        nodes = nodes.withColumn("before", F.lag("doc_id").over(of_key.orderBy("doc_id", "size"))).withColumn("low", F.min("part").over(of_key)).withColumn("high", F.max("part").over(of_key))
+        nodes = nodes.filter("low < high and (before is null or before <> doc_id)").select("key", "head", "doc_id", "size", "part")
+        nodes = nodes.withColumn("n", F.count("*").over(of_doc)).withColumn("least", F.min("size").over(of_doc))
+        nodes = stored(nodes.filter(f"n >= {least_meetings('least')}").drop("n", "least"), "nodes")
     # What is left is compared for good: all sets that met the same one are a group.
     more = similar_in_groups(stored(nodes.select("head", "doc_id", "part").distinct(), "groups"), rows, shared)
     if not more.isEmpty():
