@@ -190,14 +190,23 @@ def bounds(a: str, b: str) -> str:
     )
 
 
+def with_texts(dealt: DataFrame, docs: DataFrame) -> DataFrame:
+    """``dealt`` with the texts of its ``doc_id``; the texts stay where they are while a count shows that ``dealt`` can be broadcast."""
+    dealt = stored(dealt, "dealt")
+    if dealt.count() <= BROADCAST_IDS:
+        dealt = F.broadcast(dealt)
+    else:
+        docs = only(docs, "doc_id", stored(dealt.select("doc_id").distinct(), "candidates"))
+    bodies = docs.select(F.col("doc_id").alias("body_id"), "text")
+    return bodies.join(dealt, F.col("doc_id") == F.col("body_id")).drop("body_id")
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, last) -> DataFrame:
     """The pairs ``a, b`` whose texts are similar. All b of one a share trees of up to about GROUP_SETS sets."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-    bodies = only(docs, "doc_id", ids).select(F.col("doc_id").alias("body_id"), "text")
     per = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_SETS).alias("groups")).withColumnRenamed("a", "per_a")
     dealt = pairs.join(per, F.col("a") == F.col("per_a")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("part"))
-    probes = dealt.select("a", "part").distinct().join(bodies, F.col("a") == F.col("body_id")).select("a", "part", F.lit(None).cast("long").alias("b"), "text")
-    stored_sets = dealt.join(bodies, F.col("b") == F.col("body_id")).select("a", "part", "b", "text")
+    probes = dealt.select("a", "part", F.lit(None).cast("long").alias("b"), F.col("a").alias("doc_id")).distinct()
+    rows = with_texts(probes.unionByName(dealt.withColumn("doc_id", F.col("b"))), docs)
 
     def match(group: pa.Table) -> pa.Table:
         a, b = group.column("a")[0].as_py(), group.column("b").to_pylist()
@@ -209,7 +218,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, last) -> DataFrame:
         found = sorted({members[k][0] for probe in probes for k in similar_in_tree(tree, probe)}) if tree else []
         return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
-    return stored(probes.unionByName(stored_sets).groupBy("a", "part").applyInArrow(match, "a long, b long"), "links")
+    return stored(rows.groupBy("a", "part").applyInArrow(match, "a long, b long"), "links")
 
 
 def similar_in_groups(members: DataFrame, docs: DataFrame, last) -> DataFrame:
@@ -219,13 +228,11 @@ def similar_in_groups(members: DataFrame, docs: DataFrame, last) -> DataFrame:
     in a task: one as a tree, the sets of the other walking it. Once two parts are
     linked they count as one, so a task gives fewer links than it has sets.
     """
-    ids = stored(members.select("doc_id").distinct(), "candidates")
-    bodies = only(docs, "doc_id", ids).select(F.col("doc_id").alias("body_id"), "text")
     per = members.groupBy("head").agg(F.ceil(F.count("*") / GROUP_SETS).cast("int").alias("blocks")).withColumnRenamed("head", "per_head")
     dealt = members.join(per, F.col("head") == F.col("per_head")).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("head", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "part")
-    rows = dealt.join(bodies, F.col("doc_id") == F.col("body_id")).drop("body_id")
+    rows = with_texts(dealt, docs)
 
     def match(group: pa.Table) -> pa.Table:
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
