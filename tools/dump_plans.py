@@ -2,7 +2,7 @@
 
 Automatic broadcasts are switched off, so every dimension is joined the way
 it would be at cluster scale, where the dimensions are far above any
-broadcast bound. Only the calendar keeps its explicit, row-checked
+broadcast bound. Only the calendar keeps its explicit, day-bounded
 broadcast. Long expressions are cut so the operator shape stays readable.
 
     python tools/dump_plans.py [sf_dir]
@@ -22,8 +22,8 @@ QUERIES = {
     "aggregate sits on the order_id join with no exchange between them. (The lineitem-orders and "
     "customer-nation joins below are the driver tables mapped into the reference's roles, not part of "
     "the fact.)",
-    "merge_order": "MRG2. NULL keys bypass the joins; semi join -> left outer join for kept/updated rows; "
-    "anti join against the target's aggregated keys for inserts; the guard joins the two key-count sets.",
+    "merge_order": "MRG2. NULL keys bypass the joins; the target is left-joined to one row per source key, and the "
+    "filter above that join raises on keys with several source rows; inserts are an anti join against the matched keys.",
     "clean_order_item": "JOB4. One shuffle (the line dedupe, partially aggregated map-side); split, strip "
     "and parse run once per distinct line after it; the reject filter stays above the parse.",
 }
