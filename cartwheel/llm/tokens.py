@@ -19,26 +19,30 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import in_batches, scratch, stored, texts
+from cartwheel.llm.common import in_batches, scratch, stored
 
 END_ID = 1
 TOKENS_A_FILE = 4_000_000
-# Pieces of up to this length are remembered with their ids, so many of them per worker.
-WORD_END = "</w>"  # marks a piece's last token
-CACHED_CHARS, CACHED_PIECES = 48, 200_000
+# About so many pieces are remembered with their ids in a worker.
+CACHED_PIECES = 200_000
 
 # Letters, numbers and white space of the tokenizer's pattern below U+0180, lower-cased.
 # Every text there is in normal form; only U+0130 has a lower case of two characters.
 _L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
-_OTHER = re.compile("[\u0130\u0180-\U0010ffff]")
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+# Texts outside that range, or with what may be a special token.
+_ODD_TEXT = r"[\x{130}\x{180}-\x{10ffff}]|<\|"
+# The byte-level alphabet: printable bytes stand for themselves, the others for U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
 
 _HEAD = "<qBIII"
 _LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
@@ -49,80 +53,98 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take the others'
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    ends = np.zeros(tokenizer.get_vocab_size(), bool)
-    for token, i in tokenizer.get_vocab().items():
-        ends[i] = token.endswith(WORD_END)
-    return tokenizer, ends, {}
+    return Tokenizer.from_file(path), {}
 
 
-def pieces(text: str) -> list[str]:
-    """Parts of a text that the tokenizer never joins: encoding them one by one gives the text's ids.
+def ids_of_texts(path: str, column: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of every text of a string column, no special tokens added.
 
-    In the Latin range its normalisation is plain lower-casing and its letters, digits
-    and white space are known, so the text is cut as the tokenizer cuts it. Any other
-    text, and one that may hold a special token, is cut at white space only.
+    The tokenizer drops white space and never joins across it, so a text's ids are
+    those of its words. Words are split and numbered by Arrow for a few MB of
+    texts at a time, and each different word is encoded once.
     """
-    if _OTHER.search(text) or "<|" in text:
-        return [w.decode() for w in text.encode().split()]
-    return _PIECE.findall(text.lower())
-
-
-def encode_ids(path: str, batch: Iterable[bytes]) -> Iterator[np.ndarray]:
-    """Ids of each text, no special tokens added; pieces are remembered (a bounded cache per worker)."""
-    tokenizer, ends, cache = _tokenizer(path)
-    for texts_at_once in _chunks(batch):
-        split = [pieces(t.decode()) for t in texts_at_once]
-        new = list(set().union(*split).difference(cache))
-        long = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, ids in zip(part, _ids_of(tokenizer, ends, part), strict=True):
-                (cache if len(w) <= CACHED_CHARS else long)[w] = ids
-        for parts in split:
-            yield np.frombuffer(b"".join([cache[w] if w in cache else long[w] for w in parts] if long else map(cache.__getitem__, parts)), "<u4")
-        if len(cache) > CACHED_PIECES:
-            cache.clear()
-
-
-def _ids_of(tokenizer, ends: np.ndarray, parts: list[str]) -> list[bytes]:
-    """Ids of each part. Plain pieces are encoded in one go and cut behind their last tokens."""
-    if all(map(_PIECE.fullmatch, parts)):
-        ids = np.array(tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
-        cuts = [0, *(np.flatnonzero(ends[ids]) + 1) * 4]
-        if len(cuts) == len(parts) + 1 and cuts[-1] == 4 * len(ids):
-            raw = ids.tobytes()
-            return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-    return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in tokenizer.encode_batch(parts, add_special_tokens=False)]
-
-
-def _chunks(batch: Iterable[bytes], most_bytes: int = 1 << 20) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for text in batch:
-        held.append(text)
-        size += len(text)
-        if size >= most_bytes:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def vbyte_encode(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit values."""
+    for texts_at_once, odd in _chunks(column):
+        words = pc.ascii_split_whitespace(texts_at_once if odd else pc.utf8_lower(texts_at_once))
+        numbered = words.flatten().dictionary_encode()
+        different = numbered.dictionary.to_pylist()
+        ids = _ids_of_odd(path, different) if odd else _ids_of_plain(path, different)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        word = numbered.indices.to_numpy()
+        n = lengths[word]
+        ends = np.cumsum(n)
+        flat = pool[np.repeat(starts[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        at = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        for low, high in zip(at, at[1:]):
+            yield flat[low:high]
+
+
+def _ids_of_odd(path: str, words: list[str]) -> list[bytes]:
+    found = _tokenizer(path)[0].encode_batch(words, add_special_tokens=False)
+    return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+
+def _ids_of_plain(path: str, words: list[str]) -> list[bytes]:
+    """Ids of lower-case words of the Latin range, as bytes.
+
+    There the tokenizer's normalisation is plain lower-casing and its letters, digits
+    and marks are known, so a word is cut as it cuts it and the pieces go to its
+    model; they are remembered (a bounded cache per worker).
+    """
+    tokenizer, cache = _tokenizer(path)
+    model, out = tokenizer.model, []
+    if len(cache) > CACHED_PIECES:
+        cache.clear()
+    for word in words:
+        parts = _PIECE.findall(word)
+        for p in parts:
+            if p not in cache:
+                plain = p.isascii() and p.isprintable()
+                ids = [t.id for t in model.tokenize(p if plain else p.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+                cache[p] = struct.pack(f"<{len(ids)}I", *ids)
+        out.append(cache[parts[0]] if len(parts) == 1 else b"".join([cache[p] for p in parts]))
+    return out
+
+
+def _chunks(column: pa.Array, most_bytes: int = 16 << 20) -> Iterator[tuple[pa.Array, bool]]:
+    """Slices of the column (nulls as empty) of about ``most_bytes``, a longer text by itself, and whether their texts are odd."""
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    odd = pc.match_substring_regex(column, _ODD_TEXT).to_numpy(zero_copy_only=False).astype(bool)
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)) // most_bytes
+    cuts = [0, *(np.flatnonzero((np.diff(ends) > 0) | (odd[1:] != odd[:-1])) + 1), len(column)]
+    for low, high in zip(cuts, cuts[1:]):
+        if high > low:
+            yield column.slice(low, high - low).cast(pa.large_string()), bool(odd[low])
+            pa.default_memory_pool().release_unused()
+
+
+def _padded(n: np.ndarray) -> np.ndarray:
+    """Where the values of sequences of ``n`` values stand when each is padded to fours."""
+    whole = (n + 3) // 4 * 4
+    return np.repeat(np.cumsum(whole) - whole - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def vbyte_encode(values: np.ndarray, n: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and data bytes of sequences of unsigned 32-bit values, ``n`` values each, one after the other."""
     v = values.astype("<u4")
     code = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    four = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    four[: len(v)] = code
+    four = np.zeros((n + 3).sum() // 4 * 4 + 4 * len(n), np.uint8)
+    four[_padded(n)] = code
     four = four.reshape(-1, 4)
-    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    raw = v.view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), raw[np.arange(4) <= code[:, None]].tobytes()
-
-
-def vbyte_decode(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
+    control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).astype(np.uint8).tobytes()
+    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(n)])
+    of_data = np.concatenate([[0], np.cumsum(code, dtype=np.int64) + np.arange(1, len(v) + 1)])[ends].tolist()
+    of_control = np.concatenate([[0], np.cumsum((n + 3) // 4)]).tolist()
+    return [control[a:b] for a, b in zip(of_control, of_control[1:])], [data[a:b] for a, b in zip(of_data, of_data[1:])]
+
+
+def vbyte_decode(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
+    """Values of sequences of ``n`` values each, whose control bytes and data bytes stand one after the other."""
+    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[_padded(n)]
+    out = np.zeros((len(lengths), 4), np.uint8)
     out[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
     return out.view("<u4").reshape(-1)
 
@@ -135,12 +157,13 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
         def rows():
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
-                for i, tokens in zip(ids, encode_ids(tokenizer_path, (t or b"" for t in texts(batch.column("text")))), strict=True):
+                for i, tokens in zip(ids, ids_of_texts(tokenizer_path, batch.column("text")), strict=True):
                     tokens = np.append(tokens, np.uint32(end_id))
                     wide = bool(tokens.max() > 0xFFFF)
                     yield i, len(tokens), wide, tokens.astype("<u4" if wide else "<u2").tobytes()
 
         yield from in_batches(rows(), schema, most_bytes=8 << 20)
+        _tokenizer(tokenizer_path)[1].clear()  # an idle worker keeps its memory
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, wide boolean, ids binary")
@@ -156,8 +179,9 @@ def frequency_ranks(tokens: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids, wide in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist(), strict=True):
-                c = np.bincount(_ids(ids, wide), minlength=len(total))
+            each = [_ids(ids, wide) for ids, wide in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist(), strict=True)]
+            if each:
+                c = np.bincount(np.concatenate(each), minlength=len(total))
                 c[: len(total)] += total
                 total = c
         seen = np.flatnonzero(total)
@@ -184,10 +208,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     def encode(batches):
         def rows():
             for batch in batches:
-                for i, wide, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "wide", "ids")), strict=True):
-                    ranks = shared.value[_ids(ids, wide)]
-                    control, data = vbyte_encode(ranks)
-                    yield (struct.pack(_HEAD, i or 0, i is None, len(ranks), len(control), len(data)) + control + data,)
+                for low in range(0, batch.num_rows, 512):
+                    part = batch.slice(low, 512)
+                    names, wide, ids = (part.column(c).to_pylist() for c in ("doc_id", "wide", "ids"))
+                    each = [_ids(x, w) for x, w in zip(ids, wide, strict=True)]
+                    n = np.array([len(x) for x in each])
+                    for i, count, control, data in zip(names, n.tolist(), *vbyte_encode(shared.value[np.concatenate(each)], n), strict=True):
+                        yield (struct.pack(_HEAD, i or 0, i is None, count, len(control), len(data)) + control + data,)
 
         yield from in_batches(rows(), schema, most_bytes=8 << 20)
 
@@ -197,14 +224,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
     placed.mapInArrow(encode, "record binary").select(F.col("record").cast("string")).write.option("lineSep", "\n").text(f"{folder}/files")
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of the files, ids decoded; start counts the ids of all records before."""
+def _decoded(spark: SparkSession, folder: str, last: str, of_ids) -> DataFrame:
+    """``part, doc_id, before, n_tokens`` and ``of_ids(ids)`` of every record, file by file; before counts within the file."""
     table = spark.read.parquet(f"{folder}/ranks").collect()
     id_of = np.zeros(len(table), "<u4")
     for r in table:
         id_of[r["rank"]] = r["id"]
     shared = spark.sparkContext.broadcast(id_of)
-    schema = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    kind = {"binary": pa.binary(), "long": pa.int64()}[last.split()[1]]
+    schema = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), (last.split()[0], kind)])
 
     def decode(batches):
         def rows():
@@ -212,35 +240,45 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 for part, content in zip(batch.column("part").to_pylist(), batch.column("content"), strict=True):
                     view, at, before = memoryview(content.as_buffer()), 0, 0
                     while at < len(view):
-                        i, null, n, c, d = struct.unpack_from(_HEAD, view, at)
-                        at += struct.calcsize(_HEAD)
-                        ids = shared.value[vbyte_decode(view[at : at + c], view[at + c : at + c + d], n)]
-                        at += c + d + 1
-                        yield part, None if null else i, before, n, ids.tobytes()
-                        before += n
+                        heads, control, data = [], [], []
+                        while at < len(view) and len(heads) < 512:
+                            i, null, n, c, d = struct.unpack_from(_HEAD, view, at)
+                            at += struct.calcsize(_HEAD)
+                            heads.append((None if null else i, n))
+                            control.append(view[at : at + c])
+                            data.append(view[at + c : at + c + d])
+                            at += c + d + 1
+                        ids = shared.value[vbyte_decode(b"".join(control), b"".join(data), np.array([n for _, n in heads]))]
+                        first = 0
+                        for i, n in heads:
+                            yield part, i, before, n, of_ids(ids[first : first + n])
+                            first += n
+                            before += n
 
         yield from in_batches(rows(), schema, most_bytes=8 << 20)
 
     number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
     files = spark.read.format("binaryFile").load(f"{folder}/files")
-    return files.select(number.alias("part"), "content").mapInArrow(decode, "part long, doc_id long, before long, n_tokens long, ids binary")
-
-
-def token_digest(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every record of the files."""
-    schema = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    return files.select(number.alias("part"), "content").mapInArrow(decode, f"part long, doc_id long, before long, n_tokens long, {last}")
 
-    def digest(batches):
-        for batch in batches:
-            crc = [zlib.crc32(x.as_buffer()) for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "doc_id", "before", "n_tokens")), pa.array(crc, pa.int64())], schema=schema)
 
-    rows = stored(read_tokens(spark, folder).mapInArrow(digest, "part long, doc_id long, before long, n_tokens long, ids_crc32 long"), "token-digest")
-    # one row per file
+def _with_start(rows: DataFrame) -> DataFrame:
+    """``start``, the ids of all records before, in place of ``part`` and ``before``; the window is over one row per file."""
     per_file = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     ahead = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     per_file = per_file.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
-    return rows.join(per_file, "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(per_file, "part").withColumn("start", F.col("base") + F.col("before")).drop("part", "before", "base")
+
+
+def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, start`` of the files' records, ids as little-endian uint32."""
+    return _with_start(_decoded(spark, folder, "ids binary", lambda ids: ids.tobytes()))
+
+
+def token_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of the files' records."""
+    rows = stored(_decoded(spark, folder, "ids_crc32 long", lambda ids: zlib.crc32(ids.tobytes())), "token-digest")
+    return _with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def token_binary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
