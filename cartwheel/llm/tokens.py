@@ -31,8 +31,8 @@ from cartwheel.llm.common import in_batches, scratch, stored
 
 END_ID = 1
 TOKENS_A_FILE = 4_000_000
-# About so many pieces are remembered with their ids in a worker.
-CACHED_PIECES = 200_000
+# Texts are encoded so many bytes at a time: more take fewer CPU seconds and more memory.
+CHUNK_BYTES = 16 << 20
 
 # Letters, numbers and white space of the tokenizer's pattern below U+0180, lower-cased.
 # Every text there is in normal form; only U+0130 has a lower case of two characters.
@@ -56,25 +56,27 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
-def ids_of_texts(path: str, column: pa.Array) -> Iterator[np.ndarray]:
+def ids_of_texts(path: str, column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
     """Ids of every text of a string column, no special tokens added.
 
     The tokenizer drops white space and never joins across it, so a text's ids are
     those of its words. Words are split and numbered by Arrow for a few MB of
     texts at a time, and each different word is encoded once.
     """
-    for texts_at_once, odd in _chunks(column):
+    for texts_at_once, odd in _chunks(column, chunk_bytes):
         words = pc.ascii_split_whitespace(texts_at_once if odd else pc.utf8_lower(texts_at_once))
         numbered = words.flatten().dictionary_encode()
         different = numbered.dictionary.to_pylist()
-        ids = _ids_of_odd(path, different) if odd else _ids_of_plain(path, different)
+        ids = _ids_of_odd(path, different) if odd else _ids_of_plain(path, different, chunk_bytes // 80)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(lengths) - lengths
         pool = np.frombuffer(b"".join(ids), "<u4")
         word = numbered.indices.to_numpy()
         n = lengths[word]
         ends = np.cumsum(n)
-        flat = pool[np.repeat(starts[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        take = np.repeat((starts[word] - (ends - n)).astype(np.int32), n)
+        take += np.arange(len(take), dtype=np.int32)
+        flat = pool[take]
         at = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         for low, high in zip(at, at[1:]):
             yield flat[low:high]
@@ -85,7 +87,7 @@ def _ids_of_odd(path: str, words: list[str]) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in found]
 
 
-def _ids_of_plain(path: str, words: list[str]) -> list[bytes]:
+def _ids_of_plain(path: str, words: list[str], most_pieces: int) -> list[bytes]:
     """Ids of lower-case words of the Latin range, as bytes.
 
     There the tokenizer's normalisation is plain lower-casing and its letters, digits
@@ -94,7 +96,7 @@ def _ids_of_plain(path: str, words: list[str]) -> list[bytes]:
     """
     tokenizer, cache = _tokenizer(path)
     model, out = tokenizer.model, []
-    if len(cache) > CACHED_PIECES:
+    if len(cache) > most_pieces:
         cache.clear()
     for word in words:
         parts = _PIECE.findall(word)
@@ -107,7 +109,7 @@ def _ids_of_plain(path: str, words: list[str]) -> list[bytes]:
     return out
 
 
-def _chunks(column: pa.Array, most_bytes: int = 16 << 20) -> Iterator[tuple[pa.Array, bool]]:
+def _chunks(column: pa.Array, most_bytes: int) -> Iterator[tuple[pa.Array, bool]]:
     """Slices of the column (nulls as empty) of about ``most_bytes``, a longer text by itself, and whether their texts are odd."""
     if column.null_count:
         column = pc.fill_null(column, "")
@@ -149,7 +151,7 @@ def vbyte_decode(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``doc_id, n_tokens, ids`` (little-endian uint16 where every id fits, else uint32, then 4 bytes a token)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("wide", pa.bool_()), ("ids", pa.binary())])
 
@@ -157,7 +159,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
         def rows():
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
-                for i, tokens in zip(ids, ids_of_texts(tokenizer_path, batch.column("text")), strict=True):
+                for i, tokens in zip(ids, ids_of_texts(tokenizer_path, batch.column("text"), chunk_bytes), strict=True):
                     tokens = np.append(tokens, np.uint32(end_id))
                     wide = bool(tokens.max() > 0xFFFF)
                     yield i, len(tokens), wide, tokens.astype("<u4" if wide else "<u2").tobytes()
@@ -193,10 +195,10 @@ def frequency_ranks(tokens: DataFrame) -> DataFrame:
     return counts.select(rank.cast("int").alias("rank"), "id")
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Tokenize ``docs`` and write ``folder/ranks`` and ``folder/files``."""
     spark = docs.sparkSession
-    tokens = stored(tokenized(docs, tokenizer_path, id_col, text_col, end_id), "token-ids")
+    tokens = stored(tokenized(docs, tokenizer_path, id_col, text_col, end_id, chunk_bytes), "token-ids")
     frequency_ranks(tokens).write.parquet(f"{folder}/ranks")
     table = spark.read.parquet(f"{folder}/ranks").collect()
     rank_of = np.zeros(max([0, *(r["id"] for r in table)]) + 1, "<u4")
@@ -281,7 +283,7 @@ def token_digest(spark: SparkSession, folder: str) -> DataFrame:
     return _with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-def token_binary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+def token_binary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Write the token files and report what they hold when read back: ``doc_id, start, n_tokens, ids_crc32``.
 
     One row per input row. A null or empty text is the end id alone. Rows are in
@@ -290,5 +292,5 @@ def token_binary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     gives no rows.
     """
     folder = scratch(docs.sparkSession, "tokens")
-    write_tokens(docs, folder, tokenizer_path, id_col, text_col, end_id)
+    write_tokens(docs, folder, tokenizer_path, id_col, text_col, end_id, chunk_bytes)
     return token_digest(docs.sparkSession, folder)
