@@ -353,4 +353,4 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of ``docs`` with the smallest id of their component, with their columns as they are."""
     found = jaccard_components(docs, id_col, text_col)
     stay = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct(), "stay")
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    return only(docs, id_col, stay)
