@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 1 << 12
-SAMPLE_ROWS = 3_000
+SAMPLE_ROWS = 1_500
 MOST_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 8
@@ -70,9 +71,11 @@ class LanguageModel:
         return np.sqrt(np.cumsum(np.pad(largest, ((0, 0), (1, 0))) ** 2, axis=1))
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts) * self.idf
+        v = np.log1p(counts)
+        v *= self.idf
         norm = np.linalg.norm(v, axis=1, keepdims=True)
-        return v / np.where(norm > 0, norm, 1)
+        v /= np.where(norm > 0, norm, 1)
+        return v
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, scores (cosine, 0 to 1) and whether each text is rejected."""
@@ -111,17 +114,18 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for batch in batches:
             keep = [has_letter(t) for t in batch["text"]]
             batch = batch[keep]
-            yield pd.DataFrame({"lang": batch["lang"], "counts": [gram_counts(t).astype(np.float32).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"lang": batch["lang"], "counts": [zlib.compress(gram_counts(t).tobytes(), 1) for t in batch["text"]]})
 
     sample = training_sample(labelled, id_col, text_col, lang_col, rows).mapInPandas(counts, "lang string, counts binary").collect()
     sample.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     if not sample:
         return LanguageModel((), np.zeros(BINS, np.float32), np.zeros((0, BINS), np.float32))
-    matrix = np.stack([np.frombuffer(r["counts"], np.float32) for r in sample])
+    matrix = np.stack([np.frombuffer(zlib.decompress(r["counts"]), np.float32) for r in sample])
     langs = np.array([r["lang"] for r in sample])
+    del sample
     idf = np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))).astype(np.float32) + 1
-    model = LanguageModel((), idf, matrix[:0])
-    unit = model.vectors(matrix)
+    unit = LanguageModel((), idf, matrix[:0]).vectors(matrix)
+    del matrix
     names, centres = [], []
     for lang in sorted(set(langs)):
         own = unit[langs == lang]
