@@ -40,7 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.token_binary(docs, queries.tokenizer_path())
+    # half the usual chunk: the executors' Python workers also hold what earlier stages left
+    return tokens.token_binary(docs, queries.tokenizer_path(), chunk_bytes=tokens.CHUNK_BYTES // 2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
