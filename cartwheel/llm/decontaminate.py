@@ -1,26 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-The seeds of a test item are the rarer half of its distinct word 3-grams, by how
-often they occur in the whole corpus (rarity is relative to the item, so an item
-that leaked often keeps its seeds). Passages of a document around seed hits are
+Every word 3-gram of a test item is a seed, common ones too: in an edited copy any
+of them may be the only one left. Passages of a document around seed hits are
 aligned word by word with the item; the score is the best local alignment over
-that of a full copy, so edited and paraphrased copies score in between.
+that of a full copy, so edited and paraphrased copies score in between. Passages
+are as wide as an alignment over the threshold can be, and words whose alignment
+can't get there by an upper bound are left out, so every alignment over the
+threshold that shares a 3-gram with its item is found.
 
 Test items are taken in blocks of bounded size; every block meets all documents.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import texts, window_hashes, word_hashes
+from cartwheel.llm.common import window_hashes, word_hashes
 
 SEED_WORDS = 3
 THRESHOLD = 0.5
@@ -61,24 +63,39 @@ def local_alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def insertions(length: int, threshold: float) -> int:
+    """Most words beyond the item's that a passage can have within an alignment at or over the threshold."""
+    return max(4, math.ceil(MATCH * length * (1 - threshold) / -GAP))
+
+
+def reachable(item: np.ndarray, passage: np.ndarray, least: float, most_words: int) -> Iterator[tuple[int, int]]:
+    """(from, end) of the parts of a passage that hold every alignment with a score of ``least`` or more.
+
+    A passage word gains MATCH at most if the item has it and loses 1 if not, so the
+    best sum of a run of words up to a position is over that of any alignment ending there.
+    """
+    total = np.cumsum(np.where(np.isin(passage, item), MATCH, max(MISMATCH, GAP)))
+    lowest = np.minimum(np.minimum.accumulate(np.concatenate(([0], total[:-1]))), 0)
+    ends = np.flatnonzero(total - lowest >= least) + 1
+    if not len(ends):
+        return
+    starts = np.maximum(ends - most_words, 0)
+    cuts = np.flatnonzero(starts[1:] > ends[:-1])
+    yield from zip(starts[np.concatenate(([0], cuts + 1))].tolist(), ends[np.concatenate((cuts, [len(ends) - 1]))].tolist(), strict=True)
+
+
 class SeedIndex:
     """Items of one block: word hashes, and for every seed hash the (item, position) pairs it stands for."""
 
-    def __init__(self, items: list[tuple[int, str]], counts: dict[int, int] | None = None):
+    def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.words = [plain_words(t) for _, t in items]
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for n, words in enumerate(self.words):
             if not len(words):
                 continue
-            grams = grams_of(words).tolist()
-            seeds = set(grams)
-            if counts is not None:
-                ranked = sorted(seeds, key=lambda g: (counts.get(g, 0), g))
-                seeds = set(ranked[: max(1, (len(ranked) + 1) // 2)])
-            for at, g in enumerate(grams):
-                if g in seeds:
-                    self.places[g].append((n, at))
+            for at, g in enumerate(grams_of(words).tolist()):
+                self.places[g].append((n, at))
         self.hashes = np.array(sorted(self.places), np.uint64)
         self.short = sorted({len(w) for w in self.words if 0 < len(w) < SEED_WORDS})
 
@@ -98,7 +115,7 @@ class SeedIndex:
         spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for p, g in self.hits(words):
             for n, at in self.places[g]:
-                slack = max(4, len(self.words[n]) // 2)
+                slack = insertions(len(self.words[n]), threshold)
                 spans[n].append((max(0, p - at - slack), min(len(words), p - at + len(self.words[n]) + slack)))
         for n, own in spans.items():
             for low, high in sorted(own):
@@ -114,9 +131,10 @@ class SeedIndex:
                 passage = words[low:high]
                 if MATCH * np.isin(item, passage).sum() < threshold * most:
                     continue
-                score, end = local_alignment(item, passage)
-                if score / most > best[0]:
-                    best = (score / most, low, low + end + 1)
+                for start, stop in reachable(item, passage, threshold * most, len(item) + insertions(len(item), threshold)):
+                    score, end = local_alignment(item, passage[start:stop])
+                    if score / most > best[0]:
+                        best = (score / most, low + start, low + start + end + 1)
             if best[0] >= threshold:
                 out.append((self.ids[n], *best))
         return out
@@ -132,29 +150,11 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[li
         yield sorted((r["item_id"], r["text"]) for r in part.collect())
 
 
-def gram_frequencies(docs: DataFrame, index: SeedIndex, text_col: str) -> dict[int, int]:
-    """How often each n-gram of a block's items occurs in the corpus; a task sends a row per n-gram it saw."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def count(batches):
-        seen: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            for text in texts(batch.column("text")):
-                for _, g in shared.value.hits(plain_words(text)):
-                    seen[g] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(list(seen), np.uint64).view(np.int64)), pa.array(list(seen.values()), pa.int64())], ["gram", "n"])
-
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in rows}
-
-
 def leak_columns(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> list[Column]:
     """For each block of items a column of ``docs``: array of ``item_id, score, word_from, word_to``."""
     columns = []
     for items in item_blocks(benchmark, item_col, item_text_col):
-        counts = gram_frequencies(docs, SeedIndex(items), text_col)
-        shared = docs.sparkSession.sparkContext.broadcast(SeedIndex(items, counts))
-
+        shared = docs.sparkSession.sparkContext.broadcast(SeedIndex(items))
         columns.append(leaks_udf(shared, threshold)(docs[text_col]))
     return columns
 

@@ -97,3 +97,23 @@ def test_small_tables_equal_all_pairs(spark, small_docs):
     short = {i for i, _ in docs}
     names = {i for i, _ in items}
     assert {p for p in got if p[0] in short and p[1] in names} == brute(docs, items, decontaminate.THRESHOLD)
+
+
+def test_edited_copies_without_another_copy_are_found(spark):
+    rng = random.Random(3)
+    prose = lambda n: [rng.choice(["the", "of", "and", "in", f"u{rng.randrange(10**6)}", f"v{rng.randrange(10**6)}"]) for _ in range(n)]
+    items = [(k, prose(rng.randint(20, 60))) for k in range(36)]
+    docs = [(i, " ".join(prose(rng.randint(5, 150))), None, "s") for i in range(40)]
+    for k, words in items[:30]:
+        copy = [f"new{k}x{n}" if n % (4 + k % 3) == 3 else w for n, w in enumerate(words)]
+        docs.append((1000 + k, " ".join(prose(30) + copy + prose(30)), None, "s"))
+    for k, words in items[30:]:  # a word put in after nearly every word
+        loose = [x for n, w in enumerate(words[:-3]) for x in (w, f"put{k}x{n}")] + words[-3:]
+        docs.append((1000 + k, " ".join(prose(30) + loose + prose(30)), None, "s"))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    rows = contaminated(as_docs(spark, docs), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == brute([d[:2] for d in docs], [(k, " ".join(w)) for k, w in items], decontaminate.THRESHOLD)
+    assert {(1000 + k, k) for k, _ in items} <= {(r.doc_id, r.item_id) for r in rows}
+    for r in rows:
+        own, words = plain_words(dict((k, " ".join(w)) for k, w in items)[r.item_id]), plain_words(dict(d[:2] for d in docs)[r.doc_id])
+        assert r.score == local_alignment(own, words[r.word_from : r.word_to])[0] / (MATCH * len(own))
