@@ -6,7 +6,10 @@ frequency and normalised. Each language has several centroids (spherical
 k-means over its training vectors). A text gets the language of the centroid
 with the highest cosine. It is rejected when it is too far from it for its
 length: a text of k different grams can reach at most the norm of the centroid's
-k largest weights, and must reach REJECT_SHARE of that.
+k largest weights, and must reach a share of that. The share is learned for each
+language and length (power of two of k) from training texts and pieces of them,
+held against centroids of the other half of the sample: a low quantile with a
+margin, REJECT_SHARE at least.
 
 Training uses a bounded sample (``SAMPLE_ROWS`` labelled rows over all
 languages, chosen by hash of the id); prediction reads every whole text.
@@ -25,12 +28,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 1 << 12
+from cartwheel.llm.common import stored
+
+BIN_BITS = 16
+BINS = 1 << BIN_BITS
 SAMPLE_ROWS = 1_500
 MOST_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 8
 REJECT_SHARE = 0.1
+# Shares are learned from whole texts and pieces of so many words, in bands by the number of different grams.
+PIECE_WORDS = (2, 6, 20, 60, 200)
+BANDS = BIN_BITS + 1
+LOW_QUANTILE, MARGIN, LEAST_PIECES = 0.01, 0.5, 10
 UNKNOWN = "und"
 CHUNK = 1 << 20
 
@@ -53,29 +63,53 @@ def gram_counts(text: str) -> np.ndarray:
         if at + CHUNK + 1 < len(folded):
             pairs = pairs[:-1]  # the last pair opens the next chunk
         for grams in (pairs, threes):
-            bins = (grams * np.uint32(2654435761)) >> np.uint32(32 - 12)
+            bins = (grams * np.uint32(2654435761)) >> np.uint32(32 - BIN_BITS)
             out += np.bincount(bins, minlength=BINS).astype(np.float32)
     return out
 
 
+def sparse_counts(text: str) -> bytes:
+    counts = gram_counts(text)
+    at = np.flatnonzero(counts)
+    return zlib.compress(at.astype(np.uint32).tobytes() + counts[at].tobytes(), 1)
+
+
+def sparse_row(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Bins and values of a packed row."""
+    both = zlib.decompress(packed)
+    return np.frombuffer(both, np.uint32, len(both) // 8), np.frombuffer(both, np.float32, offset=len(both) // 2)
+
+
+def weighted(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    v = np.log1p(counts) * idf[at]
+    norm = np.linalg.norm(v)
+    return v / norm if norm > 0 else v
+
+
+def reach_of(centroids: np.ndarray) -> np.ndarray:
+    """Per centroid and number of different grams: the highest cosine there can be."""
+    largest = -np.sort(-centroids.astype(float), axis=1)
+    return np.sqrt(np.cumsum(np.pad(largest, ((0, 0), (1, 0))) ** 2, axis=1))
+
+
+def band(grams: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(grams, 1)).astype(int)
+
+
 @dataclass
 class LanguageModel:
     languages: tuple[str, ...]  # one per centroid
     idf: np.ndarray
     centroids: np.ndarray  # centroid x bin, unit length
+    shares: np.ndarray  # centroid x band: what a text must reach
 
     @functools.cached_property
     def reach(self) -> np.ndarray:
-        """Per centroid and number of different grams: the highest cosine there can be."""
-        largest = -np.sort(-self.centroids.astype(float), axis=1)
-        return np.sqrt(np.cumsum(np.pad(largest, ((0, 0), (1, 0))) ** 2, axis=1))
+        return reach_of(self.centroids)
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts)
-        v *= self.idf
-        norm = np.linalg.norm(v, axis=1, keepdims=True)
-        v /= np.where(norm > 0, norm, 1)
-        return v
+    @functools.cached_property
+    def by_bin(self) -> np.ndarray:
+        return np.ascontiguousarray(self.centroids.T)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, scores (cosine, 0 to 1) and whether each text is rejected."""
@@ -84,16 +118,15 @@ class LanguageModel:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         similar = np.zeros((len(texts), len(self.languages)), np.float32)
         grams = np.zeros(len(texts), int)
-        rows = np.flatnonzero(known)
-        for at in range(0, len(rows), 256):
-            part = rows[at : at + 256]
-            counts = np.stack([gram_counts(texts[i]) for i in part])
-            similar[part] = self.vectors(counts) @ self.centroids.T
-            grams[part] = (counts > 0).sum(axis=1)
+        for i in np.flatnonzero(known):
+            counts = gram_counts(texts[i])
+            at = np.flatnonzero(counts)
+            similar[i] = weighted(at, counts[at], self.idf) @ self.by_bin[at]
+            grams[i] = len(at)
         best = similar.argmax(axis=1)
         score = np.clip(similar[np.arange(len(texts)), best], 0.0, 1.0).astype(float)
         langs = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        return langs, np.where(known, score, 0.0), ~known | (score < REJECT_SHARE * self.reach[best, grams])
+        return langs, np.where(known, score, 0.0), ~known | (score < self.shares[best, band(grams)] * self.reach[best, grams])
 
 
 def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -108,31 +141,82 @@ def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: s
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Fit on the bounded sample: gram counts are taken on the executors, at most ``2 * rows`` vectors reach the driver."""
+    """Fit on the bounded sample: grams are counted and languages clustered on the executors; centroids reach the driver."""
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = [has_letter(t) for t in batch["text"]]
-            batch = batch[keep]
-            yield pd.DataFrame({"lang": batch["lang"], "counts": [zlib.compress(gram_counts(t).tobytes(), 1) for t in batch["text"]]})
-
-    sample = training_sample(labelled, id_col, text_col, lang_col, rows).mapInPandas(counts, "lang string, counts binary").collect()
-    sample.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
-    if not sample:
-        return LanguageModel((), np.zeros(BINS, np.float32), np.zeros((0, BINS), np.float32))
-    matrix = np.stack([np.frombuffer(zlib.decompress(r["counts"]), np.float32) for r in sample])
-    langs = np.array([r["lang"] for r in sample])
-    del sample
-    idf = np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))).astype(np.float32) + 1
-    unit = LanguageModel((), idf, matrix[:0]).vectors(matrix)
-    del matrix
-    names, centres = [], []
-    for lang in sorted(set(langs)):
-        own = unit[langs == lang]
-        for mean in clusters(own, CENTROIDS)[0]:
-            names.append(str(lang))
-            centres.append(mean)
-    return LanguageModel(tuple(names), idf, np.stack(centres).astype(np.float32))
+            own = []
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                if has_letter(text):
+                    own.append((lang, sparse_counts(text), [sparse_counts(t) for t in pieces(text)]))
+            yield pd.DataFrame(own, columns=["lang", "counts", "pieces"])
+
+    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, df = 0, np.zeros(BINS, np.int64)
+        for batch in batches:
+            n += len(batch)
+            for packed in batch["counts"]:
+                df[sparse_row(packed)[0]] += 1
+        yield pd.DataFrame({"n": [n], "df": [df.tobytes()]})
+
+    sample = training_sample(labelled, id_col, text_col, lang_col, rows).mapInPandas(counts, "lang string, counts binary, pieces array<binary>")
+    sample = stored(sample, "language-sample")
+    n, df = 0, np.zeros(BINS, np.int64)
+    for r in sample.select("counts").mapInPandas(frequencies, "n long, df binary").toLocalIterator():
+        n, df = n + r["n"], df + np.frombuffer(r["df"], np.int64)
+    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+
+    def learn(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("counts", key=lambda c: c.map(bytes))
+        means, shares = learn_language([sparse_row(c) for c in own["counts"]], [[sparse_row(p) for p in ps] for ps in own["pieces"]], idf)
+        return pd.DataFrame({"lang": own["lang"].iloc[0], "k": range(len(means)), "centroid": [zlib.compress(m.astype(np.float32).tobytes(), 1) for m in means], "shares": [shares.tolist()] * len(means)})
+
+    found = sample.groupBy("lang").applyInPandas(learn, "lang string, k long, centroid binary, shares array<double>").collect()
+    found.sort(key=lambda r: (r["lang"], r["k"]))
+    if not found:
+        return LanguageModel((), idf, np.zeros((0, BINS), np.float32), np.zeros((0, BANDS)))
+    return LanguageModel(tuple(r["lang"] for r in found), idf, np.stack([np.frombuffer(zlib.decompress(r["centroid"]), np.float32) for r in found]), np.array([r["shares"] for r in found]))
+
+
+def pieces(text: str) -> Iterator[str]:
+    """Runs of PIECE_WORDS words from within a text that has more of them."""
+    words = text.split()
+    for n in PIECE_WORDS:
+        piece = " ".join(words[len(words) // 3 : len(words) // 3 + n])
+        if len(words) // 3 + n <= len(words) and has_letter(piece):
+            yield piece
+
+
+def learn_language(texts: list[tuple[np.ndarray, np.ndarray]], parts: list[list[tuple[np.ndarray, np.ndarray]]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of one language and, per band, the share of its reach that a text must have."""
+
+    def centroids(rows) -> np.ndarray:
+        # only the bins that occur, so that the matrix stays small
+        used = np.unique(np.concatenate([at for at, _ in rows]))
+        unit = np.zeros((len(rows), len(used)), np.float32)
+        for own, (at, n) in zip(unit, rows, strict=True):
+            own[np.searchsorted(used, at)] = weighted(at, n, idf)
+        means = clusters(unit, CENTROIDS)[0]
+        out = np.zeros((len(means), BINS), np.float32)
+        out[:, used] = means
+        return out
+
+    bands, ratios = [], []
+    for half in (0, 1) if len(texts) > 1 else ():
+        means = centroids(texts[half::2])
+        reach = reach_of(means)
+        for at, n in (row for text, own in zip(texts[1 - half :: 2], parts[1 - half :: 2], strict=True) for row in (text, *own)):
+            cosines = means[:, at] @ weighted(at, n, idf)
+            best = cosines.argmax()
+            bands.append(band(np.array(len(at))))
+            ratios.append(cosines[best] / reach[best, len(at)])
+    bands, ratios = np.array(bands, int), np.array(ratios)
+    shares, last = np.full(BANDS, REJECT_SHARE), REJECT_SHARE
+    for b in range(BANDS):
+        if (bands == b).sum() >= LEAST_PIECES:
+            last = max(REJECT_SHARE, MARGIN * float(np.quantile(ratios[bands == b], LOW_QUANTILE)))
+        shares[b] = last
+    return centroids(texts), shares
 
 
 def clusters(unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

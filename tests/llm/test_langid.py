@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from cases import as_docs
@@ -70,3 +72,14 @@ def test_several_centroids():
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     means, label = clusters(points, 3)
     assert len(means) == 3 and [len(set(label[20 * k : 20 * k + 20])) for k in range(3)] == [1, 1, 1]
+
+
+def test_long_junk_and_unlearned_scripts_are_rejected_and_short_clean_texts_are_not(small_docs, model):
+    rng = random.Random(5)
+    junk = lambda letters, n, longest: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, longest))) for _ in range(n))
+    latin, consonants = "abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"
+    chinese, cyrillic, greek = ("".join(map(chr, range(*r))) for r in ((0x4E00, 0x9FA5), (0x430, 0x450), (0x3B1, 0x3CA)))
+    texts = [junk(letters, n, 9) for letters in (latin, consonants, chinese, cyrillic, greek) for n in (20, 100, 1_000, 10_000)]
+    assert all(model.predict(texts)[2])
+    short = [" ".join(r.text.split()[5 : 5 + n]) for r in small_docs.collect() for n in (6, 12, 25) if len(r.text.split()) >= 5 + n]
+    assert len(short) > 300 and not any(model.predict(short)[2])
