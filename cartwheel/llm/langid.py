@@ -32,7 +32,7 @@ from cartwheel.llm.common import stored
 
 BIN_BITS = 16
 BINS = 1 << BIN_BITS
-SAMPLE_ROWS = 1_500
+SAMPLE_ROWS = 3_000
 MOST_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 8

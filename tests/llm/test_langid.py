@@ -83,3 +83,7 @@ def test_long_junk_and_unlearned_scripts_are_rejected_and_short_clean_texts_are_
     assert all(model.predict(texts)[2])
     short = [" ".join(r.text.split()[5 : 5 + n]) for r in small_docs.collect() for n in (6, 12, 25) if len(r.text.split()) >= 5 + n]
     assert len(short) > 300 and not any(model.predict(short)[2])
+
+
+def test_the_sample_is_as_large_as_it_was():
+    assert langid.SAMPLE_ROWS >= 3_000
