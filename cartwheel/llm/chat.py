@@ -3,8 +3,9 @@
 Calls and results are joined by their identifier, calls are put in topological
 order of what they wait for, arguments are checked against the schema of their
 tool, and every link becomes one line of canonical JSON (keys sorted, no white
-space). Rows that repeat an identifier are aggregated before the join, so that
-no identifier, however frequent, brings its rows together in one task.
+space). The i-th call of an identifier meets its i-th result; the numbers come
+from runs of a range partitioning, so that no identifier, however frequent,
+brings its rows together in one task.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import stored
+from cartwheel.llm.mixing import running
 
 # Schema types and the variant types that satisfy them.
 TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "boolean": ("BOOLEAN",), "array": ("ARRAY",), "object": ("OBJECT",)}
@@ -63,33 +65,63 @@ def call_steps(calls: DataFrame) -> DataFrame:
     return state.select("call_id", F.when(F.col("up").isNull(), F.col("step")).alias("step"))
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """One row per identifier: ``call_id, tool, status, step, n_calls, n_results, errors, json``.
+def numbered(rows: DataFrame, order: list[str], text: str) -> DataFrame:
+    """``rows`` with a non-null ``call_id`` and ``nth``: their number from 0 within it, by ``order``, the start of ``text`` and its hash."""
+    by = [*order, "_start", "_hash", "_tie"]
+    rows = rows.filter("call_id is not null").withColumns({"_start": F.left(F.col(text), F.lit(64)), "_hash": F.xxhash64(text), "_tie": F.monotonically_increasing_id()})
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = rows.repartitionByRange(parts, "call_id", *by).withColumn("_run", F.spark_partition_id())
+    runs = stored(runs, "chat-runs")
+    return running(runs, "call_id", "_run", [F.col(c) for c in by], F.lit(1).cast("long"), "nth").drop("_run", "_start", "_hash", "_tie")
+
+
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, each_null: bool = False) -> DataFrame:
+    """One row per call and per result without one: ``call_id, tool, status, step, n_calls, n_results, errors, json``.
 
     calls: ``call_id, position, after_id, tool, arguments`` (JSON text); results:
     ``call_id, position, content``. status is ``linked``, ``pending`` (no
     result) or ``orphan`` (no call), with ``/cycle`` appended where the call has
-    no topological position. Of rows that repeat an identifier the first by
-    (position, content) counts; n_calls and n_results tell how many there
-    were. Null identifiers can't be linked and are left out of the join; they
-    come out as one pending and one orphan row with their numbers. A null tool
-    is unknown; null arguments, and those beyond Spark's size limit of a variant, are
-    no object. Further columns are ignored;
+    no topological position. Of rows that repeat an identifier the i-th call
+    and the i-th result by position are linked (at one position by text) and
+    what is left over is pending or orphan; n_calls and n_results tell how many
+    the identifier has. A call that waits for a repeated identifier waits for
+    its first call. Null identifiers can't be linked and are left out of the
+    join; with ``each_null`` every such row comes out as pending or orphan,
+    without it they come out as one pending and one orphan row with their
+    numbers. A null tool is unknown; null arguments, and those beyond Spark's
+    size limit of a variant, are no object. Further columns are ignored;
     empty tables give no rows. Order by (step, call_id) runs every call after
     the one it waits for.
     """
-    call = F.min(F.struct("position", "after_id", "tool", "arguments")).alias("call")
-    calls = stored(calls.groupBy("call_id").agg(call, F.count("*").alias("n_calls")), "calls").select("call_id", "call.*", "n_calls")
-    result = F.min(F.struct("position", "content")).alias("result")
-    results = results.groupBy(F.col("call_id").alias("result_id")).agg(result, F.count("*").alias("n_results"))
-    steps = call_steps(calls.filter("call_id is not null").select("call_id", "after_id")).withColumnRenamed("call_id", "step_id")
-    placed = calls.join(steps, F.col("call_id") == F.col("step_id"), "left")
-    both = placed.join(results, F.col("call_id") == F.col("result_id"), "full")
-    is_call, is_result = F.col("n_calls").isNotNull(), F.col("n_results").isNotNull()
+    calls = calls.select("call_id", "position", "after_id", "tool", "arguments")
+    results = results.select("call_id", "position", "content")
+    named = stored(numbered(calls, ["position", "after_id", "tool"], "arguments"), "calls")
+    answers = stored(numbered(results, ["position"], "content"), "results")
+    steps = call_steps(named.filter("nth = 0").select("call_id", "after_id")).select(F.col("call_id").alias("step_id"), F.col("step").alias("step_before"))
+    step = F.when(F.col("step_id").isNull(), F.lit(0)).otherwise(F.col("step_before") + 1).cast("long")
+    placed = named.join(steps, F.col("after_id") == F.col("step_id"), "left").select("call_id", "nth", "tool", "arguments", step.alias("step"), F.lit(True).alias("is_call"))
+    answers_by = answers.select(F.col("call_id").alias("result_id"), F.col("nth").alias("result_nth"), "content", F.lit(True).alias("is_result"))
+    both = placed.join(answers_by, (F.col("call_id") == F.col("result_id")) & (F.col("nth") == F.col("result_nth")), "full")
+    both = both.withColumn("call_id", F.coalesce("call_id", "result_id"))
+    counts = named.select("call_id", F.lit(1).alias("c"), F.lit(0).alias("r")).unionByName(answers.select("call_id", F.lit(0).alias("c"), F.lit(1).alias("r")))
+    counts = counts.groupBy(F.col("call_id").alias("count_id")).agg(F.sum("c").alias("n_calls"), F.sum("r").alias("n_results"))
+    shape = ["call_id", "nth", "tool", "arguments", "step", "is_call", "is_result", "content", "n_calls", "n_results"]
+    both = both.join(counts, F.col("call_id") == F.col("count_id"), "left").select(*shape)
+    lost_calls, lost_results = calls.filter("call_id is null"), results.filter("call_id is null")
+    if each_null:
+        lost_calls = lost_calls.withColumn("n", F.lit(1).cast("long"))
+        lost_results = lost_results.withColumn("n", F.lit(1).cast("long"))
+    else:
+        lost_calls = lost_calls.groupBy("call_id").agg(F.min(F.struct("position", "after_id", "tool", "arguments")).alias("x"), F.count("*").alias("n")).select("call_id", "x.*", "n")
+        lost_results = lost_results.groupBy("call_id").agg(F.min(F.struct("position", "content")).alias("x"), F.count("*").alias("n")).select("call_id", "x.*", "n")
+    lost_calls = lost_calls.select("call_id", "tool", "arguments", F.lit(True).alias("is_call"), F.col("n").alias("n_calls"))
+    lost_results = lost_results.select("call_id", "content", F.lit(True).alias("is_result"), F.col("n").alias("n_results"))
+    both = both.unionByName(lost_calls, allowMissingColumns=True).unionByName(lost_results, allowMissingColumns=True)
+    is_call, is_result = F.col("is_call").isNotNull(), F.col("is_result").isNotNull()
     status = F.when(is_call & is_result, "linked").when(is_call, "pending").otherwise("orphan")
     status = F.concat(status, F.when(is_call & F.col("call_id").isNotNull() & F.col("step").isNull(), "/cycle").otherwise(""))
     rows = both.select(
-        F.coalesce("call_id", "result_id").alias("call_id"),
+        "call_id",
         "tool",
         status.alias("status"),
         "step",
@@ -97,7 +129,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> D
         F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
         F.when(is_call, argument_errors(F.col("tool"), F.col("arguments"), schemas)).otherwise(F.array().cast("array<string>")).alias("errors"),
         "arguments",
-        F.col("result.content").alias("content"),
+        "content",
     )
     # a parsed variant keeps the keys of every object sorted; the other keys are written in order
     arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null"))

@@ -39,9 +39,10 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn is a call, named by conversation and turn, that waits for the
     conversation's call two turns before; its words choose the tool and the
-    arguments. An assistant turn is the result of the turn before it.
+    arguments. An assistant turn is the result of the turn before it. Turns
+    without a conversation or number have a null name.
     """
-    named = lambda back: F.concat_ws("-", F.col("conv_id"), F.col("turn") - back)
+    named = lambda back: F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
     text, n = F.coalesce("text", F.lit("")), word_count(F.col("text"))
     kind = F.pmod(F.length(text), F.lit(3))
     json = lambda *pairs: F.to_json(F.struct(*[v.alias(k) for k, v in pairs]))
@@ -57,7 +58,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = chat.link_tool_calls(*conversation_calls(table(spark, sf_dir, "conversations")), TOOLS)
+    linked = chat.link_tool_calls(*conversation_calls(table(spark, sf_dir, "conversations")), TOOLS, each_null=True)
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
 

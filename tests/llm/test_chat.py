@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cartwheel.llm import queries
 from cartwheel.llm.chat import call_steps, link_tool_calls
 
 SCHEMAS = {"get": {"id": ("integer", True), "tags": ("array", False), "opt": ("object", False)}, "put": {"x": ("number", True), "on": ("boolean", True)}}
@@ -72,3 +73,27 @@ def test_a_very_long_text(spark):
     text = "word " * 400_000
     got = link(spark, [("a", 0, None, "get", json.dumps({"id": 1, "opt": {"t": text}}))], [("a", 1, text)])
     assert got["a"].errors == [] and json.loads(got["a"].json)["result"] == text
+
+
+def test_every_row_of_a_repeated_identifier_comes_out(spark):
+    calls = [("a", n % 7, None, "get", json.dumps({"id": n})) for n in range(300)] + [("b", 1, "a", "get", '{"id":-1}'), ("b", 2, "b", "get", '{"id":-2}'), ("b", 3, "gone", "get", '{"id":-3}')]
+    results = [("a", n, f"r{n}") for n in range(200)] + [("b", n, f"s{n}") for n in range(5)]
+    rows = link_tool_calls(spark.createDataFrame([(*c, "x", 1) for c in calls], CALLS).repartition(3), spark.createDataFrame([(*r, "x") for r in results], RESULTS).repartition(3), SCHEMAS).collect()
+    parsed = [json.loads(r.json) for r in rows]
+    assert sorted(p["arguments"]["id"] for p in parsed if p["arguments"]) == sorted(json.loads(c[4])["id"] for c in calls)
+    assert sorted(p["result"] for p in parsed if p["result"]) == sorted(r[2] for r in results)
+    ordered = {json.loads(c[4])["id"]: n for n, c in enumerate(sorted((c for c in calls if c[0] == "a"), key=lambda c: (c[1], c[4])))}
+    for p in parsed:
+        if p["call_id"] == "a":
+            n = ordered[p["arguments"]["id"]]
+            assert (p["result"], p["status"]) == ((f"r{n}", "linked") if n < 200 else (None, "pending"))
+    assert {p["arguments"]["id"]: (p["step"], p["result"]) for p in parsed if p["call_id"] == "b" and p["arguments"]} == {-1: (1, "s0"), -2: (2, "s1"), -3: (0, "s2")}
+    assert sorted(p["result"] for p in parsed if p["status"] == "orphan") == ["s3", "s4"]
+    assert {(r.n_calls, r.n_results) for r in rows if r.call_id == "b"} == {(3, 5)}
+
+
+def test_turns_without_a_conversation_or_number_stay_apart(spark):
+    turns = [(None, 0, "user", "one"), (None, 0, "user", "other"), (None, 1, "assistant", "answer"), (1, None, "user", "x"), (2, 0, "user", "y"), (2, 1, "assistant", "z")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    rows = link_tool_calls(*queries.conversation_calls(frame), queries.TOOLS, each_null=True).collect()
+    assert sorted((r.call_id or "", r.status, r.n_calls, r.n_results) for r in rows) == [("", "orphan", 0, 1)] + [("", "pending", 1, 0)] * 3 + [("2-0", "linked", 1, 1)]
