@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat, decontaminate, exact, jaccard, langid, lines, mixing, substrings, tokens, warc
+from cartwheel.llm import align, bpe, chat, decontaminate, exact, jaccard, langid, lines, mixing, substrings, tokens, warc
 from cartwheel.llm.common import word_count
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # Tools of the conversations' requests: parameter -> (type, required).
 TOOLS = {
@@ -34,6 +35,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def vocabulary_path(name: str) -> str:
+    """A vocabulary file by name: in the folder CARTWHEEL_TOKENIZERS, or the installed public one."""
+    if folder := os.environ.get("CARTWHEEL_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results of the conversations, row by row.
 
@@ -109,6 +119,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = align.alignments(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_BPE), vocabulary_path(PIECE_BPE))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = align.counted(rows, digests={"groups_sha256": digest})
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path(BYTE_BPE)
+    found = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_chat_formatting, op2_mixing, op3_line_dedup, op4_substring_dedup, op5_warc, op6_jaccard_join, op7_token_binary, op8_language_id, op9_exact_dedup, op10_decontamination]
+    found = [op1_chat_formatting, op2_mixing, op3_line_dedup, op4_substring_dedup, op5_warc, op6_jaccard_join, op7_token_binary, op8_language_id, op9_exact_dedup, op10_decontamination, op11_token_alignment, op12_bpe_round_trip]
     return {q.__name__: q for q in found}

@@ -1,0 +1,153 @@
+import json
+import os
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from cases import order, pairs_of, sha
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cartwheel.llm import bpe, queries
+
+try:
+    PATH = queries.vocabulary_path(queries.BYTE_BPE)
+except ImportError:
+    PATH = ""
+pytestmark = pytest.mark.skipif(not os.path.exists(PATH), reason="no tokenizer file")
+
+
+@pytest.fixture(scope="module")
+def library():
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(texts, specials=True):
+    return [flat[a:b].tolist() for flat, bounds in bpe.encode_column(PATH, pa.array(texts, pa.string()), specials) for a, b in zip(bounds, bounds[1:])]
+
+
+def ids_by_library(library, texts):
+    return [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+PARTS = [" ", "  ", "\n", "\t", "a", "aa", "aaa", "'s", "'ll", "1", "12", ".", "--", "é", "日本", "　", "\xa0", "the", " the", "<|endoftext|>", "<|", "ing", "́", "😀", "\x1c", "=", "A"]
+
+
+@given(st.lists(st.lists(st.sampled_from(PARTS) | st.text(max_size=6), max_size=30).map("".join), max_size=20))
+@settings(max_examples=200, deadline=None)
+def test_any_texts_as_the_library_encodes_and_decodes_them(library, texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    ids = ids_of(texts)
+    assert ids == ids_by_library(library, texts)
+    bounds = np.cumsum([0, *map(len, ids)])
+    assert bpe.decode_ids(bpe.vocabulary(PATH), np.array([i for x in ids for i in x], np.int64), bounds) == texts
+
+
+def test_characters_are_cut_as_the_library_does(library):
+    """All of the first planes' beginning, every 29th of the others."""
+    some = [*range(0x3100), *range(0x3100, 0xD800, 29), *range(0xE000, 0x110000, 29)]
+    texts = [f"a{chr(c)}{chr(c)}1 {chr(c)}.{chr(c)} b" for c in some]
+    assert ids_of(texts) == ids_by_library(library, texts)
+
+
+def test_runs_long_words_and_special_tokens(library):
+    texts = [c * n for c in "a= 0" for n in range(1, 150)] + ["ab" * 3_000, "a" * 20_000, None, "", "<|endo", "ftext|>", "x<|endoftext|>y <|endoftext|>", "<|endoftext|>\xa0<|endoftext|>"]
+    assert ids_of(texts) == ids_by_library(library, texts)
+    library.encode_special_tokens = True
+    plain = ids_by_library(library, texts)
+    library.encode_special_tokens = False
+    assert ids_of(texts, specials=False) == plain
+
+
+def test_random_ids_decode_as_the_library_does(library):
+    rng = random.Random(3)
+    ids = [[rng.randrange(50_400) for _ in range(rng.randint(0, 12))] for _ in range(2_000)]
+    got = bpe.decode_ids(bpe.vocabulary(PATH), np.array([i for x in ids for i in x]), np.cumsum([0, *map(len, ids)]))
+    assert got == [library.decode(x, skip_special_tokens=False) for x in ids]
+
+
+def merged(vocab, word):
+    """Plain BPE: the earliest merge first, of equal ones the leftmost."""
+    of_byte = {t: i for i, t in vocab.bytes_of.items() if len(t) == 1}
+    ids = [of_byte[bytes([b])] for b in word]
+    while True:
+        found = [(vocab.merge[p], k) for k, p in enumerate(zip(ids, ids[1:])) if p in vocab.merge]
+        if not found:
+            return ids
+        _, k = min(found)
+        joined = vocab.bytes_of[ids[k]] + vocab.bytes_of[ids[k + 1]]
+        ids[k : k + 2] = [vocab.id_of[joined]]
+
+
+def tiny(tmp_path, merges, **more):
+    letters = {b: c for c, b in bpe.byte_letters().items()}
+    vocab = {letters[b]: n for n, b in enumerate(range(256))}
+    for a, b in merges:
+        vocab.setdefault(a + b, len(vocab))
+    spec = {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, "model": {"type": "BPE", "vocab": vocab, "merges": [f"{a} {b}" for a, b in merges]}}
+    path = tmp_path / f"{len(os.listdir(tmp_path))}.json"
+    path.write_text(json.dumps(spec | more))
+    return str(path)
+
+
+def test_trie_walk_equals_plain_merging_on_trained_merges(tmp_path):
+    """Merges learned from random words of two letters, where runs and overlaps are common."""
+    rng = random.Random(5)
+    for _ in range(12):
+        corpus = [list("".join(rng.choice("ab") for _ in range(rng.randint(1, 12)))) for _ in range(60)]
+        merges = []
+        for _ in range(25):
+            counts = {}
+            for w in corpus:
+                for pair in zip(w, w[1:]):
+                    counts[pair] = counts.get(pair, 0) + 1
+            if not counts:
+                break
+            best = max(counts, key=lambda p: (counts[p], p))
+            merges.append(best)
+            for w in corpus:
+                k = 0
+                while k < len(w) - 1:
+                    if (w[k], w[k + 1]) == best:
+                        w[k : k + 2] = ["".join(best)]
+                    k += 1
+        vocab = bpe.Vocabulary(tiny(tmp_path, merges))
+        vocab.id_of = {t: i for i, t in vocab.bytes_of.items()}
+        words = list({bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(400)} | {b"a" * n for n in range(1, 30)})
+        assert bpe.encode_words(vocab, words) == [merged(vocab, w) for w in words]
+
+
+def test_the_trie_has_a_node_for_each_distinct_prefix():
+    words = [b"ab", b"abc", b"b", b"abd", b"a"]
+    assert bpe.Trie(words).nodes() == len({w[:n] for w in words for n in range(1, len(w) + 1)})
+
+
+def test_other_kinds_of_tokenizers_are_refused(tmp_path):
+    other = queries.tokenizer_path()
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.Vocabulary(other)
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.Vocabulary(tiny(tmp_path, [], normalizer={"type": "NFC"}))
+
+
+@pytest.mark.parametrize("name", ["messy_docs", "small_docs", "no_docs"])
+def test_query_columns(request, name, library):
+    docs = request.getfixturevalue(name)
+    want = []
+    for i, t in pairs_of(docs):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, ids, library.decode(ids, skip_special_tokens=False)))
+    rows = bpe.decoded(bpe.encoded(docs, PATH, chunk_bytes=50_000), PATH).collect()
+    key = lambda x: (order(x[0]), x[2])
+    assert sorted(((r.doc_id, list(r.ids), r.text) for r in rows), key=key) == sorted(want, key=key)
+
+
+def test_query_digests(spark, monkeypatch, library, small_docs):
+    got = {r.doc_id: r[1:] for r in queries.op12_bpe_round_trip(spark, "/root/testdata/sf0.001").collect()}
+    for i, t in pairs_of(small_docs):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        assert got[i] == (len(ids), sha(",".join(map(str, ids))), sha(t or ""))
