@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import align, bpe, chat, decontaminate, exact, jaccard, langid, lines, mixing, substrings, tokens, warc
+from cartwheel.llm import align, bpe, chat, decontaminate, exact, jaccard, langid, lines, merkle, mixing, substrings, tokens, warc
 from cartwheel.llm.common import word_count
 
 TOKENIZER = "word_bpe_49k.json"
@@ -133,6 +133,12 @@ def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.verified_documents(table(spark, sf_dir, "documents"))
+    proof = F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_chat_formatting, op2_mixing, op3_line_dedup, op4_substring_dedup, op5_warc, op6_jaccard_join, op7_token_binary, op8_language_id, op9_exact_dedup, op10_decontamination, op11_token_alignment, op12_bpe_round_trip]
+    found = [op1_chat_formatting, op2_mixing, op3_line_dedup, op4_substring_dedup, op5_warc, op6_jaccard_join, op7_token_binary, op8_language_id, op9_exact_dedup, op10_decontamination, op11_token_alignment, op12_bpe_round_trip, op13_merkle_manifest]
     return {q.__name__: q for q in found}
