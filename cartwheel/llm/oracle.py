@@ -92,6 +92,46 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (P
 FROM bodies
 """
 
+# The CRC-32 of a decimal number's digits: each digit is mixed in, then eight shifts (-1 stands for one).
+_CRC = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) WHEN acc % 2 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END), 4294967295)"""
+
+
+def _op13(source_levels: int = 6, top_levels: int = 4) -> str:
+    """A CTE per level of both trees: 16^6 documents of a source and 16^4 sources are as far as it goes."""
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+    digest = lambda text: "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    parts = [
+        f"docs AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS g, {digest('text')} AS leaf, {digest(_LOWER.format('text'))} AS lowered, {_CRC} % 5 = 0 AS tampered FROM documents)",
+        """fold0 AS MATERIALIZED (SELECT doc_id, g, leaf, CASE WHEN tampered THEN lowered ELSE leaf END AS folded, '' AS proof,
+            row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS m FROM docs)""",
+        "node0 AS MATERIALIZED (SELECT g, p, m, leaf AS node FROM fold0)",
+    ]
+
+    def level(k: int, of: str) -> None:
+        # runs of 16 nodes; their parents; leaves one level up
+        parts.append(f"run{k} AS MATERIALIZED (SELECT {of} AS g, p // 16 AS p, any_value(m) AS m, string_agg(node, '' ORDER BY p) AS run FROM node{k} GROUP BY ALL)")
+        parts.append(f"node{k + 1} AS MATERIALIZED (SELECT g, p, (m + 15) // 16 AS m, CASE WHEN m > 1 THEN sha256(run) ELSE run END AS node FROM run{k})")
+        left, right = "left(run, 64 * (f.p % 16))", "substr(run, 64 * (f.p % 16) + 65)"
+        parts.append(
+            f"""fold{k + 1} AS MATERIALIZED (SELECT f.* REPLACE (CASE WHEN f.m > 1 THEN sha256({left} || folded || {right}) ELSE folded END AS folded,
+            CASE WHEN f.m > 1 THEN proof || {left} || {right} ELSE proof END AS proof, f.p // 16 AS p, (f.m + 15) // 16 AS m) FROM fold{k} f JOIN run{k} r ON r.g = {"f.g" if of == "g" else "''"} AND r.p = f.p // 16)"""
+        )
+
+    for k in range(source_levels):
+        level(k, "g")
+    n, last = source_levels + 1, source_levels
+    parts.append(f"subroots AS MATERIALIZED (SELECT g, node AS subroot, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS m FROM node{last})")
+    parts.append(f"node{n} AS MATERIALIZED (SELECT '' AS g, p, m, subroot AS node FROM subroots)")
+    parts.append(f"fold{n} AS MATERIALIZED (SELECT f.* REPLACE (s.p AS p, s.m AS m), subroot FROM fold{last} f JOIN subroots s USING (g))")
+    for k in range(n, n + top_levels):
+        level(k, "''")
+    end = n + top_levels
+    return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified FROM fold{end} CROSS JOIN (SELECT node FROM node{end})"
+
+
+OP13 = _op13()
+
 
 def registry() -> dict[str, str]:
-    return {"op1_chat_formatting": OP1, "op3_line_dedup": OP3, "op4_substring_dedup": OP4, "op5_warc": OP5, "op9_exact_dedup": OP9}
+    return {"op1_chat_formatting": OP1, "op3_line_dedup": OP3, "op4_substring_dedup": OP4, "op5_warc": OP5, "op9_exact_dedup": OP9, "op13_merkle_manifest": OP13}
