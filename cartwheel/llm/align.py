@@ -29,8 +29,8 @@ from cartwheel.llm import bpe
 from cartwheel.llm.common import stored
 
 # Texts are aligned so many bytes at a time, a longer text by itself; products take so many rows at a time.
-CHUNK_BYTES = 4 << 20
-ROWS_AT_ONCE = 1 << 18
+CHUNK_BYTES = 2 << 20
+ROWS_AT_ONCE = 1 << 16
 # Counts of the most frequent id pairs are broadcast (17 bytes each); the other pairs are joined by a shuffle.
 FREQUENT_PAIRS = 500_000
 
@@ -103,6 +103,8 @@ class Pieces:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
         self.length = np.fromiter(map(len, self.bytes_of), np.int64, n)
         self.space = self.model.piece_to_id(_MARK)
+        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.odd: set[bytes] = set()
         self.by_word = not any(_MARK in p.lstrip(_MARK) for p in names) and self._takes_texts_as_they_are(path)
 
     @staticmethod
@@ -118,10 +120,21 @@ class Pieces:
         by_hand = any(p.type == p.USER_DEFINED for p in spec.pieces)
         return how.add_dummy_prefix and not (how.precompiled_charsmap or how.remove_extra_whitespaces or by_hand)
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words that begin with a space, which the model adds by itself."""
-        ids = self.model.encode([w[1:].decode() for w in words], num_threads=1)
-        return [[self.space] if w == b" " else x for w, x in zip(words, ids)]
+    def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of words that begin with a space, which the model adds by itself. ``odd`` has those that their pieces don't give back."""
+        if len(self.known) > bpe.MOST_WORDS or not self.by_word:
+            self.forget()
+        new = [w for w in words if w not in self.known]
+        for w, ids in zip(new, self.model.encode([w[1:].decode() for w in new], num_threads=1)):
+            ids = (self.space,) if w == b" " else tuple(ids)
+            self.known[w] = ids
+            if b"".join([self.bytes_of[i] for i in ids]) != w:
+                self.odd.add(w)
+        return [self.known[w] for w in words]
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.odd.clear()
 
 
 @functools.lru_cache(maxsize=2)
@@ -158,7 +171,7 @@ def _piece_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.n
     cuts = np.flatnonzero(cuts)
     words, numbers = bpe.distinct_words(data, cuts)
     ids = model.encode(words)
-    odd = np.array([b"".join([model.bytes_of[i] for i in x]) != w for x, w in zip(ids, words)], bool)
+    odd = np.array([w in model.odd for w in words], bool)
     flat, n = bpe.spread(ids, numbers)
     bounds = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(cuts, offsets)]
     same = np.ones(len(texts), bool)
@@ -261,7 +274,8 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
                     columns += [_lists(v, x.link_bounds, pa.int32()) for v in (x.link_a - first_a, x.link_b - first_b, x.link_bytes)]
                 yield pa.RecordBatch.from_arrays(columns, list(kinds))
                 at += len(texts)
-        bpe.vocabulary(a_path).seams.clear()  # an idle worker keeps its memory
+        bpe.vocabulary(a_path).forget()
+        pieces(b_path).forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in kinds.items()))

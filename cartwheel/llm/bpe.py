@@ -16,6 +16,7 @@ and distinct words are found by numpy and Arrow.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import math
 import re
@@ -29,9 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Texts are encoded so many bytes at a time, a longer text by itself.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Pairs of tokens whose seam was looked at are remembered, so many at most in a worker.
-MOST_PAIRS = 1_000_000
+MOST_PAIRS = 300_000
+# So are the ids of words, until more than so many are known.
+MOST_WORDS = 150_000
+# Ids are decoded so many at a time, a longer sequence by itself.
+CHUNK_IDS = 1 << 19
 
 # The byte-level pre-tokenizer's pattern, written for ASCII bytes.
 _ASCII_PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
@@ -85,29 +90,37 @@ class Vocabulary:
             token = ids[left + right]
             self.merge[ids[left], ids[right]] = place
             self.made_by.setdefault(token, (place, ids[left], ids[right]))
-        self._link({t: i for i, t in self.bytes_of.items() if t not in self.special and (len(t) == 1 or i in self.made_by)})
         self.seams: dict[int, bool] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
 
-    def _link(self, tokens: dict[bytes, int]) -> None:
-        """The automaton that finds the tokens ending at each byte of a string.
+    @functools.cached_property
+    def as_column(self) -> pa.Array:
+        """Bytes by id, empty where there is no such id."""
+        return pa.array([self.bytes_of.get(i, b"") for i in range(len(self.length))], pa.large_binary())
+
+    @functools.cached_property
+    def automaton(self) -> tuple[dict[int, int], list[int], list[tuple]]:
+        """Finds the tokens ending at each byte of a string.
 
         A state is a prefix of a token; ``step[state << 8 | byte]`` is the longer
         prefix, ``shorter[state]`` the longest proper suffix that is a prefix too,
         ``ending[state]`` the tokens that are its suffixes, as (size, id), longest first.
         """
-        self.step: dict[int, int] = {}
-        self.shorter, self.ending = [0], [()]
+        tokens = {t: i for i, t in self.bytes_of.items() if t not in self.special and (len(t) == 1 or i in self.made_by)}
+        step: dict[int, int] = {}
+        shorter, ending = [0], [()]
         prefixes: dict[bytes, int] = {b"": 0}
         for token in tokens:
             for n in range(1, len(token) + 1):
                 prefixes.setdefault(token[:n], 0)
         for prefix in sorted(prefixes, key=len)[1:]:
-            state = prefixes[prefix] = len(self.shorter)
-            self.step[prefixes[prefix[:-1]] << 8 | prefix[-1]] = state
+            state = prefixes[prefix] = len(shorter)
+            step[prefixes[prefix[:-1]] << 8 | prefix[-1]] = state
             suffix = next(prefixes[prefix[k:]] for k in range(1, len(prefix) + 1) if prefix[k:] in prefixes)
-            self.shorter.append(suffix)
+            shorter.append(suffix)
             own = ((len(prefix), tokens[prefix]),) if prefix in tokens else ()
-            self.ending.append(own + self.ending[suffix])
+            ending.append(own + ending[suffix])
+        return step, shorter, ending
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether BPE leaves ``left`` and ``right`` as they are when their bytes stand next to each other.
@@ -121,6 +134,11 @@ class Vocabulary:
         known = self.seams[left << 32 | right] = self._stay_apart(left, right)
         return known
 
+    def forget(self) -> None:
+        """Drop what is remembered; an idle worker keeps its memory."""
+        self.seams.clear()
+        self.known.clear()
+
     def _stay_apart(self, left: int, right: int) -> bool:
         undone = (math.inf, 0)
         while True:
@@ -174,16 +192,16 @@ class Trie:
         return sum(len(self.words[number]) - depth for depth, number in self.edges)
 
 
-def encode_words(vocab: Vocabulary, words: list[bytes]) -> list[list[int]]:
+def encode_words(vocab: Vocabulary, words: list[bytes]) -> list[tuple[int, ...]]:
     """Ids of distinct words, by a depth-first walk over their trie.
 
     ``last[d]`` is the last token of the first d bytes of the path, ``states[d]`` the
     state there of the automaton that names the candidates.
     """
-    step, shorter, ending, seams = vocab.step, vocab.shorter, vocab.ending, vocab.seams
+    (step, shorter, ending), seams = vocab.automaton, vocab.seams
     sizes = vocab.length.tolist()
     last, states = [-1], [0]
-    out: list[list[int]] = [[]] * len(words)
+    out: list[tuple[int, ...]] = [()] * len(words)
     for shared, number in Trie(words).edges:
         word = words[number]
         del last[shared + 1 :], states[shared + 1 :]
@@ -212,7 +230,7 @@ def encode_words(vocab: Vocabulary, words: list[bytes]) -> list[list[int]]:
         while at:
             ids.append(last[at])
             at -= sizes[last[at]]
-        out[number] = ids[::-1]
+        out[number] = tuple(ids[::-1])
     return out
 
 
@@ -247,6 +265,7 @@ def chunks(column: pa.Array, most_bytes: int) -> Iterator[pa.Array]:
     for low, high in zip(cuts, cuts[1:]):
         if high > low:
             yield column.slice(low, high - low)
+            pa.default_memory_pool().release_unused()
 
 
 def _word_cuts(path: str, column: pa.Array, data: np.ndarray, offsets: np.ndarray, special: dict[bytes, int]) -> np.ndarray:
@@ -303,10 +322,10 @@ def distinct_words(data: np.ndarray, cuts: np.ndarray) -> tuple[list[bytes], np.
     return numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
 
 
-def spread(ids: list[list[int]], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spread(ids: list[tuple[int, ...]], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``ids`` of the words numbered so, one after the other, and how many each has."""
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    pool = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+    pool = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
     n = lengths[numbers]
     return pool[ranges((np.cumsum(lengths) - lengths)[numbers], n)], n
 
@@ -328,28 +347,32 @@ def encode_texts(path: str, texts: pa.Array, specials: bool = True) -> tuple[np.
     data, offsets = packed(texts)
     cuts = _word_cuts(path, texts, data, offsets, special)
     words, numbers = distinct_words(data, cuts)
+    if len(vocab.known) > MOST_WORDS:
+        vocab.known.clear()
+    known = vocab.known
+    known.update((w, (i,)) for w, i in special.items())
+    new = [w for w in words if w not in known]
     piece_of: dict[bytes, int] = {}
-    parts = [[] if w in special else [piece_of.setdefault(p, len(piece_of)) for p in _pieces(path, w)] for w in words]
+    parts = [[piece_of.setdefault(p, len(piece_of)) for p in _pieces(path, w)] for w in new]
     of_piece = encode_words(vocab, list(piece_of))
-    ids = [[special[w]] if w in special else of_piece[p[0]] if len(p) == 1 else [i for k in p for i in of_piece[k]] for w, p in zip(words, parts)]
+    known.update((w, of_piece[p[0]] if len(p) == 1 else tuple(i for k in p for i in of_piece[k])) for w, p in zip(new, parts))
+    ids = [known[w] for w in words]
+    for w in special:
+        del known[w]  # as plain text they have other ids
     flat, n = spread(ids, numbers)
     ends = np.concatenate([[0], np.cumsum(n)])
     return flat, ends[np.searchsorted(cuts, offsets)]
 
 
-def _pool(vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(vocab.bytes_of.get(i, b"") for i in range(len(vocab.length))), np.uint8), np.cumsum(vocab.length) - vocab.length
-
-
 def decode_ids(vocab: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
     """Texts of the id sequences between the bounds; unknown ids are left out, broken UTF-8 becomes U+FFFD."""
-    pool, starts = _pool(vocab)
-    known = (ids >= 0) & (ids < len(starts))
-    ids = np.where(known, ids, 0)
-    lengths = np.where(known, vocab.length[ids], 0)
-    content = pool[ranges(starts[ids], lengths)].tobytes()
-    at = np.concatenate([[0], np.cumsum(lengths)])[bounds].tolist()
-    return [content[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
+    known = (ids >= 0) & (ids < len(vocab.length))
+    data, offsets = packed(vocab.as_column.take(pa.array(ids * known)))
+    if not known.all():
+        keep = np.repeat(known, np.diff(offsets))
+        data, offsets = data[keep], np.concatenate([[0], np.cumsum(np.diff(offsets) * known)])
+    at, view = offsets[bounds].tolist(), memoryview(np.ascontiguousarray(data))
+    return [str(view[a:b], "utf-8", "replace") for a, b in zip(at, at[1:])]
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", specials: bool = True, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -366,7 +389,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
                 ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(ids)), ids], ["doc_id", "ids"])
                 at += len(ids)
-        vocabulary(tokenizer_path).seams.clear()  # an idle worker keeps its memory
+        vocabulary(tokenizer_path).forget()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
@@ -380,7 +403,13 @@ def decoded(tokens: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             ids = batch.column("ids")
             bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
-            texts = decode_ids(vocab, ids.flatten().to_numpy(zero_copy_only=False), bounds)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(bounds[1:] // CHUNK_IDS)) + 1), len(ids)]
+            for low, high in zip(cuts, cuts[1:]):
+                if high > low:
+                    at = bounds[low : high + 1]
+                    texts = decode_ids(vocab, flat[at[0] : at[-1]], at - at[0])
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(low, high - low), ids.slice(low, high - low), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+                    pa.default_memory_pool().release_unused()
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
