@@ -5,12 +5,16 @@ built-in conversion. Nothing throws: a text Python would reject gives NULL,
 and the caller decides whether NULL nulls the field (dates, timestamps) or
 rejects the row (integers, floats).
 
-Known, documented gap (not in any data seen): Python's ``\\d`` also takes
-non-ASCII digits.
+Python's numbers and its ``\\d`` take the decimal digits of every script. Texts
+with other than ASCII characters are therefore guarded by a pattern that has them
+wherever Python does, and converted after their digits were replaced by ASCII ones.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,21 +22,36 @@ from pyspark.sql import functions as F
 # (%Y four digits, %m, %d, %H, %M, %S), a format blank matching any run of
 # whitespace, and the separators of the accepted layouts.
 _WS_RUN = r"[\s\x{1c}-\x{1f}]+"
-_Y = r"((?!0000)[0-9]{4})"  # year 0 is outside datetime's range
-_m = r"(1[0-2]|0[1-9]|[1-9])"
-_d = r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
-_H = r"(2[0-3]|[01][0-9]|[0-9])"
-_M = r"([0-5][0-9]|[0-9])"
-_S = r"(6[01]|[0-5][0-9]|[0-9])"
 _SEP = r"([-/.])"  # one separator, repeated by backreference \2
 
+# The zero of each script's ten decimal digits, as Python knows them.
+_ZEROS = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.decimal(c, None) == 0]
+_WIDE_DIGITS = "".join(chr(ord(z) + n) for z in _ZEROS if not z.isascii() for n in range(10))
+_ANY_DIGIT = "[0-9" + "".join(f"\\x{{{ord(z):x}}}-\\x{{{ord(z) + 9:x}}}" for z in _ZEROS if not z.isascii()) + "]"
+_ANY_ZERO = "[" + "".join(f"\\x{{{ord(z):x}}}" for z in _ZEROS) + "]"
+
+
+def _layouts(digit: str, zero: str) -> tuple[str, str]:
+    """CLN7 and CLN6 with ``digit`` in the place of \\d. The digits that the directives name are ASCII."""
+    y = rf"((?!{zero}{{4}}){digit}{{4}})"  # year 0 is outside datetime's range
+    m = r"(1[0-2]|0[1-9]|[1-9])"
+    d = rf"(3[01]|[12]{digit}|0[1-9]|[1-9]| [1-9])"
+    h = rf"(2[0-3]|[01]{digit}|{digit})"
+    minute = rf"([0-5]{digit}|{digit})"
+    s = rf"(6[01]|[0-5]{digit}|{digit})"
+    return rf"(?U)^{y}{_SEP}{m}\2{d}{_WS_RUN}{h}:{minute}:{s}$", rf"^{d}{_SEP}{m}\2{y}$"
+
+
 # CLN7: '%Y-%m-%d %H:%M:%S', '%Y/%m/%d %H:%M:%S', '%Y.%m.%d %H:%M:%S'
-TIMESTAMP_PATTERN = rf"(?U)^{_Y}{_SEP}{_m}\2{_d}{_WS_RUN}{_H}:{_M}:{_S}$"
 # CLN6: '%d-%m-%Y', '%d/%m/%Y', '%d.%m.%Y'
-DATE_PATTERN = rf"^{_d}{_SEP}{_m}\2{_Y}$"
+TIMESTAMP_PATTERN, DATE_PATTERN = _layouts("[0-9]", "0")
+_WIDE_TIMESTAMP_PATTERN, _WIDE_DATE_PATTERN = _layouts(_ANY_DIGIT, _ANY_ZERO)
 
-# Below this, x * 1000 in doubles is less than a half off the thousandth x stands for.
+# Below this, x * 1000 in doubles is less than a half off the thousandth x stands
+# for; from here on, a double's fraction has at most ten bits.
 TIE_LIMIT = float(2**42)
+# From here on doubles are whole numbers.
+WHOLE_LIMIT = float(2**53)
 
 INT_PATTERN = r"^[+-]?[0-9]+(?:_[0-9]+)*$"
 _DIGITS = r"[0-9](?:_?[0-9])*"
@@ -42,6 +61,19 @@ FLOAT_PATTERN = (
 )
 
 
+def _is_wide(c: Column) -> Column:
+    return c.rlike(r"[^\x00-\x7f]")
+
+
+def ascii_digits(c: Column) -> Column:
+    """Text with the decimal digits of all scripts replaced by ASCII ones."""
+    return F.when(_is_wide(c), F.translate(c, _WIDE_DIGITS, "0123456789" * (len(_WIDE_DIGITS) // 10))).otherwise(c)
+
+
+def _fits(c: Column, pattern: str, wide_pattern: str) -> Column:
+    return F.when(_is_wide(c), c.rlike(wide_pattern)).otherwise(c.rlike(pattern))
+
+
 def parse_timestamp_year_first(c: Column) -> Column:
     """CLN7: stripped text -> TIMESTAMP (UTC) or NULL (blank / no layout fits /
     impossible calendar value such as 31 February or second 60).
@@ -50,14 +82,14 @@ def parse_timestamp_year_first(c: Column) -> Column:
     is rewritten to ``Y-M-D h:m:s`` and converted with Spark's own string
     cast, which validates the calendar value.
     """
-    canon = F.replace(F.regexp_replace(c, TIMESTAMP_PATTERN, "$1-$3-$4 $5:$6:$7"), F.lit("- "), F.lit("-"))
-    return F.when(c.rlike(TIMESTAMP_PATTERN), canon.try_cast("timestamp"))
+    canon = F.replace(F.regexp_replace(ascii_digits(c), TIMESTAMP_PATTERN, "$1-$3-$4 $5:$6:$7"), F.lit("- "), F.lit("-"))
+    return F.when(_fits(c, TIMESTAMP_PATTERN, _WIDE_TIMESTAMP_PATTERN), canon.try_cast("timestamp"))
 
 
 def parse_date_day_first(c: Column) -> Column:
     """CLN6: stripped text -> DATE or NULL, day-first layouts only."""
-    canon = F.replace(F.regexp_replace(c, DATE_PATTERN, "$4-$3-$1"), F.lit(" "), F.lit(""))
-    return F.when(c.rlike(DATE_PATTERN), canon.try_cast("date"))
+    canon = F.replace(F.regexp_replace(ascii_digits(c), DATE_PATTERN, "$4-$3-$1"), F.lit(" "), F.lit(""))
+    return F.when(_fits(c, DATE_PATTERN, _WIDE_DATE_PATTERN), canon.try_cast("date"))
 
 
 def parse_int_text(c: Column) -> Column:
@@ -66,6 +98,7 @@ def parse_int_text(c: Column) -> Column:
     ``'01'`` -> ``'1'``, ``'+5'`` -> ``'5'``, ``'-0'`` -> ``'0'``,
     ``'1_000'`` -> ``'1000'``; any length (no overflow, it stays text).
     """
+    c = ascii_digits(c)
     digits = F.regexp_replace(F.regexp_replace(c, r"[_+-]", ""), r"^0+(?=[0-9])", "")
     negative = c.startswith("-") & c.rlike("[1-9]")
     text = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), digits)
@@ -78,8 +111,10 @@ def round2(x: Column) -> Column:
     ``bround`` decides on the decimal text, which differs only where that text
     is a tie, i.e. where x is the double next to k/1000 with k ending in 5. There
     x * 200 is compared with the odd integer of the tie: x is split into halves
-    of 26 bits (Veltkamp), whose products with 200 are exact. Ties are looked for
-    in |x| below 2^42 (4.4e12); beyond, ``bround`` decides.
+    of 26 bits (Veltkamp), whose products with 200 are exact. That holds for |x|
+    below 2^42 (4.4e12). From there to 2^53 the whole part and the fraction are
+    split: the fraction is a multiple of 1/1024, so its hundredths are exact and
+    ``rint`` decides on them; larger doubles are whole numbers already.
     """
     a = F.abs(x)
     k = F.rint(a * 1000)
@@ -90,7 +125,11 @@ def round2(x: Column) -> Column:
     over = (high * 200 - (2 * below + 1)) + (a - high) * 200
     up = (over > 0) | ((over == 0) & (below % 2 == 1))
     tie = F.when(up, below + 1).otherwise(below) / 100
-    return F.when(is_tie, F.when(x < 0, -tie).otherwise(tie)).otherwise(F.bround(x, 2))
+    whole = F.floor(a).cast("double")
+    large = whole + F.rint((a - whole) * 100) / 100
+    exact = F.when(is_tie, tie).when((a >= TIE_LIMIT) & (a < WHOLE_LIMIT), large)
+    signed = F.when(x < 0, -exact).otherwise(exact)
+    return F.when(a >= WHOLE_LIMIT, x).otherwise(F.coalesce(signed, F.bround(x, 2)))
 
 
 def parse_float_round2(c: Column) -> Column:
@@ -101,6 +140,7 @@ def parse_float_round2(c: Column) -> Column:
     special words (a signed ``nan`` is mapped here, the cast does not take
     it).
     """
+    c = ascii_digits(c)
     # Past the guard, only nan ends in n/N ("inf"/"infinity" end in f/y).
     is_nan = c.endswith("n") | c.endswith("N")
     plain = F.when(c.contains("_"), F.replace(c, F.lit("_"), F.lit(""))).otherwise(c)

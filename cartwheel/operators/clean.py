@@ -210,6 +210,16 @@ def staging_records(parsed: DataFrame, spec: CleanerSpec) -> DataFrame:
     )
 
 
+def reject_reasons(spec: CleanerSpec) -> list[str]:
+    """CLN11: the reasons a cleaner may reject a line for, in the order they are checked."""
+    return [TOO_FEW_FIELDS] + [reason for reason, _ in spec.checks({f.name: F.col(f.name) for f in spec.fields})]
+
+
+def staging_counts(spec: CleanerSpec) -> list[Column]:
+    """Aggregates over ``staging_records``: clean lines, and rejected ones by reason."""
+    return [F.count_if(F.col("status") == "clean").alias("clean")] + [F.count_if(F.col("reason") == r).alias(r) for r in reject_reasons(spec)]
+
+
 def _job(spec: CleanerSpec) -> Callable[..., DataFrame]:
     def job(lines: DataFrame, dedupe: bool = True) -> DataFrame:
         src = dedupe_lines(lines) if dedupe else lines.select("value")

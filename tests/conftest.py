@@ -19,7 +19,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="cartwheel-test-")
-
-
-def lines_df(spark, lines):
-    return spark.createDataFrame([(v,) for v in lines], "value string")

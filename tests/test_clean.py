@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import lines_df
+from line_frames import lines_df
 
 from cartwheel.operators import clean as cln
 

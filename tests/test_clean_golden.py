@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import lines_df
+from line_frames import lines_df
 
 from cartwheel.operators import clean as cln
 

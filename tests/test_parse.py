@@ -134,3 +134,54 @@ def test_rounding_is_exact_on_random_doubles(spark):
 @pytest.mark.parametrize("text", [" \t a b \n", " x ", "\x1cy\x1f", "z"])
 def test_strip_matches_python(spark, text):
     assert _run(spark, strip, [text]) == [text.strip()]
+
+
+def _zeros():
+    import sys
+    import unicodedata
+
+    return [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.decimal(c, None) == 0]
+
+
+def _py_layout(text, layouts):
+    for layout in layouts:
+        try:
+            return dt.datetime.strptime(text, layout)
+        except ValueError:
+            pass
+    return None
+
+
+def test_digits_of_every_script_as_python_reads_them(spark):
+    """Whole texts and single digits in another script, in each place of a layout."""
+    rng = random.Random(12)
+    texts = ["2017-01-02 03:04:05", "2016/2/29 23:59:59", "2017.12. 9 6:7:8", "0000-01-01 00:00:00", "19/10/2009", "1-1-2009", " 3.04.2011", "0012", "+7_000", "-0", "12.345", "1_0.5e-1_0", ".5", "5.", "0.125"]
+    cases = []
+    for zero in _zeros():
+        for text in texts:
+            in_script = "".join(chr(ord(zero) + int(c)) if c.isdigit() else c for c in text)
+            cases.append(in_script)
+            mixed = list(text)
+            for k in rng.sample([k for k, c in enumerate(text) if c.isdigit()], 1 + (len(text) > 4)):
+                mixed[k] = in_script[k]
+            cases.append("".join(mixed))
+    cases += ["²", "½", "Ⅷ", "①", "1²", "٣x", "x٣", "٣ ٣", "٣__٣", "१२:३"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(cases)], "k int, t string").repartition(4)
+    c = F.col("t")
+    got = {r.k: r[1:] for r in rows.select("k", parse_timestamp_year_first(c), parse_date_day_first(c), parse_int_text(c), parse_float_round2(c)).collect()}
+    for k, text in enumerate(cases):
+        stamp = _py_layout(text, [f"%Y{s}%m{s}%d %H:%M:%S" for s in "-/."])
+        date = _py_layout(text, [f"%d{s}%m{s}%Y" for s in "-/."])
+        assert got[k] == (stamp, date and date.date(), _py_int(text), _py_float(text)), text
+
+
+def test_large_doubles_are_rounded_on_their_exact_value(spark):
+    rng = random.Random(13)
+    values = [rng.uniform(2.0**e, 2.0 ** (e + 1)) for e in range(40, 56) for _ in range(6_000)]
+    values += [float(f"{rng.randrange(10**12, 10**15)}.{rng.randrange(1000):03d}") for _ in range(100_000)]
+    values += [2.0**e + d for e in (42, 43, 52, 53, 62, 63, 64, 100) for d in (-0.5, -0.125, 0.0, 0.125, 0.375, 0.5)]
+    values += [11681163622620.475, -11681163622620.475, 1e308, -1e19, float("inf"), float("-inf")]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    got = dict(tuple(r) for r in rows.select("k", round2(F.col("v"))).collect())
+    wrong = [v for k, v in enumerate(values) if got[k] != round(v, 2)]
+    assert wrong == []
