@@ -93,12 +93,16 @@ def parse_date_day_first(c: Column) -> Column:
 
 
 def parse_int_text(c: Column) -> Column:
-    """CLN8 + SNK2: text of ``int(x)``, i.e. canonical integer text, or NULL.
+    """CLN8 + SNK2: text of ``int(x)``, i.e. canonical integer text, or NULL."""
+    return int_text(ascii_digits(c))
+
+
+def int_text(c: Column) -> Column:
+    """The same of a text whose digits are ASCII (a column reference: it is read often).
 
     ``'01'`` -> ``'1'``, ``'+5'`` -> ``'5'``, ``'-0'`` -> ``'0'``,
     ``'1_000'`` -> ``'1000'``; any length (no overflow, it stays text).
     """
-    c = ascii_digits(c)
     digits = F.regexp_replace(F.regexp_replace(c, r"[_+-]", ""), r"^0+(?=[0-9])", "")
     negative = c.startswith("-") & c.rlike("[1-9]")
     text = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), digits)
@@ -133,14 +137,18 @@ def round2(x: Column) -> Column:
 
 
 def parse_float_round2(c: Column) -> Column:
-    """CLN9: ``round(float(x), 2)`` as DOUBLE, or NULL when float() would fail.
+    """CLN9: ``round(float(x), 2)`` as DOUBLE, or NULL when float() would fail."""
+    return float_round2(ascii_digits(c))
+
+
+def float_round2(c: Column) -> Column:
+    """The same of a text whose digits are ASCII (a column reference: it is read often).
 
     nan / inf / infinity (any case, signed) pass through unrounded: the
     guard admits exactly Python's float syntax, and Spark's cast reads the
     special words (a signed ``nan`` is mapped here, the cast does not take
     it).
     """
-    c = ascii_digits(c)
     # Past the guard, only nan ends in n/N ("inf"/"infinity" end in f/y).
     is_nan = c.endswith("n") | c.endswith("N")
     plain = F.when(c.contains("_"), F.replace(c, F.lit("_"), F.lit(""))).otherwise(c)

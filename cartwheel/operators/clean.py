@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from cartwheel import schemas
 from cartwheel.functions.categories import normalize_category
 from cartwheel.functions.parse import (
+    ascii_digits,
+    float_round2,
+    int_text,
     parse_date_day_first,
-    parse_float_round2,
-    parse_int_text,
     parse_timestamp_year_first,
 )
 from cartwheel.functions.text import field, split_fields, strip, unquote
@@ -76,12 +77,14 @@ def _keep(parsed: DataFrame, clean: bool) -> DataFrame:
 @dataclass(frozen=True)
 class Field:
     """One output column: CSV position, whether it is stripped, and an
-    optional conversion of the (stripped) text."""
+    optional conversion of the (stripped) text. ``digits``: the conversion reads
+    the text with its digits made ASCII, once, in the projection before."""
 
     name: str
     pos: int
     strip: bool = True
     convert: Callable[[Column], Column] | None = None
+    digits: bool = False
 
 
 @dataclass(frozen=True)
@@ -131,13 +134,13 @@ ORDER_ITEM = CleanerSpec(
     9,
     (
         Field("order_id", 0),
-        Field("order_item_id", 1, convert=parse_int_text),
+        Field("order_item_id", 1, convert=int_text, digits=True),
         Field("order_purchase_timestamp", 2, convert=parse_timestamp_year_first),
         Field("order_approved_at", 3, convert=parse_timestamp_year_first),
         Field("customer_id", 4),
         Field("product_id", 5),
-        Field("price", 6, convert=parse_float_round2),
-        Field("freight_value", 7, convert=parse_float_round2),
+        Field("price", 6, convert=float_round2, digits=True),
+        Field("freight_value", 7, convert=float_round2, digits=True),
         Field("order_status", 8),
     ),
     _order_item_checks,
@@ -160,12 +163,13 @@ def parse_lines(lines: DataFrame, spec: CleanerSpec) -> DataFrame:
     split = lines.select("value", split_fields(F.col("value")).alias(_FIELDS))
 
     def raw_name(f: Field) -> str:
-        return f"_f{f.pos}{'s' if f.strip else 'r'}"
+        return f"_f{f.pos}{'s' if f.strip else 'r'}{'d' if f.digits else ''}"
 
     raws: dict[str, Column] = {}
     for f in spec.fields:
         text = field(F.col(_FIELDS), f.pos)
-        raws[raw_name(f)] = strip(text) if f.strip else text
+        text = strip(text) if f.strip else text
+        raws[raw_name(f)] = ascii_digits(text) if f.digits else text
     stripped = split.select("value", F.size(_FIELDS).alias("_n"), *[e.alias(n) for n, e in raws.items()])
     typed = stripped.select(
         "value",

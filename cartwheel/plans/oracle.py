@@ -431,4 +431,5 @@ def registry() -> dict[str, str]:
         "merge_holiday": MERGE_HOLIDAY,
         "merge_conflicts_order_item": MERGE_CONFLICTS,
         "pipeline_fact": PIPELINE_FACT,
+        "pipeline_fact_changes": PIPELINE_FACT,
     }

@@ -43,7 +43,7 @@ def test_merge_data_tells_an_update_from_a_coalesce(duck, name):
     assert _digest(duck.sql(right).df()) != _digest(duck.sql(wrong).df())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(sql.registry()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = queries()[name](spark, SF)
     s_schema = {f.name: _family(f.dataType.simpleString()) for f in sdf.schema.fields}
