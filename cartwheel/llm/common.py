@@ -122,6 +122,14 @@ def plain_id(col: Column) -> Column:
     return F.when(col != NULL_ID, col)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has a column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def only(docs: DataFrame, id_col: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` whose id is (``left_semi``) or isn't (``left_anti``) in the one-column table ``ids`` of distinct ids.
 

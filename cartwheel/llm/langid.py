@@ -18,7 +18,6 @@ languages, chosen by hash of the id); prediction reads every whole text.
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,12 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import stored
+from cartwheel.llm.common import stored, unused
 
 BIN_BITS = 16
 BINS = 1 << BIN_BITS
 SAMPLE_ROWS = 3_000
-MOST_LANGUAGES = 256
+# Training texts of a language, however many languages there are.
+LEAST_OF_LANGUAGE = 20
 CENTROIDS = 3
 ROUNDS = 8
 REJECT_SHARE = 0.1
@@ -44,12 +44,11 @@ LOW_QUANTILE, MARGIN, LEAST_PIECES = 0.01, 0.5, 10
 UNKNOWN = "und"
 CHUNK = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = bytes(c if chr(c).isalpha() and c < 128 or c >= 128 else 32 for c in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    return text is not None and any(map(str.isalpha, text))
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -86,10 +85,9 @@ def weighted(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / norm if norm > 0 else v
 
 
-def reach_of(centroids: np.ndarray) -> np.ndarray:
-    """Per centroid and number of different grams: the highest cosine there can be."""
-    largest = -np.sort(-centroids.astype(float), axis=1)
-    return np.sqrt(np.cumsum(np.pad(largest, ((0, 0), (1, 0))) ** 2, axis=1))
+def reach_of(values: np.ndarray) -> np.ndarray:
+    """By number of different grams: the highest cosine there can be with a centroid of these values (more grams than values add nothing)."""
+    return np.sqrt(np.cumsum(np.concatenate([[0.0], -np.sort(-values.astype(float))]) ** 2))
 
 
 def band(grams: np.ndarray) -> np.ndarray:
@@ -100,16 +98,28 @@ def band(grams: np.ndarray) -> np.ndarray:
 class LanguageModel:
     languages: tuple[str, ...]  # one per centroid
     idf: np.ndarray
-    centroids: np.ndarray  # centroid x bin, unit length
+    centroids: list[tuple[np.ndarray, np.ndarray]]  # bins that occur and their values, unit length
     shares: np.ndarray  # centroid x band: what a text must reach
 
     @functools.cached_property
-    def reach(self) -> np.ndarray:
-        return reach_of(self.centroids)
+    def reach(self) -> list[np.ndarray]:
+        return [reach_of(values) for _, values in self.centroids]
 
     @functools.cached_property
-    def by_bin(self) -> np.ndarray:
-        return np.ascontiguousarray(self.centroids.T)
+    def by_bin(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The centroids' values bin by bin: where each bin's start, whose they are, and the values."""
+        bins = np.concatenate([at for at, _ in self.centroids])
+        whose = np.repeat(np.arange(len(self.centroids)), [len(at) for at, _ in self.centroids])
+        order = np.argsort(bins, kind="stable")
+        return np.searchsorted(bins[order], np.arange(BINS + 1)), whose[order], np.concatenate([v for _, v in self.centroids])[order]
+
+    def cosines(self, at: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        """Of a unit vector with values at some bins, with each centroid."""
+        starts, whose, values = self.by_bin
+        n = starts[at + 1] - starts[at]
+        ends = np.cumsum(n)
+        pick = np.repeat(starts[at] - (ends - n), n) + np.arange(n.sum())
+        return np.bincount(whose[pick], values[pick] * np.repeat(vector, n), len(self.centroids))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, scores (cosine, 0 to 1) and whether each text is rejected."""
@@ -121,23 +131,31 @@ class LanguageModel:
         for i in np.flatnonzero(known):
             counts = gram_counts(texts[i])
             at = np.flatnonzero(counts)
-            similar[i] = weighted(at, counts[at], self.idf) @ self.by_bin[at]
+            similar[i] = self.cosines(at, weighted(at, counts[at], self.idf))
             grams[i] = len(at)
         best = similar.argmax(axis=1)
         score = np.clip(similar[np.arange(len(texts)), best], 0.0, 1.0).astype(float)
         langs = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        return langs, np.where(known, score, 0.0), ~known | (score < self.shares[best, band(grams)] * self.reach[best, grams])
+        reach = np.array([self.reach[b][min(g, len(self.reach[b]) - 1)] for b, g in zip(best, grams, strict=True)])
+        return langs, np.where(known, score, 0.0), ~known | (score < self.shares[best, band(grams)] * reach)
 
 
 def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About ``rows`` rows, equally many of each language, chosen by hash of id; never more than twice ``rows``."""
-    use = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    per = {r[0]: r[1] for r in use.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()}
-    if not per:
-        return use.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).limit(0)
-    share = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(min(1.0, rows / len(per) / n))) for k, n in per.items()], F.lit(0.0))
-    draw = F.pmod(F.xxhash64(F.lit(99), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    return use.filter(draw < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).limit(2 * rows)
+    """``lang, text`` of about ``rows`` rows, equally many of each language.
+
+    A language has at least one and about LEAST_OF_LANGUAGE texts, if it has them,
+    however many languages there are. Rows are drawn by a hash of id and text, and
+    equal ones are one row.
+    """
+    use = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"))
+    use = use.filter("lang is not null and text is not null")
+    draw = F.pmod(F.xxhash64(F.lit(99), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    use = use.select("lang", "text", draw.alias("draw"))
+    per = stored(use.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")), "languages")
+    each = max(LEAST_OF_LANGUAGE, rows / max(1, per.count()))
+    limits = per.select(F.col("lang").alias("of_lang"), F.greatest("least", F.lit(each) / F.col("n")).alias("below"))
+    drawn = use.join(limits, (F.col("lang") == F.col("of_lang")) & (F.col("draw") <= F.col("below")))
+    return drawn.select("lang", "text").distinct()
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> LanguageModel:
@@ -169,13 +187,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     def learn(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("counts", key=lambda c: c.map(bytes))
         means, shares = learn_language([sparse_row(c) for c in own["counts"]], [[sparse_row(p) for p in ps] for ps in own["pieces"]], idf)
-        return pd.DataFrame({"lang": own["lang"].iloc[0], "k": range(len(means)), "centroid": [zlib.compress(m.astype(np.float32).tobytes(), 1) for m in means], "shares": [shares.tolist()] * len(means)})
+        packed = [zlib.compress(np.flatnonzero(m).astype(np.uint32).tobytes() + m[m != 0].astype(np.float32).tobytes(), 1) for m in means]
+        return pd.DataFrame({"lang": own["lang"].iloc[0], "k": range(len(means)), "centroid": packed, "shares": [shares.tolist()] * len(means)})
 
     found = sample.groupBy("lang").applyInPandas(learn, "lang string, k long, centroid binary, shares array<double>").collect()
     found.sort(key=lambda r: (r["lang"], r["k"]))
     if not found:
-        return LanguageModel((), idf, np.zeros((0, BINS), np.float32), np.zeros((0, BANDS)))
-    return LanguageModel(tuple(r["lang"] for r in found), idf, np.stack([np.frombuffer(zlib.decompress(r["centroid"]), np.float32) for r in found]), np.array([r["shares"] for r in found]))
+        return LanguageModel((), idf, [], np.zeros((0, BANDS)))
+    return LanguageModel(tuple(r["lang"] for r in found), idf, [sparse_row(r["centroid"]) for r in found], np.array([r["shares"] for r in found]))
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -204,12 +223,12 @@ def learn_language(texts: list[tuple[np.ndarray, np.ndarray]], parts: list[list[
     bands, ratios = [], []
     for half in (0, 1) if len(texts) > 1 else ():
         means = centroids(texts[half::2])
-        reach = reach_of(means)
+        reach = [reach_of(m) for m in means]
         for at, n in (row for text, own in zip(texts[1 - half :: 2], parts[1 - half :: 2], strict=True) for row in (text, *own)):
             cosines = means[:, at] @ weighted(at, n, idf)
             best = cosines.argmax()
             bands.append(band(np.array(len(at))))
-            ratios.append(cosines[best] / reach[best, len(at)])
+            ratios.append(cosines[best] / reach[best][len(at)])
     bands, ratios = np.array(bands, int), np.array(ratios)
     shares, last = np.full(BANDS, REJECT_SHARE), REJECT_SHARE
     for b in range(BANDS):
@@ -234,7 +253,7 @@ def clusters(unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def language_of(model: LanguageModel, text: Column) -> Column:
-    """Struct column ``lang, score, rejected`` for a text column (the model is at most MOST_LANGUAGES * CENTROIDS vectors)."""
+    """Struct column ``lang, score, rejected`` for a text column (the model has CENTROIDS sparse vectors of at most BINS values a language)."""
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -259,4 +278,5 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
 def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their columns as they are."""
-    return docs.withColumn("_lid", language_of(model, docs[text_col])).filter(~F.col("_lid.rejected")).drop("_lid")
+    found = unused(docs, "_lid")
+    return docs.withColumn(found, language_of(model, docs[text_col])).filter(~F.col(found)["rejected"]).drop(found)

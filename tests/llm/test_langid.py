@@ -85,5 +85,46 @@ def test_long_junk_and_unlearned_scripts_are_rejected_and_short_clean_texts_are_
     assert len(short) > 300 and not any(model.predict(short)[2])
 
 
-def test_the_sample_is_as_large_as_it_was():
-    assert langid.SAMPLE_ROWS >= 3_000
+def test_every_label_is_learned(spark):
+    """300 labels, each with words of its own; a sample of fewer rows than labels."""
+    word = lambda k, n: "".join(chr(97 + (k * 7 + n * d) % 26) for d in range(1, 8))
+    rows = [(k * 10 + n, " ".join(word(k, j + n) for j in range(12)), f"l{k:03d}", "s") for k in range(300) for n in range(4)]
+    model = fit(as_docs(spark, rows), rows=100)
+    assert set(model.languages) == {f"l{k:03d}" for k in range(300)}
+
+
+@pytest.mark.parametrize("i", [7, None])
+def test_rows_that_repeat_one_id_are_learned_from(spark, i):
+    docs = as_docs(spark, [(i, f"the word number {k} of the text", "en", "s") for k in range(3_000)] + [(i, "das Wort", "de", "s")] * 500)
+    sample = langid.training_sample(docs, "doc_id", "text", "lang", rows=200).collect()
+    assert {r.lang for r in sample} == {"en", "de"} and len(sample) <= 400
+    assert set(fit(docs).languages) == {"en", "de"}
+
+
+def test_numerals_are_no_letters(model):
+    langs, scores, rejected = model.predict(["½ ²", "Ⅷ", "①②③", "12_3", "ª", "x"])
+    assert langs[:4] == ["und"] * 4 and not scores[:4].any() and rejected[:4].all()
+    assert "und" not in langs[4:]
+
+
+def test_cosines_and_rejection_by_dense_vectors(small_docs, model):
+    """Dense TF-IDF vectors and all centroids compared one by one."""
+    texts = [r.text for r in small_docs.limit(40).collect() if langid.has_letter(r.text)] + ["x y z", "qqxzqj zzxqq", "日本語"]
+    dense = np.zeros((len(model.centroids), BINS))
+    for row, (at, values) in zip(dense, model.centroids):
+        row[at] = values
+    langs, scores, rejected = model.predict(texts)
+    for text, lang, score, out in zip(texts, langs, scores, rejected):
+        counts = gram_counts(text).astype(float)
+        v = np.where(counts > 0, np.log1p(counts) * model.idf, 0.0)
+        cosines = dense @ (v / np.linalg.norm(v))
+        best, n = int(cosines.argmax()), int((counts > 0).sum())
+        assert lang == model.languages[best] and abs(score - cosines[best]) < 1e-5
+        reach = np.linalg.norm(np.sort(dense[best])[::-1][:n])
+        assert out == (cosines[best] < model.shares[best, int(np.log2(n))] * reach)
+
+
+def test_own_columns_of_the_operators_names_stay(spark, model):
+    docs = as_docs(spark, [(1, "the thing of that", "en", "s")]).selectExpr("*", "5 AS _lid", "6 AS _LID_")
+    kept = accepted(docs, model)
+    assert kept.columns == docs.columns and [(r._lid, r._LID_) for r in kept.collect()] == [(5, 6)]
