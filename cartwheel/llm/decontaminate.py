@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import window_hashes, word_hashes
+from cartwheel.llm.common import unused, window_hashes, word_hashes
 
 SEED_WORDS = 3
 THRESHOLD = 0.5
@@ -141,13 +141,13 @@ class SeedIndex:
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of about BLOCK_ITEMS rows and BLOCK_CHARS characters, by hash of the id."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    """Items in blocks of about BLOCK_ITEMS rows and BLOCK_CHARS characters, by hash of id and text."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
     for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct()
-        yield sorted((r["item_id"], r["text"]) for r in part.collect())
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct()
+        yield sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
 
 
 def leak_columns(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD) -> list[Column]:
@@ -174,8 +174,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     score is the alignment's share of a full copy's (0 to 1), of the best passage;
     it lies between the given word positions (words in lower case, without ASCII
-    punctuation). Null and empty texts hold nothing; items with a null id or text, or
-    without words, are found nowhere. Repeated rows are judged one by one,
+    punctuation). Null and empty texts hold nothing; items with a null text or
+    without words are found nowhere; an item with a null id is reported as null. Repeated rows are judged one by one,
     repeated items as one. Further columns are ignored; empty tables give no rows.
     """
     found = None
@@ -187,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with their columns as they are."""
-    clean = docs
+    clean, leaks = docs, unused(docs, "_leaks")
     for column in leak_columns(docs, benchmark, text_col, threshold=threshold):
-        clean = clean.withColumn("_leaks", column).filter(F.size("_leaks") == 0).drop("_leaks")
+        clean = clean.withColumn(leaks, column).filter(F.size(leaks) == 0).drop(leaks)
     return clean

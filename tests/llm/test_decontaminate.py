@@ -30,7 +30,7 @@ def brute(docs, items, threshold):
         words = plain_words(t)
         for item, text in items:
             own = plain_words(text)
-            if item is None or not len(own) or not len(words):
+            if not len(own) or not len(words):
                 continue
             if local_alignment(own, words)[0] / (MATCH * len(own)) >= threshold:
                 out.add((i, item))
@@ -117,3 +117,12 @@ def test_edited_copies_without_another_copy_are_found(spark):
     for r in rows:
         own, words = plain_words(dict((k, " ".join(w)) for k, w in items)[r.item_id]), plain_words(dict(d[:2] for d in docs)[r.doc_id])
         assert r.score == local_alignment(own, words[r.word_from : r.word_to])[0] / (MATCH * len(own))
+
+
+def test_an_item_with_a_null_id_is_found_and_reported(spark):
+    text = "seven words of an item without name"
+    docs = spark.createDataFrame([(1, f"before {text} after", 3), (2, "nothing of it here at all", 4)], "doc_id long, text string, _leaks int")
+    items = spark.createDataFrame([(None, text), (None, "another item with words of its own")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.score) for r in contaminated(docs, items).collect()] == [(1, None, 1.0)]
+    clean = decontaminated(docs, items)
+    assert clean.columns == docs.columns and [tuple(r) for r in clean.collect()] == [(2, "nothing of it here at all", 4)]
