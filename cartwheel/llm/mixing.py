@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import stored, word_count
+from cartwheel.llm.common import stored, unused, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -147,6 +147,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     takes = mix(docs, id_col, text_col, source_col, **how)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    takes = takes.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), times.alias("_mix_times")).filter("_mix_times > 0")
-    joined = docs.join(takes, docs[id_col].eqNullSafe(takes["_mix_id"]) & docs[source_col].eqNullSafe(takes["_mix_source"]))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_mix_times"))).alias("_mix_copy")).drop("_mix_copy")
+    own_id, own_source, n, copy = (unused(docs, f"_mix_{x}") for x in ("id", "source", "times", "copy"))
+    takes = takes.select(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), times.alias(n)).filter(F.col(n) > 0)
+    joined = docs.join(takes, docs[id_col].eqNullSafe(takes[own_id]) & docs[source_col].eqNullSafe(takes[own_source]))
+    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col(n))).alias(copy)).drop(copy)

@@ -80,3 +80,9 @@ def test_mixed_documents_come_as_often_as_taken(messy_docs):
     for r in mix(messy_docs, block_words=16).filter(F.col("doc_id").between(20, 59)).collect():
         want = int(r.taken / r["size"] + 0.5) if r["size"] else 0
         assert times[(r.doc_id, r.source)] == want
+
+
+def test_own_columns_of_the_mix_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 5, 6)], "doc_id long, text string, source string, _mix_times int, _mix_copy int")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= {(1, "a b c", "s", 5, 6)}
