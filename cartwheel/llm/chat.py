@@ -88,8 +88,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, each
     its first call. Null identifiers can't be linked and are left out of the
     join; with ``each_null`` every such row comes out as pending or orphan,
     without it they come out as one pending and one orphan row with their
-    numbers. A null tool is unknown; null arguments, and those beyond Spark's
-    size limit of a variant, are no object. Further columns are ignored;
+    numbers. A null tool is unknown; null arguments are no
+    object; arguments that are no JSON (or repeat a key, or are beyond Spark's size
+    limit of a variant) are no object either and stand in the JSON as the text that
+    they are. Numbers of more than 38 digits are written as doubles. Turns of other
+    roles than callers' and answerers' are the caller's to leave out. Further columns are ignored;
     empty tables give no rows. Order by (step, call_id) runs every call after
     the one it waits for.
     """
@@ -132,7 +135,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, each
         "content",
     )
     # a parsed variant keeps the keys of every object sorted; the other keys are written in order
-    arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null"))
+    raw = F.to_json(F.struct(F.col("arguments").alias("a")))  # {"a":"..."}
+    raw = F.when(F.col("arguments").isNotNull(), F.substring(raw, F.lit(6), F.length(raw) - 6))
+    arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), raw, F.lit("null"))
     rest = F.to_json(F.struct("call_id", "errors", F.col("content").alias("result"), "status", "step", "tool"), {"ignoreNullFields": "false"})
     text = F.concat(F.lit('{"arguments":'), arguments, F.lit(","), F.substring(rest, 2, 2**31 - 2))
     return rows.select("call_id", "tool", "status", "step", "n_calls", "n_results", "errors", text.alias("json"))

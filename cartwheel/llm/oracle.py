@@ -9,7 +9,7 @@ OP1 = rf"""
 WITH turns AS (
     SELECT conv_id, turn, role, text, coalesce(text, '') AS t, len({_WORDS}) AS n, length(coalesce(text, '')) % 3 AS kind FROM conversations
 ), calls AS (
-    SELECT conv_id, turn, concat_ws('-', conv_id, turn) AS call_id,
+    SELECT conv_id, turn, conv_id::VARCHAR || '-' || turn AS call_id,
         CASE kind WHEN 0 THEN 'search' WHEN 1 THEN 'translate' ELSE 'summarise' END AS tool,
         CASE
             WHEN kind = 0 THEN '{{"query":' || to_json(t) || ',"top_k":' || n || '}}'
@@ -23,20 +23,20 @@ WITH turns AS (
             WHEN kind = 2 AND n < 10 THEN ['max_words: not of type integer', 'tone: not in the schema']
             ELSE []::VARCHAR[]
         END AS errors,
-        turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
+        true AS is_call, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
     FROM turns WHERE role = 'user'
 ), placed AS (
-    SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS step FROM calls
+    SELECT *, CASE WHEN call_id IS NOT NULL THEN row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 END AS step FROM calls
 ), results AS (
-    SELECT concat_ws('-', conv_id, turn - 1) AS call_id, text FROM turns WHERE role = 'assistant'
+    SELECT conv_id::VARCHAR || '-' || (turn - 1) AS call_id, text, true AS is_result FROM turns WHERE role = 'assistant'
 ), linked AS (
     SELECT coalesce(p.call_id, r.call_id) AS call_id, p.tool, p.arguments, r.text AS result, p.step,
-        CASE WHEN r.call_id IS NULL THEN 'pending' WHEN p.call_id IS NULL THEN 'orphan' ELSE 'linked' END AS status,
-        (p.call_id IS NOT NULL)::BIGINT AS n_calls, (r.call_id IS NOT NULL)::BIGINT AS n_results, coalesce(p.errors, []) AS errors
+        CASE WHEN r.is_result IS NULL THEN 'pending' WHEN p.is_call IS NULL THEN 'orphan' ELSE 'linked' END AS status,
+        (p.is_call IS NOT NULL)::BIGINT AS n_calls, (r.is_result IS NOT NULL)::BIGINT AS n_results, coalesce(p.errors, []) AS errors
     FROM placed p FULL JOIN results r ON p.call_id = r.call_id
 )
 SELECT call_id, tool, status, step, n_calls, n_results, array_to_string(errors, '; ') AS errors,
-    '{{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id) || ',"errors":' || to_json(errors) || ',"result":' || coalesce(to_json(result)::VARCHAR, 'null')
+    '{{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || coalesce(to_json(call_id)::VARCHAR, 'null') || ',"errors":' || to_json(errors) || ',"result":' || coalesce(to_json(result)::VARCHAR, 'null')
     || ',"status":' || to_json(status) || ',"step":' || coalesce(step::VARCHAR, 'null') || ',"tool":' || coalesce(to_json(tool)::VARCHAR, 'null') || '}}' AS json
 FROM linked
 """

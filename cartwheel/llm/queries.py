@@ -50,7 +50,8 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     A user turn is a call, named by conversation and turn, that waits for the
     conversation's call two turns before; its words choose the tool and the
     arguments. An assistant turn is the result of the turn before it. Turns
-    without a conversation or number have a null name.
+    without a conversation or number have a null name. Turns of any other role
+    (system) are neither calls nor results and have no row.
     """
     named = lambda back: F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
     text, n = F.coalesce("text", F.lit("")), word_count(F.col("text"))

@@ -97,3 +97,9 @@ def test_turns_without_a_conversation_or_number_stay_apart(spark):
     frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
     rows = link_tool_calls(*queries.conversation_calls(frame), queries.TOOLS, each_null=True).collect()
     assert sorted((r.call_id or "", r.status, r.n_calls, r.n_results) for r in rows) == [("", "orphan", 0, 1)] + [("", "pending", 1, 0)] * 3 + [("2-0", "linked", 1, 1)]
+
+
+def test_arguments_that_do_not_parse_keep_their_text(spark):
+    texts = ['{"q": "lost text', '{"k": 1, "k": 2}', 'a "quoted"\n\\ é', "", None, '{"id": 1}']
+    got = link(spark, [(f"c{n}", n, None, "get", a) for n, a in enumerate(texts)], [])
+    assert [json.loads(got[f"c{n}"].json)["arguments"] for n in range(6)] == [*texts[:5], {"id": 1}]
