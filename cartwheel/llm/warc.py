@@ -72,7 +72,9 @@ def parse_arc(content: bytes) -> Iterator[ArcRecord]:
             continue
         values = line.split(" ")
         length = int(values[-1])
-        if line.startswith("filedesc:"):
+        if not version:  # only the first record of a file is its version block
+            if not line.startswith("filedesc:"):
+                raise ValueError(f"an ARC file begins with its version block, not with {line[:200]}")
             version = int(content[at : content.index(b" ", at)])
         else:
             if len(values) != len(ARC_FIELDS[version]):

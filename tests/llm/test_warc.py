@@ -66,3 +66,15 @@ def test_warc_records_name_each_other(spark):
     assert records["response"].headers["WARC-Date"] == "2020-01-01T00:00:00Z"
     assert records["response"].headers["WARC-Payload-Digest"] == "sha256:" + sha(html)
     assert records["response"].headers["WARC-Block-Digest"] == "sha256:" + sha(records["response"].block)
+
+
+def test_a_url_that_looks_like_a_version_block(spark):
+    rows = [(1, "filedesc://x 1 2", "a"), (2, "filedesc:", "b" * 200), (3, "http://3", "b" * 200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.pages_to_warc(pages).collect())
+    assert got == [(1, 1, "response", None), (2, 200, "response", None), (3, 200, "revisit", 2)]
+
+
+def test_a_file_without_a_version_block_is_an_error():
+    with pytest.raises(ValueError, match="version block"):
+        list(warc.parse_arc(warc.arc_record(1, b"x", url="u") + b"\n"))
