@@ -15,6 +15,7 @@ has one row per id of the vocabulary that occurs, whatever the corpus.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -56,13 +57,42 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
+# How a file must normalise and cut texts for the rules above.
+_NORMALISES = ["NFC", "Replace", "Lowercase"]
+_CUTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+@functools.lru_cache(maxsize=2)
+def cut_as_known(path: str) -> bool:
+    """Whether a file's texts may be cut into words and pieces by the rules above."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normalises = (spec.get("normalizer") or {}).get("normalizers", [])
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    space = [n.get("content") for n in normalises if n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"}]
+    return (
+        [n["type"] for n in normalises] == _NORMALISES
+        and space == [" "]
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["pattern"], cuts[0]["behavior"], cuts[0]["invert"]) == ({"Regex": _CUTS}, "Removed", True)
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+        and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+    )
+
+
 def ids_of_texts(path: str, column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
     """Ids of every text of a string column, no special tokens added.
 
     The tokenizer drops white space and never joins across it, so a text's ids are
     those of its words. Words are split and numbered by Arrow for a few MB of
-    texts at a time, and each different word is encoded once.
+    texts at a time, and each different word is encoded once. Texts of a file that
+    cuts in another way are encoded whole by the library.
     """
+    if not cut_as_known(path):
+        for texts_at_once, _ in _chunks(column, chunk_bytes):
+            for ids in _ids_of_odd(path, texts_at_once.to_pylist()):
+                yield np.frombuffer(ids, "<u4")
+        return
     for texts_at_once, odd in _chunks(column, chunk_bytes):
         words = pc.ascii_split_whitespace(texts_at_once if odd else pc.utf8_lower(texts_at_once))
         numbered = words.flatten().dictionary_encode()

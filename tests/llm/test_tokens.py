@@ -76,3 +76,12 @@ def test_frequent_ids_have_low_ranks(spark, small_docs):
         for i in np.frombuffer(r.ids, "<u4").tolist():
             counts[i] = counts.get(i, 0) + 1
     assert [ranks[k] for k in range(len(ranks))] == sorted(counts, key=lambda i: (-counts[i], i))
+
+
+@needs_tokenizer
+def test_a_file_that_cuts_otherwise_is_encoded_by_the_library():
+    other = queries.vocabulary_path(queries.BYTE_BPE)
+    assert tokens.cut_as_known(PATH) and not tokens.cut_as_known(other)
+    texts = ["Two  Words\n", "don't", "", "<|endoftext|> É"]
+    want = [e.ids for e in tokens._tokenizer(other)[0].encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in tokens.ids_of_texts(other, pa.array(texts))] == want
