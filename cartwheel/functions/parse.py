@@ -5,9 +5,9 @@ built-in conversion. Nothing throws: a text Python would reject gives NULL,
 and the caller decides whether NULL nulls the field (dates, timestamps) or
 rejects the row (integers, floats).
 
-Python's numbers and its ``\\d`` take the decimal digits of every script. Texts
-with other than ASCII characters are therefore guarded by a pattern that has them
-wherever Python does, and converted after their digits were replaced by ASCII ones.
+Python's numbers and its ``\\d`` take the decimal digits of every script. The
+guards of dates have them wherever Python does; what is converted is the text with
+its digits replaced by ASCII ones.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ _SEP = r"([-/.])"  # one separator, repeated by backreference \2
 # The zero of each script's ten decimal digits, as Python knows them.
 _ZEROS = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.decimal(c, None) == 0]
 _WIDE_DIGITS = "".join(chr(ord(z) + n) for z in _ZEROS if not z.isascii() for n in range(10))
-_ANY_DIGIT = "[0-9" + "".join(f"\\x{{{ord(z):x}}}-\\x{{{ord(z) + 9:x}}}" for z in _ZEROS if not z.isascii()) + "]"
-_ANY_ZERO = "[" + "".join(f"\\x{{{ord(z):x}}}" for z in _ZEROS) + "]"
+# ASCII first: that is what nearly every text has.
+_ANY_DIGIT = "(?:[0-9]|[" + "".join(f"\\x{{{ord(z):x}}}-\\x{{{ord(z) + 9:x}}}" for z in _ZEROS if not z.isascii()) + "])"
+_ANY_ZERO = "(?:0|[" + "".join(f"\\x{{{ord(z):x}}}" for z in _ZEROS if not z.isascii()) + "])"
 
 
 def _layouts(digit: str, zero: str) -> tuple[str, str]:
@@ -61,17 +62,9 @@ FLOAT_PATTERN = (
 )
 
 
-def _is_wide(c: Column) -> Column:
-    return c.rlike(r"[^\x00-\x7f]")
-
-
 def ascii_digits(c: Column) -> Column:
     """Text with the decimal digits of all scripts replaced by ASCII ones."""
-    return F.when(_is_wide(c), F.translate(c, _WIDE_DIGITS, "0123456789" * (len(_WIDE_DIGITS) // 10))).otherwise(c)
-
-
-def _fits(c: Column, pattern: str, wide_pattern: str) -> Column:
-    return F.when(_is_wide(c), c.rlike(wide_pattern)).otherwise(c.rlike(pattern))
+    return F.when(F.octet_length(c) != F.char_length(c), F.translate(c, _WIDE_DIGITS, "0123456789" * (len(_WIDE_DIGITS) // 10))).otherwise(c)
 
 
 def parse_timestamp_year_first(c: Column) -> Column:
@@ -83,13 +76,13 @@ def parse_timestamp_year_first(c: Column) -> Column:
     cast, which validates the calendar value.
     """
     canon = F.replace(F.regexp_replace(ascii_digits(c), TIMESTAMP_PATTERN, "$1-$3-$4 $5:$6:$7"), F.lit("- "), F.lit("-"))
-    return F.when(_fits(c, TIMESTAMP_PATTERN, _WIDE_TIMESTAMP_PATTERN), canon.try_cast("timestamp"))
+    return F.when(c.rlike(_WIDE_TIMESTAMP_PATTERN), canon.try_cast("timestamp"))
 
 
 def parse_date_day_first(c: Column) -> Column:
     """CLN6: stripped text -> DATE or NULL, day-first layouts only."""
     canon = F.replace(F.regexp_replace(ascii_digits(c), DATE_PATTERN, "$4-$3-$1"), F.lit(" "), F.lit(""))
-    return F.when(_fits(c, DATE_PATTERN, _WIDE_DATE_PATTERN), canon.try_cast("date"))
+    return F.when(c.rlike(_WIDE_DATE_PATTERN), canon.try_cast("date"))
 
 
 def parse_int_text(c: Column) -> Column:
