@@ -407,6 +407,7 @@ def registry() -> dict[str, str]:
     return {
         "fact_transaction": _fact(False),
         "fact_transaction_dedup": _fact(True),
+        "fact_transaction_bucketed": _fact(False),
         "fact_order_item_joins": FACT_JOINS_ONLY,
         "dim_date_file": _dim_date(True, False),
         "dim_date_scheduled": _dim_date(False, False, years_ahead=1),

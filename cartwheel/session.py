@@ -45,6 +45,10 @@ SCALE_CONF = {
 # hot order_id to be split before the fact's group-by.
 SKEW_CONF = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
+# For bucketed orders and items: a join on order_id and more columns may use a
+# partitioning by order_id alone. Off by default, as fewer keys may be more skewed.
+BUCKET_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 
 def get_session(
     master: str | None = None,
