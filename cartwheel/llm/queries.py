@@ -44,14 +44,14 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results of the conversations, row by row.
+def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and messages of the conversations, row by row.
 
     A user turn is a call, named by conversation and turn, that waits for the
     conversation's call two turns before; its words choose the tool and the
     arguments. An assistant turn is the result of the turn before it. Turns
     without a conversation or number have a null name. Turns of any other role
-    (system) are neither calls nor results and have no row.
+    (system, null) are messages.
     """
     named = lambda back: F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - back).cast("string"))
     text, n = F.coalesce("text", F.lit("")), word_count(F.col("text"))
@@ -65,11 +65,13 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     tool = F.when(kind == 0, "search").when(kind == 1, "translate").otherwise("summarise")
     calls = turns.filter("role = 'user'").select(named(0).alias("call_id"), F.col("turn").alias("position"), named(2).alias("after_id"), tool.alias("tool"), arguments.alias("arguments"))
     results = turns.filter("role = 'assistant'").select(named(1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content"))
-    return calls, results
+    messages = turns.filter("role is null or role not in ('user', 'assistant')").select(named(0).alias("call_id"), F.col("text").alias("content"))
+    return calls, results, messages
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = chat.link_tool_calls(*conversation_calls(table(spark, sf_dir, "conversations")), TOOLS, each_null=True)
+    calls, results, messages = conversation_calls(table(spark, sf_dir, "conversations"))
+    linked = chat.link_tool_calls(calls, results, TOOLS, each_null=True, messages=messages)
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
 

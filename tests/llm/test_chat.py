@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -95,7 +96,8 @@ def test_every_row_of_a_repeated_identifier_comes_out(spark):
 def test_turns_without_a_conversation_or_number_stay_apart(spark):
     turns = [(None, 0, "user", "one"), (None, 0, "user", "other"), (None, 1, "assistant", "answer"), (1, None, "user", "x"), (2, 0, "user", "y"), (2, 1, "assistant", "z")]
     frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
-    rows = link_tool_calls(*queries.conversation_calls(frame), queries.TOOLS, each_null=True).collect()
+    calls, results, _ = queries.conversation_calls(frame)
+    rows = link_tool_calls(calls, results, queries.TOOLS, each_null=True).collect()
     assert sorted((r.call_id or "", r.status, r.n_calls, r.n_results) for r in rows) == [("", "orphan", 0, 1)] + [("", "pending", 1, 0)] * 3 + [("2-0", "linked", 1, 1)]
 
 
@@ -103,3 +105,50 @@ def test_arguments_that_do_not_parse_keep_their_text(spark):
     texts = ['{"q": "lost text', '{"k": 1, "k": 2}', 'a "quoted"\n\\ é', "", None, '{"id": 1}']
     got = link(spark, [(f"c{n}", n, None, "get", a) for n, a in enumerate(texts)], [])
     assert [json.loads(got[f"c{n}"].json)["arguments"] for n in range(6)] == [*texts[:5], {"id": 1}]
+
+
+def levels(nodes, edges):
+    """Longest way to each node, by settling one node after the other; None in and behind cycles."""
+    waits = {n: {a for c, a in edges if c == n and a in nodes} for n in nodes}
+    found = {}
+    while ready := [n for n in nodes if n not in found and all(a in found for a in waits[n])]:
+        found |= {n: max((found[a] + 1 for a in waits[n]), default=0) for n in ready}
+    return {n: found.get(n) for n in nodes}
+
+
+def random_graph(seed):
+    rng = random.Random(seed)
+    nodes = [f"c{n}" for n in range(60)]
+    chain = [(nodes[n], nodes[n - 1] if n % 11 and rng.random() < 0.8 else None) for n in range(60)]
+    more = [(nodes[b], nodes[a]) for a, b in (sorted(rng.sample(range(60), 2)) for _ in range(25))]
+    if seed % 2:
+        more += [("c20", "c40"), ("c40", "c20"), ("c55", "c40"), ("c50", "c50")]
+    return chain, more + [more[0], ("gone", "c1"), ("c1", "gone"), (None, "c2"), ("c2", None)]
+
+
+def test_steps_of_a_graph_equal_its_levels(spark):
+    for seed in (1, 2):
+        chain, more = random_graph(seed)
+        schema = "call_id string, after_id string"
+        got = {r.call_id: r.step for r in call_steps(spark.createDataFrame(chain, schema), spark.createDataFrame(more, schema)).collect()}
+        want = levels([c for c, _ in chain], set(chain + more))
+        assert got == want and len(set(want.values())) > 5
+        assert (None in want.values()) == bool(seed % 2)
+
+
+def test_calls_that_wait_for_several_come_after_all_of_them(spark):
+    chain, more = random_graph(1)
+    calls = spark.createDataFrame([(c, n, a, "get", '{"id":1}', "x", 1) for n, (c, a) in enumerate(chain)] + [("c7", 99, "c9", "get", "{}", "x", 1)], CALLS)
+    rows = link_tool_calls(calls, spark.createDataFrame([], RESULTS), SCHEMAS, dependencies=spark.createDataFrame(more, "call_id string, after_id string")).collect()
+    want = levels([c for c, _ in chain], set(chain + more))
+    first = {r.call_id: (r.step, r.status) for r in rows if r.call_id != "c7"}
+    assert first == {c: (n, "pending/cycle" if n is None else "pending") for c, n in want.items() if c != "c7"}
+    assert [r.step for r in link_tool_calls(calls, spark.createDataFrame([], RESULTS), SCHEMAS, dependencies=spark.createDataFrame([], "call_id string, after_id string")).filter("call_id = 'c1'").collect()] == [levels([c for c, _ in chain], chain)["c1"]]
+
+
+def test_turns_of_other_roles_are_messages(spark):
+    turns = [(1, 0, "system", "rules"), (1, 1, "user", "x"), (1, 2, "assistant", "y"), (None, 0, "system", None), (2, None, None, "odd"), (1, 1, "system", "x")]
+    calls, results, messages = queries.conversation_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    rows = link_tool_calls(calls, results, queries.TOOLS, each_null=True, messages=messages).collect()
+    assert sorted((r.status, r.call_id or "", json.loads(r.json)["result"] or "") for r in rows) == [("linked", "1-1", "y"), ("message", "", ""), ("message", "", "odd"), ("message", "1-0", "rules"), ("message", "1-1", "x")]
+    assert all((r.tool, r.step, r.n_calls, r.n_results, list(r.errors)) == (None, None, 0, 0, []) for r in rows if r.status == "message")
