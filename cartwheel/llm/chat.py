@@ -134,7 +134,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, each
     ``call_id, position, content``; dependencies: edges ``call_id, after_id`` beside
     the calls' own ``after_id``, for calls that wait for several; messages: ``call_id,
     content`` of turns that are neither call nor result, which are linked with nothing
-    and come out one by one as ``message``. status is else ``linked``, ``pending`` (no
+    and come out one by one as ``message``, at step 0, as they wait for no call. status is else ``linked``, ``pending`` (no
     result) or ``orphan`` (no call), with ``/cycle`` appended where the call has
     no topological position. Of rows that repeat an identifier the i-th call
     and the i-th result by position are linked (at one position by text) and
@@ -182,7 +182,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Schemas, each
     both = both.unionByName(lost_calls, allowMissingColumns=True).unionByName(lost_results, allowMissingColumns=True)
     is_message = F.lit(False)
     if messages is not None:
-        both = both.unionByName(messages.select("call_id", "content", F.lit(True).alias("is_message")), allowMissingColumns=True)
+        both = both.unionByName(messages.select("call_id", "content", F.lit(0).cast("long").alias("step"), F.lit(True).alias("is_message")), allowMissingColumns=True)
         is_message = F.col("is_message").isNotNull()
     is_call, is_result = F.col("is_call").isNotNull(), F.col("is_result").isNotNull()
     status = F.when(is_message, "message").when(is_call & is_result, "linked").when(is_call, "pending").otherwise("orphan")

@@ -35,7 +35,7 @@ WITH turns AS (
         (p.is_call IS NOT NULL)::BIGINT AS n_calls, (r.is_result IS NOT NULL)::BIGINT AS n_results, coalesce(p.errors, []) AS errors
     FROM placed p FULL JOIN results r ON p.call_id = r.call_id
     UNION ALL
-    SELECT conv_id::VARCHAR || '-' || turn, NULL, NULL, text, NULL, 'message', 0, 0, [] FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+    SELECT conv_id::VARCHAR || '-' || turn, NULL, NULL, text, 0, 'message', 0, 0, [] FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 )
 SELECT call_id, tool, status, step, n_calls, n_results, array_to_string(errors, '; ') AS errors,
     '{{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || coalesce(to_json(call_id)::VARCHAR, 'null') || ',"errors":' || to_json(errors) || ',"result":' || coalesce(to_json(result)::VARCHAR, 'null')
