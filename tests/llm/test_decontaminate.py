@@ -126,3 +126,38 @@ def test_an_item_with_a_null_id_is_found_and_reported(spark):
     assert [(r.doc_id, r.item_id, r.score) for r in contaminated(docs, items).collect()] == [(1, None, 1.0)]
     clean = decontaminated(docs, items)
     assert clean.columns == docs.columns and [tuple(r) for r in clean.collect()] == [(2, "nothing of it here at all", 4)]
+
+
+def seeds_of(spark, items, hits, n_docs):
+    grams = spark.createDataFrame([(i, g, at, len(own)) for i, own in items.items() for at, g in enumerate(own)], decontaminate.GRAMS)
+    found = spark.createDataFrame([(b"t", g, n) for g, times in hits.items() for n in range(times)], decontaminate.HITS)
+    return {(r.item, r.gram) for r in decontaminate.rare_seeds(grams, found, n_docs).collect()}
+
+
+def test_seeds_are_found_and_rare_in_the_corpus_or_for_their_item(spark):
+    hits = {1: 1, 2: 2, 3: 9, 4: 500, 5: 600, 6: 30_000, 7: 1}
+    # 0 is found nowhere and takes no one's place; 3 is over eight times the middle one
+    assert seeds_of(spark, {10: [0, 1, 2, 3, 7]}, hits, 0) == {(10, 1), (10, 2), (10, 7)}
+    assert seeds_of(spark, {10: [0, 1, 2, 3, 7]}, hits, 9_000) == {(10, 1), (10, 2), (10, 3), (10, 7)}
+    # an item of common grams keeps those no more common than its others
+    assert seeds_of(spark, {10: [4, 5, 6], 11: [6], 12: [0]}, hits, 9_000) == {(10, 4), (10, 5), (11, 6)}
+
+
+def test_edited_copies_are_found_next_to_many_full_copies(spark):
+    rng = random.Random(5)
+    words = [f"u{rng.randrange(10**6)}" for _ in range(40)]
+    edited_words = [f"new{n}" if n % 5 == 4 else w for n, w in enumerate(words)]
+    docs = [(i, f"a{i} {' '.join(words)} b{i}") for i in range(300)] + [(1000, " ".join(edited_words)), (1001, " ".join(edited_words)), (2000, "other words")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in contaminated(frame, bench).collect()}
+    assert set(got) == {i for i, _ in docs if i != 2000} and got[0] == 1 and got[1000] == got[1001] < 1
+
+
+def test_the_filter_lets_every_gram_by(spark):
+    rng = np.random.default_rng(2)
+    grams = rng.integers(-(1 << 63), (1 << 63) - 1, 5_000)
+    bits = decontaminate.gram_filter(spark.createDataFrame([(int(g),) for g in grams], "gram long"))
+    at = grams.view(np.uint64) >> np.uint64(64 - decontaminate.FILTER_BITS)
+    assert (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all()
+    assert int(np.unpackbits(bits).sum()) == len(np.unique(at))
