@@ -9,7 +9,8 @@ place), ISO timestamps, types, and SHA-256 digests. Of records with one payload
 the first by id becomes the response, the others revisit it.
 
 Archives are written by Spark's file writers, so a lost executor's part is
-written anew and nothing half-written is read.
+written anew and nothing half-written is read. An archive holds ARCHIVE_BYTES of
+records at most, or one longer record, so that it is read in bounded memory.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ ARC_TITLES = {1: b"URL IP-address Archive-date Content-type Archive-length", 2:
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_REVISIT = 100
 BROADCAST_REVISITS = 50_000
+ARCHIVE_BYTES = 32 << 20
 ID_HEADER = b"X-Archive-Id"
 NO_ID = b"-"
 _GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
@@ -108,36 +110,54 @@ def record_id(page_id: int | None, digest: str, url: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest} {url}')}>"
 
 
+def in_archives(records: Iterable[bytes], separator: bytes, most_bytes: int, head: bytes | None = None) -> Iterator[tuple[bytes]]:
+    """Whole archives, each begun with ``head``: records up to ``most_bytes`` together, or one longer record."""
+    held, size = [], 0
+    for record in records:
+        if held and size + len(record) > most_bytes:
+            yield (separator.join(held if head is None else [head, *held]),)
+            held, size = [], 0
+        held.append(record)
+        size += len(record)
+    if held:
+        yield (separator.join(held if head is None else [head, *held]),)
+
+
+def write_archives(archives: DataFrame, separator: str, folder: str) -> None:
+    """Each row of the binary column ``record`` as a file of its own."""
+    archives.select(F.col("record").cast("string")).write.option("lineSep", separator).option("maxRecordsPerFile", 1).options(**_GZIP).text(folder)
+
+
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[bytes]:
     for batch in batches:
         for content in batch.column("content"):
             yield gzip.decompress(content.as_buffer())
 
 
-def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Pages as ARC archives under ``folder/v1`` and ``folder/v2``, half of the ids each."""
+def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Pages as ARC archives of bounded size under ``folder/v1`` and ``folder/v2``, half of the ids each."""
     schema = pa.schema([("record", pa.binary())])
     date = "20200101000000"
 
     def render(version: int):
         def run(batches):
             def rows():
-                yield (arc_version_block(version, f"pages-v{version}.arc", date),)
                 for batch in batches:
                     for i, url, html in zip(batch.column("i").to_pylist(), batch.column("url").to_pylist(), batch.column("html").cast(pa.large_binary()), strict=True):
                         body = html.as_py() or b""
                         key = NO_ID if i is None else b"%d" % i
                         head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%s: %s\r\nContent-Length: %d\r\n\r\n" % (ID_HEADER, key, len(body))
-                        yield (arc_record(version, head + body, url=url or "-", ip="0.0.0.0", date=date, mime="text/html", status="200"),)
+                        yield arc_record(version, head + body, url=url or "-", ip="0.0.0.0", date=date, mime="text/html", status="200")
 
-            yield from in_batches(rows(), schema)
+            block = arc_version_block(version, f"pages-v{version}.arc", date)
+            yield from in_batches(in_archives(rows(), b"\n", archive_bytes, block), schema)
 
         return run
 
     rows = pages.select(F.col(id_col).cast("long").alias("i"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     for version in (1, 2):
         own = rows.filter(F.coalesce(F.pmod("i", F.lit(2)), F.lit(0)) == version - 1)
-        own.mapInArrow(render(version), "record binary").select(F.col("record").cast("string")).write.option("lineSep", "\n").options(**_GZIP).text(f"{folder}/v{version}")
+        write_archives(own.mapInArrow(render(version), "record binary"), "\n", f"{folder}/v{version}")
 
 
 def read_arc(spark: SparkSession, *folders: str) -> DataFrame:
@@ -158,7 +178,7 @@ def read_arc(spark: SparkSession, *folders: str) -> DataFrame:
     return files.select("content").mapInArrow(run, "page_id long, url string, date string, mime string, body binary, digest string")
 
 
-def arc_to_warc(spark: SparkSession, arc_folders: list[str], warc_folder: str) -> None:
+def arc_to_warc(spark: SparkSession, arc_folders: list[str], warc_folder: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Convert ARC archives to WARC archives with response and revisit records."""
     digests = read_arc(spark, *arc_folders).select("page_id", "digest", F.octet_length("body").alias("n"), "url")
     digests = stored(digests, "arc-digests")
@@ -187,11 +207,11 @@ def arc_to_warc(spark: SparkSession, arc_folders: list[str], warc_folder: str) -
                         body = b""
                     block = head + body
                     headers |= {"WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type": "application/http;msgtype=response"}
-                    yield (warc_record(headers, block),)
+                    yield warc_record(headers, block)
 
-        yield from in_batches(rows(), schema)
+        yield from in_batches(in_archives(rows(), b"\r\n\r\n", archive_bytes), schema)
 
-    records.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.option("lineSep", "\r\n\r\n").options(**_GZIP).text(warc_folder)
+    write_archives(records.mapInArrow(run, "record binary"), "\r\n\r\n", warc_folder)
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,7 +239,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("content").mapInArrow(run, "page_id long, record_type string, record_id string, url string, payload_bytes long, payload_digest string, payload binary, refers_to long")
 
 
-def pages_to_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def pages_to_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Pages through ARC archives and the converter to WARC archives, which are read back.
 
     One row per page: ``page_id, payload_bytes, payload_digest, record_type,
@@ -232,6 +252,6 @@ def pages_to_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """
     spark = pages.sparkSession
     folder = scratch(spark, "archives")
-    write_arc(pages, f"{folder}/arc", id_col, url_col, html_col)
-    arc_to_warc(spark, [f"{folder}/arc/v1", f"{folder}/arc/v2"], f"{folder}/warc")
+    write_arc(pages, f"{folder}/arc", id_col, url_col, html_col, archive_bytes)
+    arc_to_warc(spark, [f"{folder}/arc/v1", f"{folder}/arc/v2"], f"{folder}/warc", archive_bytes)
     return read_warc(spark, f"{folder}/warc").drop("payload")

@@ -78,3 +78,16 @@ def test_a_url_that_looks_like_a_version_block(spark):
 def test_a_file_without_a_version_block_is_an_error():
     with pytest.raises(ValueError, match="version block"):
         list(warc.parse_arc(warc.arc_record(1, b"x", url="u") + b"\n"))
+
+
+def test_archives_are_bounded_and_whole(spark):
+    folder, most = warc.scratch(spark, "bounded"), 2_000
+    pages = messy(spark).coalesce(1)
+    warc.write_arc(pages, folder + "/arc", archive_bytes=most)
+    warc.arc_to_warc(spark, [folder + "/arc/v1", folder + "/arc/v2"], folder + "/warc", archive_bytes=most)
+    arcs, warcs = ([gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder + kind).collect()] for kind in ("/arc", "/warc"))
+    assert len(arcs) > 3 and len(warcs) > 3
+    for files, parse in ((arcs, warc.parse_arc), (warcs, warc.parse_warc)):
+        counts = [len(list(parse(content))) for content in files]
+        assert sum(counts) == pages.count() and all(n == 1 or len(content) < most + 500 for n, content in zip(counts, files, strict=True))
+    assert sorted(map(repr, warc.pages_to_warc(pages, archive_bytes=most).drop("record_id").collect())) == sorted(map(repr, warc.pages_to_warc(pages).drop("record_id").collect()))
