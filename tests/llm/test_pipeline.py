@@ -19,7 +19,7 @@ def ids(df):
 def test_every_query_is_registered():
     assert set(queries.registry()) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(oracle.registry()) <= set(__spark_entry__.oracle_sql())
-    assert [int(n[2:].split("_")[0]) for n in queries.registry()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.registry()] == list(range(1, 14))
 
 
 def test_stages_equal_their_operators_on_what_is_left(spark, small_docs):
