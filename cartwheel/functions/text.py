@@ -14,6 +14,8 @@ PY_WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_ODD_ASCII = r"[\x09-\x0d\x1c-\x1f]"
+
 
 def split_fields(line: Column | str, sep: str = ",") -> Column:
     """CLN1: naive split on the delimiter; quotes are not honoured, empty
@@ -34,6 +36,18 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(PY_WHITESPACE))
 
 
+def has_odd_whitespace(c: Column) -> Column:
+    """May a text hold whitespace other than spaces? (All that isn't ASCII may.)"""
+    return (F.octet_length(c) != F.char_length(c)) | (F.regexp_instr(c, F.lit(_ODD_ASCII)) > 0)
+
+
+def strip_of(c: Column, odd: Column) -> Column:
+    """``strip`` of a part of a text of which ``odd`` says whether it may have odd whitespace.
+
+    Without any, the trim of spaces does, which looks no character up in a set."""
+    return F.when(odd, strip(c)).otherwise(F.trim(c))
+
+
 def unquote(c: Column) -> Column:
     """CLN4: drop every double quote (after strip, so inner spaces survive)."""
     return F.replace(c, F.lit('"'), F.lit(""))

@@ -19,6 +19,10 @@ REQUIRED_CONF = {
     # Spark 4 default; the cleaners use try_* / get so ANSI never throws on data.
     "spark.sql.ansi.enabled": "true",
 }
+# The JVM never compiles a method of more than 8,000 bytes of bytecode: such generated
+# code is interpreted for every row. Beyond this limit Spark runs the operators by
+# themselves, whose generated code it splits into small methods.
+COMPILED_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 # Settings that make the plans scale (AQE re-plans joins from runtime sizes,
 # splits skewed join partitions and coalesces small shuffle partitions).
@@ -65,7 +69,7 @@ def get_session(
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **SCALE_CONF}
+    conf = {**REQUIRED_CONF, **COMPILED_CONF, **SCALE_CONF}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

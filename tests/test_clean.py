@@ -1,6 +1,7 @@
 """Golden lines for each cleaner (cases from FIXTURES.md §5)."""
 
 import datetime as dt
+import re
 
 from line_frames import lines_df
 
@@ -130,3 +131,34 @@ def test_holiday_quoted_names_option(spark):
         ],
         key=str,
     )
+
+
+def test_generated_code_of_the_cleaners_is_small_enough_to_be_compiled(spark):
+    """Beyond 8,000 bytes the JVM interprets a method; Spark then has to run the operators by themselves."""
+    from cartwheel.session import COMPILED_CONF
+
+    assert all(spark.conf.get(k) == v for k, v in COMPILED_CONF.items())
+    lines = spark.createDataFrame([("1,01,2020-01-01 1:2:3,,c,p,1.005,2,X",)], "value string").repartition(2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        clean = cln.clean_rows(cln.parse_lines(lines, cln.ORDER_ITEM), cln.ORDER_ITEM)
+        code = clean._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # before: 38,228
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 16_000
+
+
+def test_strip_and_timestamps_off_the_plain_path(spark):
+    lines = [
+        "\x1f1\xa0, 01\t, 2020/2/ 3 \t4:5:6 ,　2020.12.31 1:02:03, c , p, 1.5,2\x1c, X ",
+        "2,1,2020-02-30 1:2:3,2020-02/03 1:2:3,c,p,1,2,X",
+        "3,1,٢020-02-03 1:2:3,2020-02-03  1:2:3,c,p,1,2,X",
+    ]
+    got = cln.clean_order_item(spark.createDataFrame([(v,) for v in lines], "value string")).orderBy("order_id").collect()
+    stamp = lambda *a: dt.datetime(*a)
+    assert [(r.order_id, r.order_item_id, r.order_purchase_timestamp, r.order_approved_at, r.customer_id, r.product_id, r.price, r.freight_value, r.order_status) for r in got] == [
+        ("1", "1", stamp(2020, 2, 3, 4, 5, 6), stamp(2020, 12, 31, 1, 2, 3), "c", "p", 1.5, 2.0, "X"),
+        ("2", "1", None, None, "c", "p", 1.0, 2.0, "X"),
+        ("3", "1", stamp(2020, 2, 3, 1, 2, 3), stamp(2020, 2, 3, 1, 2, 3), "c", "p", 1.0, 2.0, "X"),
+    ]
