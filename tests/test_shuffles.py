@@ -38,3 +38,14 @@ def test_items_joined_with_orders_are_not_shuffled_again_for_the_facts_orders(sp
     rows = joined.select("order_id", "order_item_id", "product_id", "customer_id", "price").collect()
     expected = [(str(i), str(n), str(i % 4), str(i % 3), 10.0 + i) for i in range(8) for n in (1, 2)] + [("3", "1", "3", "0", 13.0)]
     assert sorted(map(tuple, rows)) == sorted(expected)
+
+
+def test_a_merge_shuffles_its_source_once_for_updates_and_inserts(spark, tables):
+    merged = queries.merge_order_item(spark, tables)
+    plan = _plan(merged)
+    # of the five scans two are of rows with null keys, one of the target, one of its keys; before: six
+    assert plan.count("FileScan parquet [l_orderkey") == 5
+    # the join of items and orders lies by order_id for the newest row of each key
+    assert plan.count("- Exchange hashpartitioning") == 15
+    rows = {(r.order_id, r.order_item_id, r.product_id): r for r in merged.collect() if r.order_id is not None}
+    assert rows[("2", "1", "2")].freight_value == 0.05 and rows[("3", "1", "3")].price == 13.0
