@@ -140,3 +140,36 @@ def test_calendar_bounds_each_on_its_own(spark, scratch):
     assert span(with_day_of_week=False, run_date=dt.date(2019, 5, 5)) == ("2016-01-01", "2020-12-31")
     with pytest.raises(ValueError):
         loads.build_calendar(spark, wh, hi="2017-01-31", end_year=2018)
+
+
+def test_independent_drops_load_side_by_side(spark, scratch, monkeypatch):
+    """The four drops' loads wait for each other; one after the other none would ever meet the next."""
+    import threading
+
+    meet, loaded = threading.Barrier(4, timeout=60), {}
+
+    def load(spark, name, drop, wh, header, latest_by):
+        meet.wait()
+        loaded[name] = (spark.read.text(drop).collect()[0].value, header, latest_by)
+
+    for name in ("customer", "product", "order", "order_item"):
+        monkeypatch.setattr(roles, f"{name}_lines", lambda spark, sf_dir, name=name: spark.createDataFrame([(f"a {name}",)], "value string"))
+    monkeypatch.setattr(loads, "load_dimension", load)
+    queries._load_drops(spark, SF, loads.Warehouse(scratch))
+    assert loaded == {
+        "d_customer": ("a customer", False, None),
+        "d_product": ("a product", False, None),
+        "d_order": ("a order", False, None),
+        "d_order_item": ("a order_item", False, ["price", "freight_value"]),
+    }
+
+
+def test_a_failed_load_is_raised_after_the_others_ended(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("no such drop")
+
+    with pytest.raises(ValueError, match="no such drop"):
+        queries._side_by_side(spark, [fails, lambda: ended.append(spark.range(3).count())])
+    assert ended == [3]
