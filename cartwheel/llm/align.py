@@ -17,6 +17,7 @@ A pair of ids is counted once for each document that holds it linked.
 from __future__ import annotations
 
 import functools
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -102,8 +103,8 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(n)]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
         self.length = np.fromiter(map(len, self.bytes_of), np.int64, n)
-        self.space = self.model.piece_to_id(_MARK)
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.spaces = array("I", [self.model.piece_to_id(_MARK)]).tobytes()
+        self.known: dict[bytes, bytes] = {}
         self.odd: set[bytes] = set()
         self.by_word = not any(_MARK in p.lstrip(_MARK) for p in names) and self._takes_texts_as_they_are(path)
 
@@ -120,16 +121,21 @@ class Pieces:
         by_hand = any(p.type == p.USER_DEFINED for p in spec.pieces)
         return how.add_dummy_prefix and not (how.precompiled_charsmap or how.remove_extra_whitespaces or by_hand)
 
-    def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of words that begin with a space, which the model adds by itself. ``odd`` has those that their pieces don't give back."""
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids (unsigned, 32 bits each) of words that begin with a space, which the model adds by itself. ``odd`` has those that their pieces don't give back."""
         if len(self.known) > bpe.MOST_WORDS or not self.by_word:
             self.forget()
         new = [w for w in words if w not in self.known]
-        for w, ids in zip(new, self.model.encode([w[1:].decode() for w in new], num_threads=1)):
-            ids = (self.space,) if w == b" " else tuple(ids)
-            self.known[w] = ids
-            if b"".join([self.bytes_of[i] for i in ids]) != w:
-                self.odd.add(w)
+        found = self.model.encode([w[1:].decode() for w in new], num_threads=1)
+        found = [self.spaces if w == b" " else array("I", ids).tobytes() for w, ids in zip(new, found)]
+        self.known.update(zip(new, found))
+        # what the pieces give back is compared at once, and word by word only where it isn't all the same
+        given, n = bpe.spread(found, np.arange(len(found)))
+        ends = np.cumsum(n)
+        lengths = np.diff(np.concatenate([[0], np.cumsum(self.length[given])])[np.concatenate([[0], ends])])
+        same = lengths == np.fromiter(map(len, new), np.int64, len(new))
+        if not same.all() or b"".join([self.bytes_of[i] for i in given.tolist()]) != b"".join(new):
+            self.odd.update(w for w, ids in zip(new, found) if b"".join([self.bytes_of[i] for i in np.frombuffer(ids, np.uint32)]) != w)
         return [self.known[w] for w in words]
 
     def forget(self) -> None:
@@ -171,7 +177,7 @@ def _piece_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.n
     cuts = np.flatnonzero(cuts)
     words, numbers = bpe.distinct_words(data, cuts)
     ids = model.encode(words)
-    odd = np.array([w in model.odd for w in words], bool)
+    odd = np.array([w in model.odd for w in words] if model.odd else np.zeros(len(words)), bool)
     flat, n = bpe.spread(ids, numbers)
     bounds = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(cuts, offsets)]
     same = np.ones(len(texts), bool)

@@ -16,10 +16,10 @@ and distinct words are found by numpy and Arrow.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 # Pairs of tokens whose seam was looked at are remembered, so many at most in a worker.
 MOST_PAIRS = 300_000
-# So are the ids of words, until more than so many are known.
-MOST_WORDS = 150_000
+# So are the automaton's steps, and the ids of words and their pieces, until more than so many are known.
+MOST_STEPS = 300_000
+MOST_WORDS = 400_000
 # Ids are decoded so many at a time, a longer sequence by itself.
 CHUNK_IDS = 1 << 19
 
@@ -91,7 +92,8 @@ class Vocabulary:
             self.merge[ids[left], ids[right]] = place
             self.made_by.setdefault(token, (place, ids[left], ids[right]))
         self.seams: dict[int, bool] = {}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.steps: dict[int, int] = {}
+        self.known: dict[bytes, bytes] = {}
 
     @functools.cached_property
     def as_column(self) -> pa.Array:
@@ -137,6 +139,7 @@ class Vocabulary:
     def forget(self) -> None:
         """Drop what is remembered; an idle worker keeps its memory."""
         self.seams.clear()
+        self.steps.clear()
         self.known.clear()
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -193,47 +196,63 @@ class Trie:
 
 
 def encode_words(vocab: Vocabulary, words: list[bytes]) -> list[tuple[int, ...]]:
-    """Ids of distinct words, by a depth-first walk over their trie.
+    """Ids of distinct words."""
+    return [tuple(array("I", ids)) for ids in word_ids(vocab, words)]
+
+
+def word_ids(vocab: Vocabulary, words: list[bytes]) -> list[bytes]:
+    """Ids (unsigned, 32 bits each) of distinct words, by a depth-first walk over their trie.
 
     ``last[d]`` is the last token of the first d bytes of the path, ``states[d]`` the
     state there of the automaton that names the candidates.
     """
-    (step, shorter, ending), seams = vocab.automaton, vocab.seams
+    (step, shorter, ending), seams, steps = vocab.automaton, vocab.seams, vocab.steps
+    if len(steps) >= MOST_STEPS:
+        steps.clear()
     sizes = vocab.length.tolist()
     last, states = [-1], [0]
-    out: list[tuple[int, ...]] = [()] * len(words)
+    out = [b""] * len(words)
     for shared, number in Trie(words).edges:
         word = words[number]
         del last[shared + 1 :], states[shared + 1 :]
         state = states[shared]
-        for here in range(shared, len(word)):
-            byte = word[here]
-            after = step.get(state << 8 | byte)
-            while after is None and state:
-                state = shorter[state]
-                after = step.get(state << 8 | byte)
-            state = after or 0
+        here = shared
+        for byte in word[shared:]:
+            here += 1
+            key = state << 8 | byte
+            state = steps.get(key)
+            if state is None:
+                state = steps[key] = _step(step, shorter, key)
             states.append(state)
             for size, token in ending[state]:
-                before = here + 1 - size
-                if before:
-                    fits = seams.get(last[before] << 32 | token)
+                if size < here:
+                    pair = last[here - size] << 32 | token
+                    fits = seams.get(pair)
                     if fits is None:
-                        fits = vocab.stay_apart(last[before], token)
+                        fits = vocab.stay_apart(pair >> 32, token)
                     if not fits:
                         continue
                 last.append(token)
                 break
             else:
-                raise ValueError(f"bytes without a token: {word[: here + 1]!r}")
-        ids, at = [], len(word)
+                raise ValueError(f"bytes without a token: {word[:here]!r}")
+        ids, at = array("I"), len(word)
         while at:
             ids.append(last[at])
             at -= sizes[last[at]]
-        out[number] = tuple(ids[::-1])
+        ids.reverse()
+        out[number] = ids.tobytes()
     return out
 
 
+def _step(step: dict[int, int], shorter: list[int], key: int) -> int:
+    """The state after a state and a byte (``state << 8 | byte``): the longest prefix of a token that the bytes so far end in."""
+    state, byte = key >> 8, key & 0xFF
+    while (after := step.get(state << 8 | byte)) is None and state:
+        state = shorter[state]
+    return after or 0
+
+
 def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column without nulls, and where each value starts (one more for the end)."""
     column = column.cast(pa.large_binary())
@@ -322,10 +341,10 @@ def distinct_words(data: np.ndarray, cuts: np.ndarray) -> tuple[list[bytes], np.
     return numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
 
 
-def spread(ids: list[tuple[int, ...]], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spread(ids: list[bytes], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``ids`` of the words numbered so, one after the other, and how many each has."""
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    pool = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    pool = np.frombuffer(b"".join(ids), np.uint32)
     n = lengths[numbers]
     return pool[ranges((np.cumsum(lengths) - lengths)[numbers], n)], n
 
@@ -350,12 +369,13 @@ def encode_texts(path: str, texts: pa.Array, specials: bool = True) -> tuple[np.
     if len(vocab.known) > MOST_WORDS:
         vocab.known.clear()
     known = vocab.known
-    known.update((w, (i,)) for w, i in special.items())
+    known.update((w, array("I", [i]).tobytes()) for w, i in special.items())
     new = [w for w in words if w not in known]
-    piece_of: dict[bytes, int] = {}
-    parts = [[piece_of.setdefault(p, len(piece_of)) for p in _pieces(path, w)] for w in new]
-    of_piece = encode_words(vocab, list(piece_of))
-    known.update((w, of_piece[p[0]] if len(p) == 1 else tuple(i for k in p for i in of_piece[k])) for w, p in zip(new, parts))
+    # a piece is the one piece of itself, so its ids are known like those of a word
+    parts = [_pieces(path, w) for w in new]
+    pieces = list({p for of_word in parts for p in of_word if p not in known})
+    known.update(zip(pieces, word_ids(vocab, pieces)))
+    known.update((w, b"".join([known[p] for p in of_word])) for w, of_word in zip(new, parts) if len(of_word) != 1)
     ids = [known[w] for w in words]
     for w in special:
         del known[w]  # as plain text they have other ids

@@ -151,3 +151,19 @@ def test_query_digests(spark, monkeypatch, library, small_docs):
     for i, t in pairs_of(small_docs):
         ids = library.encode(t or "", add_special_tokens=False).ids
         assert got[i] == (len(ids), sha(",".join(map(str, ids))), sha(t or ""))
+
+
+def test_known_pieces_are_not_encoded_again(monkeypatch):
+    """The pieces of a word are remembered like words, and for many chunks of texts."""
+    taken, encode = [], bpe.word_ids
+    monkeypatch.setattr(bpe, "word_ids", lambda vocab, words: taken.extend(words) or encode(vocab, words))
+    bpe.vocabulary(PATH).forget()
+    first, _ = bpe.encode_texts(PATH, pa.array(["quorble, zimp"], pa.large_string()))
+    assert sorted(taken) == [b" zimp", b",", b"quorble"]
+    taken.clear()
+    again, bounds = bpe.encode_texts(PATH, pa.array(["quorble zimp, quorble!", "zimp"], pa.large_string()))
+    assert sorted(taken) == [b" quorble", b"!", b"zimp"]
+    bpe.vocabulary(PATH).forget()
+    fresh, _ = bpe.encode_texts(PATH, pa.array(["quorble zimp, quorble!", "zimp"], pa.large_string()))
+    assert again.tolist() == fresh.tolist() and bounds[-1] == len(again) and len(first)
+    bpe.vocabulary(PATH).forget()
