@@ -1,5 +1,6 @@
 """The Jaccard join against all pairs."""
 
+import pickle
 import random
 
 import numpy as np
@@ -110,3 +111,34 @@ def test_components_of_a_long_chain_and_a_star(spark):
     star = [(1000, 1000 + i) for i in range(1, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(200)}
+
+
+def test_frequent_shingles_are_searched_where_they_lie(spark):
+    """The sorted hashes lie in one piece in a task, too; else every search copies them."""
+    _, last = jaccard.shapes(spark.createDataFrame([(i, "a b c d e f g") for i in range(20)], "doc_id long, text string").coalesce(1))
+    found = pickle.loads(pickle.dumps(last, 5))
+    assert len(found) == 3 and found[:, 0].flags.c_contiguous and (np.diff(found[:, 0].astype(object)) > 0).all()
+
+
+def test_a_long_run_is_dropped_after_its_prefix(monkeypatch):
+    rng = np.random.default_rng(5)
+    probe, other = (np.unique(rng.integers(0, 2**62, 1000).astype(np.uint64)) for _ in range(2))
+    tree, looked_up, search = prefix_tree([other]), [], np.searchsorted
+    monkeypatch.setattr(jaccard.np, "searchsorted", lambda a, v, side="left": looked_up.append(np.size(v)) or search(a, v, side))
+    assert list(similar_in_tree(tree, probe)) == [] and sum(looked_up) <= prefix_length(1000) + 1
+
+
+def test_a_walk_finds_what_all_pairs_find():
+    rng = np.random.default_rng(6)
+    bases = [rng.integers(0, 2**62, n).astype(np.uint64) for n in (3, 40, 200, 400)]
+    sets = []
+    for base in bases:
+        for _ in range(25):
+            kept = base[rng.random(len(base)) < rng.choice([0.7, 0.87, 0.95, 1.0])]
+            more = rng.integers(0, 2**62, rng.integers(0, 1 + len(base) // 4)).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[:1], kept, more])))
+    tree = prefix_tree(sets)
+    for probe in sets:
+        similar = {k for k, s in enumerate(sets) if 4 * len(np.intersect1d(s, probe)) >= 3 * len(np.union1d(s, probe))}
+        found = list(similar_in_tree(tree, probe))
+        assert set(found) == similar and len(found) == len(similar)
