@@ -38,15 +38,18 @@ CHUNK_BYTES = 16 << 20
 # Letters, numbers and white space of the tokenizer's pattern below U+0180, lower-cased.
 # Every text there is in normal form; only U+0130 has a lower case of two characters.
 _L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
-# Texts outside that range, or with what may be a special token.
-_ODD_TEXT = r"[\x{130}\x{180}-\x{10ffff}]|<\|"
-# The byte-level alphabet: printable bytes stand for themselves, the others for U+0100 on.
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+|\n")  # \n: the end of a word
+# Words outside that range, or with what may be a special token.
+_ODD_WORD = r"[\x{130}\x{180}-\x{10ffff}]|<\|"
+# The byte-level alphabet: printable bytes stand for themselves, the others for U+0100 on. Pieces have no space.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
+_BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE) if b != 0x20}
+_WORDS_AT_ONCE = 1 << 16
+_PIECES_AT_ONCE = 1 << 10
+_LAST_OF_PIECE = "</w>"
 
 _HEAD = "<qBIII"
-_LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
+_CODES = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3).astype(np.uint8)
 
 
 @functools.lru_cache(maxsize=2)
@@ -54,7 +57,8 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would take the others'
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, _Pieces(tokenizer)
 
 
 # How a file must normalise and cut texts for the rules above.
@@ -89,96 +93,181 @@ def ids_of_texts(path: str, column: pa.Array, chunk_bytes: int = CHUNK_BYTES) ->
     cuts in another way are encoded whole by the library.
     """
     if not cut_as_known(path):
-        for texts_at_once, _ in _chunks(column, chunk_bytes):
-            for ids in _ids_of_odd(path, texts_at_once.to_pylist()):
-                yield np.frombuffer(ids, "<u4")
+        for texts_at_once in _chunks(column, chunk_bytes):
+            for ids in _tokenizer(path)[0].encode_batch(texts_at_once.to_pylist(), add_special_tokens=False):
+                yield np.array(ids.ids, "<u4")
         return
-    for texts_at_once, odd in _chunks(column, chunk_bytes):
-        words = pc.ascii_split_whitespace(texts_at_once if odd else pc.utf8_lower(texts_at_once))
+    for texts_at_once in _chunks(column, chunk_bytes):
+        words = pc.ascii_split_whitespace(texts_at_once)
         numbered = words.flatten().dictionary_encode()
-        different = numbered.dictionary.to_pylist()
-        ids = _ids_of_odd(path, different) if odd else _ids_of_plain(path, different, chunk_bytes // 80)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        word = numbered.indices.to_numpy()
-        n = lengths[word]
-        ends = np.cumsum(n)
-        take = np.repeat((starts[word] - (ends - n)).astype(np.int32), n)
-        take += np.arange(len(take), dtype=np.int32)
-        flat = pool[take]
-        at = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        firsts = words.offsets.to_numpy() - words.offsets[0].as_py()
+        del words
+        pool, lengths = _ids_of_words(path, numbered.dictionary.cast(pa.large_string()), chunk_bytes)
+        flat, ends = _gathered(pool, lengths, numbered.indices.to_numpy())
+        at = np.concatenate([[0], ends])[firsts]
+        del numbered, ends
         for low, high in zip(at, at[1:]):
             yield flat[low:high]
 
 
-def _ids_of_odd(path: str, words: list[str]) -> list[bytes]:
-    found = _tokenizer(path)[0].encode_batch(words, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+def _gathered(pool: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences numbered ``which`` of those that stand in ``pool`` one after the other, and where each ends."""
+    n = lengths[which]
+    ends = np.cumsum(n, dtype=np.int32)
+    first = (np.cumsum(lengths, dtype=np.int32) - lengths)[which]
+    first += n
+    first -= ends
+    take = np.repeat(first, n)
+    take += np.arange(len(take), dtype=np.int32)
+    return pool[take], ends
 
 
-def _ids_of_plain(path: str, words: list[str], most_pieces: int) -> list[bytes]:
-    """Ids of lower-case words of the Latin range, as bytes.
+def _ids_of_words(path: str, words: pa.Array, most_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words one after the other, and how many each has.
 
-    There the tokenizer's normalisation is plain lower-casing and its letters, digits
-    and marks are known, so a word is cut as it cuts it and the pieces go to its
-    model; they are remembered (a bounded cache per worker).
+    In the Latin range the tokenizer's normalisation is plain lower-casing and its
+    letters, digits and marks are known, so a word is cut as it cuts it and the
+    pieces go to its model. Other words go to the library as they are.
+    """
+    tokenizer, pieces = _tokenizer(path)
+    is_odd = pc.match_substring_regex(words, _ODD_WORD)
+    pool, lengths = pieces.ids_of_words(pc.utf8_lower(words.filter(pc.invert(is_odd))), most_bytes)
+    odd = np.flatnonzero(is_odd.to_numpy(zero_copy_only=False))
+    if not len(odd):
+        return pool, lengths
+    found = [np.array(e.ids, "<u4") for e in tokenizer.encode_batch(words.take(pa.array(odd)).to_pylist(), add_special_tokens=False)]
+    both = np.concatenate([lengths, np.fromiter(map(len, found), np.int32, len(found))])
+    place = np.empty(len(words), np.int64)
+    place[odd] = np.arange(len(lengths), len(both))
+    place[np.flatnonzero(~is_odd.to_numpy(zero_copy_only=False))] = np.arange(len(lengths))
+    return _gathered(np.concatenate([pool, *found]), both, place)[0], both[place]
+
+
+class _Pieces:
+    """Ids of pieces of words, remembered by a worker (``most_bytes`` twice over; then those of the last words, or none).
+
+    ``known`` holds the pieces, their ids stand one after the other in ``pool``,
+    ``lengths`` each. The first is the end of a word, which has no ids.
     """
-    tokenizer, cache = _tokenizer(path)
-    model, out = tokenizer.model, []
-    if len(cache) > most_pieces:
-        cache.clear()
-    for word in words:
-        parts = _PIECE.findall(word)
-        for p in parts:
-            if p not in cache:
-                plain = p.isascii() and p.isprintable()
-                ids = [t.id for t in model.tokenize(p if plain else p.encode().decode("latin-1").translate(_BYTE_LETTERS))]
-                cache[p] = struct.pack(f"<{len(ids)}I", *ids)
-        out.append(cache[parts[0]] if len(parts) == 1 else b"".join([cache[p] for p in parts]))
-    return out
-
 
-def _chunks(column: pa.Array, most_bytes: int) -> Iterator[tuple[pa.Array, bool]]:
-    """Slices of the column (nulls as empty) of about ``most_bytes``, a longer text by itself, and whether their texts are odd."""
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.model = Tokenizer(tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_piece = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if getattr(tokenizer.model, "end_of_word_suffix", None) == _LAST_OF_PIECE:
+            self.ends_piece[[i for token, i in vocabulary.items() if token.endswith(_LAST_OF_PIECE)]] = True
+        self.known, self.pool, self.lengths = pa.array(["\n"], pa.large_string()), np.zeros(0, "<u4"), np.zeros(1, np.int32)
+
+    def ids_of_words(self, words: pa.Array, most_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-case words of the Latin range one after the other, and how many each has."""
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int32)
+        parts = [pa.array(_PIECE.findall(text + "\n"), pa.large_string()) for text in _joined(words, "\n", _WORDS_AT_ONCE)]
+        numbered = pa.chunked_array([self.known, *parts]).dictionary_encode()
+        del parts
+        all_known = numbered.chunk(0).dictionary
+        ids, lengths = self._encoded(all_known.slice(len(self.known)))
+        self.known, self.pool, self.lengths = all_known, np.concatenate([self.pool, ids]), np.concatenate([self.lengths, lengths])
+        which = np.concatenate([c.indices.to_numpy() for c in numbered.chunks[1:]])
+        ids, ends = _gathered(self.pool, self.lengths, which)
+        if self.nbytes() > 2 * most_bytes:
+            self._keep(np.flatnonzero(np.bincount(which)))
+        if self.nbytes() > 2 * most_bytes:
+            self._keep(np.zeros(1, np.int64))
+        return ids, np.diff(ends[which == 0], prepend=0)
+
+    def nbytes(self) -> int:
+        return self.known.nbytes + self.pool.nbytes + self.lengths.nbytes
+
+    def _keep(self, which: np.ndarray) -> None:
+        self.pool = _gathered(self.pool, self.lengths, which)[0]
+        self.known, self.lengths = self.known.take(pa.array(which)), self.lengths[which]
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.pool[:0]]
+        for text in _joined(pieces, " ", _PIECES_AT_ONCE):
+            text = text if text.isascii() and text.isprintable() else _byte_letters(text)
+            found.append(np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(found)
+        ends = np.flatnonzero(self.ends_piece[ids])
+        if len(ends) == len(pieces):
+            return ids, np.diff(ends, prepend=-1).astype(np.int32)
+        # a vocabulary that leaves out bytes or doesn't mark the last token of a piece
+        each = [[t.id for t in self.model.model.tokenize(_byte_letters(p))] for p in pieces.to_pylist()]
+        return np.array([i for x in each for i in x], "<u4"), np.array([len(x) for x in each], np.int32)
+
+
+def _joined(words: pa.Array, between: str, at_once: int) -> Iterator[str]:
+    """The words as texts of ``at_once`` words each (the last has the rest)."""
+    for low in range(0, len(words), at_once):
+        some = words.slice(low, at_once)
+        yield pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), pa.scalar(between, pa.large_string()))[0].as_py()
+
+
+def _byte_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
+def _chunks(column: pa.Array, most_bytes: int) -> Iterator[pa.Array]:
+    """Slices of the column (nulls as empty) of about ``most_bytes``, a longer text by itself."""
     if column.null_count:
         column = pc.fill_null(column, "")
-    odd = pc.match_substring_regex(column, _ODD_TEXT).to_numpy(zero_copy_only=False).astype(bool)
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)) // most_bytes
-    cuts = [0, *(np.flatnonzero((np.diff(ends) > 0) | (odd[1:] != odd[:-1])) + 1), len(column)]
+    cuts = [0, *(np.flatnonzero(np.diff(ends) > 0) + 1), len(column)]
     for low, high in zip(cuts, cuts[1:]):
         if high > low:
-            yield column.slice(low, high - low).cast(pa.large_string()), bool(odd[low])
+            yield column.slice(low, high - low)
             pa.default_memory_pool().release_unused()
 
 
-def _padded(n: np.ndarray) -> np.ndarray:
-    """Where the values of sequences of ``n`` values stand when each is padded to fours."""
-    whole = (n + 3) // 4 * 4
-    return np.repeat(np.cumsum(whole) - whole - (np.cumsum(n) - n), n) + np.arange(n.sum())
+def _filled(n: np.ndarray) -> np.ndarray:
+    """Of the places of sequences of ``n`` values, each padded to fours: whether a value stands there."""
+    ends = np.cumsum((n + 3) // 4 * 4)
+    out = np.ones(ends[-1] if len(ends) else 0, bool)
+    for k in range(1, 4):
+        out[(ends - k)[-n % 4 >= k]] = False
+    return out
+
+
+def _used(code: np.ndarray, width: int) -> np.ndarray:
+    """Which bytes of values of ``width`` bytes are kept, one more than ``code`` each."""
+    out = np.ones((len(code), width), bool)
+    for k in range(1, width):
+        out[:, k] = code >= k
+    return out.reshape(-1)
 
 
 def vbyte_encode(values: np.ndarray, n: np.ndarray) -> tuple[list[bytes], list[bytes]]:
     """Control bytes and data bytes of sequences of unsigned 32-bit values, ``n`` values each, one after the other."""
-    v = values.astype("<u4")
-    code = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    four = np.zeros((n + 3).sum() // 4 * 4 + 4 * len(n), np.uint8)
-    four[_padded(n)] = code
+    v = values.astype("<u4", copy=False)
+    width = max(1, (int(v.max(initial=0)).bit_length() + 7) // 8)
+    code = np.zeros(len(v), np.uint8)
+    for k in range(1, width):
+        code += v >= 1 << 8 * k
+    filled = _filled(n)
+    four = np.zeros(len(filled), np.uint8)
+    four[filled] = code
     four = four.reshape(-1, 4)
     control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).astype(np.uint8).tobytes()
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
+    if width <= 2:
+        v = v.astype("<u2")
+    data = v.view(np.uint8)[_used(code, v.itemsize)].tobytes()
     ends = np.concatenate([[0], np.cumsum(n)])
-    of_data = np.concatenate([[0], np.cumsum(code, dtype=np.int64) + np.arange(1, len(v) + 1)])[ends].tolist()
+    of_data = (np.concatenate([[0], np.cumsum(code, dtype=np.int64)])[ends] + ends).tolist()
     of_control = np.concatenate([[0], np.cumsum((n + 3) // 4)]).tolist()
     return [control[a:b] for a, b in zip(of_control, of_control[1:])], [data[a:b] for a, b in zip(of_data, of_data[1:])]
 
 
 def vbyte_decode(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
     """Values of sequences of ``n`` values each, whose control bytes and data bytes stand one after the other."""
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[_padded(n)]
-    out = np.zeros((len(lengths), 4), np.uint8)
-    out[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").reshape(-1)
+    code = _CODES[np.frombuffer(control, np.uint8)].reshape(-1)[_filled(n)]
+    kind = np.dtype("<u2" if code.max(initial=0) < 2 else "<u4")
+    out = np.zeros(len(code) * kind.itemsize, np.uint8)
+    out[_used(code, kind.itemsize)] = np.frombuffer(data, np.uint8)
+    return out.view(kind).astype("<u4", copy=False)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -195,7 +284,6 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
                     yield i, len(tokens), wide, tokens.astype("<u4" if wide else "<u2").tobytes()
 
         yield from in_batches(rows(), schema, most_bytes=8 << 20)
-        _tokenizer(tokenizer_path)[1].clear()  # an idle worker keeps its memory
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, wide boolean, ids binary")

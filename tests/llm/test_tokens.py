@@ -1,3 +1,4 @@
+import json
 import os
 import zlib
 
@@ -85,3 +86,53 @@ def test_a_file_that_cuts_otherwise_is_encoded_by_the_library():
     texts = ["Two  Words\n", "don't", "", "<|endoftext|> É"]
     want = [e.ids for e in tokens._tokenizer(other)[0].encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in tokens.ids_of_texts(other, pa.array(texts))] == want
+
+
+@needs_tokenizer
+def test_a_piece_is_encoded_once_in_all_texts_of_a_worker(monkeypatch):
+    asked = []
+    pieces = tokens._Pieces(tokens._tokenizer(PATH)[0])
+    encoded = pieces._encoded
+    monkeypatch.setattr(pieces, "_encoded", lambda new: asked.extend(new.to_pylist()) or encoded(new))
+    monkeypatch.setattr(tokens, "_tokenizer", lambda path, both=(tokens._tokenizer(PATH)[0], pieces): both)
+    texts = [f"Alpha, beta{k % 3}! alpha's  ALPHA gamma{k}" for k in range(40)]
+    for _ in range(2):
+        assert sum(1 for _ in tokens.ids_of_texts(PATH, pa.array(texts), 1024)) == len(texts)
+    assert sorted(asked) == sorted({"alpha", "'s", "beta", "gamma", ",", "!", *"0123456789"})
+
+
+@needs_tokenizer
+def test_texts_with_and_without_odd_words_share_a_chunk():
+    texts = [f"Plain text {k}, it's \u017f" if k % 2 else f"Odd \u2019{k}\u2019 J\u030c TEXT <|endoftext|>x \u4f60" for k in range(50)]
+    assert len(list(tokens._chunks(pa.array(texts), 1 << 20))) == 1
+    want = [e.ids for e in tokens._tokenizer(PATH)[0].encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in tokens.ids_of_texts(PATH, pa.array(texts))] == want
+
+
+@needs_tokenizer
+@given(st.lists(st.lists(latin | st.text(max_size=12), max_size=8).map(" ".join), max_size=12), st.sampled_from([16, 200, 2000]))
+@settings(max_examples=100, deadline=None)
+def test_what_is_remembered_is_bounded_and_changes_no_ids(texts, most_bytes):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    tokenizer, pieces = tokens._tokenizer(PATH)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in tokens.ids_of_texts(PATH, pa.array(texts, pa.string()), most_bytes)] == want
+    assert pieces.nbytes() <= max(2 * most_bytes, 64) or not any(texts)
+
+
+@needs_tokenizer
+def test_a_vocabulary_that_leaves_out_bytes(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    left_out = [t for t in spec["model"]["vocab"] if t.endswith("q</w>")]
+    for token in left_out:
+        del spec["model"]["vocab"][token]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    spec["model"]["merges"] = [m for m in merges if not m[1].endswith("q</w>")]
+    path = str(tmp_path / "less.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    texts = ["iraq and q", "Q", "queue", "\xe9q \xe9"]
+    want = [e.ids for e in tokens._tokenizer(path)[0].encode_batch(texts, add_special_tokens=False)]
+    assert tokens.cut_as_known(path)
+    assert [x.tolist() for x in tokens.ids_of_texts(path, pa.array(texts))] == want
