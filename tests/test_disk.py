@@ -1,0 +1,85 @@
+"""What a chain of loads leaves on the disks while it runs."""
+
+import datetime as dt
+import os
+import time
+
+import pytest
+
+from cartwheel import schemas
+from cartwheel.plans import loads, queries, tpch_roles as roles
+from cartwheel.sources.tables import publish, shuffles_dropped
+
+KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+def test_a_published_version_leaves_no_shuffle_files(spark, scratch):
+    before, conf = _shuffle_files(spark), spark.conf.get(KEY, None)
+    rows = spark.range(1000).selectExpr("cast(id % 7 as string) k").distinct()
+    with shuffles_dropped(spark):
+        publish(rows, scratch + "/t")
+        assert spark.conf.get(KEY) == "true"
+    for _ in range(100):  # they are deleted in the background
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(KEY, None) == conf
+    with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+        1 // 0
+    assert spark.conf.get(KEY, None) == conf
+
+
+def _lines(spark, monkeypatch):
+    stamp = ",2017-01-02 03:04:05"
+    lines = {
+        "customer": ["c1,u1,1,x,A"],
+        "product": ["p1,toys,S"],
+        "order": ["o1,c1,paid" + stamp * 5],
+        "order_item": ["o1,1" + stamp * 2 + ",c1,p1,1.5,2.5,ok", "short"],
+    }
+    for name, rows in lines.items():
+        monkeypatch.setattr(roles, f"{name}_lines", lambda spark, sf_dir, rows=rows: spark.createDataFrame([(v,) for v in rows * 3], "value string").coalesce(1))
+
+
+def test_drops_are_compressed_in_bounded_files_and_go_once_staged(spark, scratch, monkeypatch):
+    _lines(spark, monkeypatch)
+    monkeypatch.setattr(queries, "DROP_LINES", 2)
+    stage, merge, found, merging = loads.stage, loads.merge_staged, {}, {}
+
+    def staged(spark, name, drop, wh, **more):
+        found[name] = sorted(f for f in os.listdir(drop) if f.startswith("part-"))
+        return stage(spark, name, drop, wh, **more)
+
+    def merged(spark, name, wh, *more):
+        merging[name] = os.path.exists(wh.drop(name))
+        return merge(spark, name, wh, *more)
+
+    monkeypatch.setattr(loads, "stage", staged)
+    monkeypatch.setattr(loads, "merge_staged", merged)
+    wh = loads.Warehouse(scratch + "/wh", own_drops=True)
+    for entity in (schemas.CUSTOMER, schemas.PRODUCT, schemas.ORDER, schemas.ORDER_ITEM):  # the older load
+        publish(spark.createDataFrame([], entity.schema), wh.dimension(entity.name), entity.schema, base=None)
+    queries._load_drops(spark, "unused", wh)
+    assert {name: len(files) for name, files in found.items()} == {"d_customer": 2, "d_product": 2, "d_order": 2, "d_order_item": 3}
+    assert all(f.endswith(".lz4") for files in found.values() for f in files)
+    assert merging == dict.fromkeys(found, False)
+    # the merged dimension is all that is left of the two; what was staged stays
+    for name in found:
+        assert [v for v in sorted(os.listdir(wh.dimension(name))) if v.startswith("v=")] == [f"v={2:020d}"]
+        assert loads.staged_clean(spark, name, wh).count() == 1
+    assert [(r.value, r.reason) for r in loads.staged_rejects(spark, "d_order_item", wh).collect()] == [("short", "too_few_fields")]
+
+
+@pytest.mark.parametrize("own_drops", [False, True])
+def test_drops_elsewhere_are_never_deleted(spark, scratch, own_drops):
+    wh = loads.Warehouse(scratch + "/wh", own_drops=own_drops)
+    drop = scratch + "/given" if own_drops else wh.drop("d_product")
+    spark.createDataFrame([("p1,toys,S",)], "value string").write.text(drop)
+    loads.load_dimension(spark, "d_product", drop, wh, header=False)
+    assert spark.read.text(drop).count() == 1
