@@ -8,7 +8,8 @@ import pytest
 
 from cartwheel import schemas
 from cartwheel.plans import loads, queries, tpch_roles as roles
-from cartwheel.sources.tables import publish, shuffles_dropped
+from cartwheel.sources import tables
+from cartwheel.sources.tables import current_version_path, publish, read_table, shuffles_dropped
 
 KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -83,3 +84,108 @@ def test_drops_elsewhere_are_never_deleted(spark, scratch, own_drops):
     spark.createDataFrame([("p1,toys,S",)], "value string").write.text(drop)
     loads.load_dimension(spark, "d_product", drop, wh, header=False)
     assert spark.read.text(drop).count() == 1
+
+
+def test_a_version_written_in_slices_is_committed_by_the_last(spark, scratch, monkeypatch):
+    part = lambda lo, hi: spark.range(lo, hi).selectExpr("cast(id as string) k")
+    path = publish([part(0, 3), part(3, 3), part(3, 7)], scratch + "/t")
+    assert current_version_path(spark, scratch + "/t").endswith(path.rsplit("/", 1)[-1])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == list("0123456")
+
+    give_up, seen = tables._give_up, []
+
+    def gives_up(spark, vpath):
+        seen.append((sorted(r.k for r in spark.read.parquet(vpath).collect()), current_version_path(spark, scratch + "/t")))
+        give_up(spark, vpath)
+
+    monkeypatch.setattr(tables, "_give_up", gives_up)
+    with pytest.raises(Exception, match="no second slice"):
+        publish([part(7, 9), part(9, 11).selectExpr("cast(raise_error('no second slice') as string) k")], scratch + "/t")
+    # the first slice was there, but nobody read it; now it is gone
+    assert [(rows, version.rsplit("/", 1)[-1]) for rows, version in seen] == [(["7", "8"], f"v={1:020d}")]
+    assert [v for v in sorted(os.listdir(scratch + "/t")) if v.startswith("v=")] == [f"v={1:020d}"]
+    with pytest.raises(ValueError):
+        publish([part(0, 1), part(1, 2)], scratch + "/b", buckets=tables.Buckets("k", 2))
+
+
+def _filled(spark, root):
+    """A warehouse whose orders and items have null keys, keys that come twice and keys of one side only, on both sides of the next merge."""
+    wh = loads.Warehouse(root)
+    t = lambda day: dt.datetime(2017, 1, day)
+    item = lambda k, n, price, day: (k, n, t(day), None, f"c{day % 3}", f"p{day % 2}", price, 1.0, "paid")
+    order = lambda k, day, status: (k, "c1", status, t(day), t(day), None, None, None)
+    ids = [f"o{i}" for i in range(20)] + [None]
+    tables_ = {
+        "d_customer": [(f"c{i}", f"u{i}", "1", "x", "A") for i in range(3)],
+        "d_product": [("p0", "toys", "S"), ("p1", "art", "T")],
+        "d_order": [order(k, 1 + i, "sent") for i, k in enumerate(ids[:12] + ids[-1:])],
+        "d_order_item": [item(k, n, 2.0, 1 + i) for i, k in enumerate(ids[:12] + ids[-1:]) for n in ("1", "2", "2")],
+    }
+    for name, rows in tables_.items():
+        publish(spark.createDataFrame(rows, schemas.ENTITIES[name].schema), wh.dimension(name), base=None)
+    days = [(t(day).date(), True, False) for day in range(1, 32)]
+    publish(spark.createDataFrame(days, "Date date, is_weekday boolean, is_holiday boolean"), wh.d_date, base=None)
+    batches = {
+        "d_order": [order(k, 2 + i, "paid") for i, k in enumerate(ids[8:])] + [order("o15", 3, "paid")],
+        "d_order_item": [item(k, n, price, 3 + i) for i, k in enumerate(ids[8:]) for n, price in (("2", 3.0), ("3", 4.0), ("3", 5.0))],
+    }
+
+    def stage(name):
+        rows = spark.createDataFrame([(*row, None, None, "clean") for row in batches[name]], loads.staging_schema(schemas.ENTITIES[name]))
+        return publish(rows, wh.staging(name), partition_by=["status"])
+
+    return wh, stage
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_merges_and_facts_in_slices_equal_those_in_one_piece(spark, scratch, monkeypatch):
+    def run(root, slice_bytes):
+        monkeypatch.setattr(loads, "SLICE_BYTES", slice_bytes)
+        wh, stage = _filled(spark, root)
+        slices, write = [], loads.publish
+        monkeypatch.setattr(loads, "publish", lambda df, path, *a, **k: (slices.append((path.rsplit("/", 1)[-1], 1 if hasattr(df, "columns") else len(df))), write(df, path, *a, **k))[1])
+        loads.refresh_fact(spark, wh)
+        found = [_rows(loads.read_fact(spark, wh))]
+        for name in ("d_order", "d_order_item"):
+            loads.merge_staged(spark, name, wh, stage(name), ["price"] if name == "d_order_item" else None)
+            found.append(_rows(read_table(spark, wh.dimension(name), schemas.ENTITIES[name].schema)))
+        loads.refresh_fact_changes(spark, wh)
+        found.append(_rows(loads.read_fact(spark, wh)))
+        loads.refresh_fact(spark, wh)
+        found.append(_rows(loads.read_fact(spark, wh)))
+        monkeypatch.setattr(loads, "publish", write)
+        return found, slices
+
+    whole, one = run(scratch + "/one", 1 << 40)
+    sliced, many = run(scratch + "/many", 1)
+    assert whole == sliced and all(whole) and whole[3] == whole[4] != whole[0]
+    assert len(whole[1]) == 12 + 1 + 8 + 1 + 1 and None in {r[0] for r in whole[2]}
+    assert [r[6] for r in whole[2] if r[:2] == ("o8", "2")] == [3.0, 3.0]  # both target rows of the key are updated
+    steps = ["f_transaction", "d_order", "d_order_item", "changed_orders", "f_transaction", "f_transaction"]
+    assert one == [(name, 1) for name in steps]
+    assert many == [(name, 1 if name == "changed_orders" else loads.MOST_SLICES) for name in steps]
+
+
+def test_a_violation_in_one_slice_fails_the_whole_merge(spark, scratch, monkeypatch):
+    monkeypatch.setattr(loads, "SLICE_BYTES", 1)
+    wh, stage = _filled(spark, scratch)
+    base = current_version_path(spark, wh.dimension("d_order_item"))
+    row = spark.read.parquet(stage("d_order_item")).filter("order_id = 'o8' and order_item_id = '2'")
+    staged = publish(row.unionByName(row), wh.staging("d_order_item"), partition_by=["status"])
+    with pytest.raises(Exception, match="MERGE cardinality violation"):
+        loads.merge_staged(spark, "d_order_item", wh, staged)
+    assert current_version_path(spark, wh.dimension("d_order_item")) == base
+
+
+def test_slices_follow_the_size_and_a_bucketed_warehouse_has_one(spark, scratch, monkeypatch):
+    path = publish(spark.range(10), scratch + "/t")
+    size = tables.stored_bytes(spark, path)
+    assert size > 0 and tables.stored_bytes(spark, None) == 0
+    wh = loads.Warehouse(scratch)
+    for limit, n in ((size, 1), (size - 1, 2), (1, loads.MOST_SLICES)):
+        monkeypatch.setattr(loads, "SLICE_BYTES", limit)
+        assert loads._slices(spark, wh, path, None) == n
+    assert loads._slices(spark, loads.Warehouse(scratch, order_buckets=4), path) == 1
