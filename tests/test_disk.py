@@ -68,7 +68,7 @@ def test_drops_are_compressed_in_bounded_files_and_go_once_staged(spark, scratch
         publish(spark.createDataFrame([], entity.schema), wh.dimension(entity.name), entity.schema, base=None)
     queries._load_drops(spark, "unused", wh)
     assert {name: len(files) for name, files in found.items()} == {"d_customer": 2, "d_product": 2, "d_order": 2, "d_order_item": 3}
-    assert all(f.endswith(".lz4") for files in found.values() for f in files)
+    assert all(f.endswith(".gz") for files in found.values() for f in files)
     assert merging == dict.fromkeys(found, False)
     # the merged dimension is all that is left of the two; what was staged stays
     for name in found:
